@@ -107,7 +107,7 @@ def merge_snapshot(
 
     def carried_attr(c: str) -> Column:
         if c in spec.type1:
-            restate = has_s & (F.lit(spec.type1_scope == "all") | cur)
+            restate = has_s & (F.lit(spec.type1_scope == "all") | (cur & ~expire))
             return F.when(restate, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}"))
         return F.col(f"d.{c}")
 

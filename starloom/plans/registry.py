@@ -168,3 +168,8 @@ order by pit.segment""",
 )
 def segment_pit_vs_current(spark: SparkSession, root: str) -> DataFrame:
     return A.segment_pit_vs_current(build_star(spark, root))
+
+
+# The remaining registrations live beside their themes.
+from starloom.plans import queries_load as _load  # noqa: E402,F401
+from starloom.plans import queries_patterns as _patterns  # noqa: E402,F401

@@ -185,3 +185,31 @@ def staged_sales(
             net_of_discount(gross, disc).alias("net_amount"),
         )
     )
+
+
+def staged_returns(t: Tables) -> DataFrame:
+    """A second fact process (returned lines) sharing the product and date
+    dimensions with sales, for drill-across."""
+    li = t.lineitem.where(F.col("l_returnflag") == "R").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
+    )
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("returned_quantity"),
+        to_money("l_extendedprice").alias("returned_gross"),
+    )
+
+
+def shipments(t: Tables) -> DataFrame:
+    """Order-line shipments (order date and ship date) for milestone facts."""
+    li = t.lineitem.select("l_orderkey", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("l_shipdate").cast("date").alias("ship_date"),
+    )
