@@ -24,11 +24,13 @@ def lookup_versions(
     event_date: str,
     mode: str = "inner",
     out_col: str | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """Append the key of the version in force on ``event_date``.
 
     ``mode="inner"`` drops facts without a version (the reference's load);
     ``mode="unknown"`` keeps them with the reserved key -1.
+    ``broadcast`` is for callers that have checked the dimension's size.
     """
     out_col = out_col or spec.key
     versions = dim.select(
@@ -37,6 +39,8 @@ def lookup_versions(
         F.col(spec.valid_to).alias("_pit_to"),
         F.col(spec.key).alias("_pit_key"),
     )
+    if broadcast:
+        versions = F.broadcast(versions)
     cond = (
         (F.col(fact_key) == F.col("_pit_nk"))
         & (F.col(event_date) >= F.col("_pit_from"))
@@ -55,9 +59,12 @@ def lookup_key(
     fact_key: str,
     key: str,
     mode: str = "inner",
+    broadcast: bool = False,
 ) -> DataFrame:
     """Plain natural-key -> surrogate-key lookup (Type-1 / static dims)."""
     keys = dim.select(F.col(natural_key).alias("_lk_nk"), F.col(key).alias("_lk_key"))
+    if broadcast:
+        keys = F.broadcast(keys)
     how = "inner" if mode == "inner" else "left"
     joined = facts.join(keys, F.col(fact_key) == F.col("_lk_nk"), how)
     k = F.col("_lk_key") if mode == "inner" else F.coalesce("_lk_key", F.lit(UNKNOWN_KEY).cast("long"))

@@ -17,7 +17,7 @@ from starloom.functions.dates import date_key
 from starloom.functions.money import exact_sum
 from starloom.operators.asof import lookup_key, lookup_versions
 from starloom.operators.keys import assign_dense_keys
-from starloom.schemas import CUSTOMER_SPEC, FACT_SALES_COLUMNS, STG_GRAIN, UNKNOWN_KEY, Scd2Spec
+from starloom.schemas import CUSTOMER_SPEC, FACT_SALES_COLUMNS, SALE_KEY_ORDER, UNKNOWN_KEY, Scd2Spec
 
 MEASURES = ("quantity", "unit_price", "discount_pct", "gross_amount", "net_amount")
 
@@ -29,15 +29,21 @@ def resolve_keys(
     dim_customer: DataFrame,
     mode: str = "inner",
     customer_spec: Scd2Spec = CUSTOMER_SPEC,
+    broadcast: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """Staged lines with every surrogate key resolved; staging columns kept.
 
     ``mode="inner"`` drops a line when any lookup misses (reference load);
     ``mode="unknown"`` maps a miss to key -1 and keeps the line.
+    ``broadcast`` names the dimensions whose size the caller has checked.
     """
-    out = lookup_key(stg, dim_product, "product_id", "product_id", "product_key", mode)
-    out = lookup_key(out, dim_store, "store_id", "store_id", "store_key", mode)
-    out = lookup_versions(out, dim_customer, customer_spec, "customer_id", "order_date", mode)
+    out = lookup_key(
+        stg, dim_product, "product_id", "product_id", "product_key", mode, "product" in broadcast
+    )
+    out = lookup_key(out, dim_store, "store_id", "store_id", "store_key", mode, "store" in broadcast)
+    out = lookup_versions(
+        out, dim_customer, customer_spec, "customer_id", "order_date", mode, broadcast="customer" in broadcast
+    )
     return out.withColumn("date_key", date_key("order_date"))
 
 
@@ -49,18 +55,19 @@ def resolve_fact(
     mode: str = "inner",
     with_sale_key: bool = True,
     start_key: int = 1,
+    broadcast: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """K7: the sales fact at order-line grain.
 
     ``sale_key`` is numbered densely in (order_id, line_number, product_id,
-    store_id) order by :func:`assign_dense_keys`. Queries that never read
+    store_id, then measures) order by :func:`assign_dense_keys`. Queries that never read
     ``sale_key`` pass ``with_sale_key=False`` and stay fully lazy.
     """
-    resolved = resolve_keys(stg, dim_product, dim_store, dim_customer, mode)
+    resolved = resolve_keys(stg, dim_product, dim_store, dim_customer, mode, broadcast=broadcast)
     if not with_sale_key:
         cols = [c for c in FACT_SALES_COLUMNS if c != "sale_key"]
         return resolved.select(*cols)
-    keyed = assign_dense_keys(resolved, list(STG_GRAIN), "sale_key", start=start_key)
+    keyed = assign_dense_keys(resolved, list(SALE_KEY_ORDER), "sale_key", start=start_key)
     return keyed.select(*FACT_SALES_COLUMNS)
 
 
@@ -104,14 +111,17 @@ def repair_late_members(
 def latest_per_merge_key(
     batches: DataFrame, merge_key: Sequence[str], batch_col: str
 ) -> DataFrame:
-    """A replayed row replaces the earlier one with the same merge key.
+    """A replayed batch replaces earlier deliveries of the same merge key.
 
-    Hash aggregate with map-side partial merging, so a key replayed many times
-    never gathers its copies in one place before they are reduced.
+    For every merge key only the rows of the latest batch that delivered it
+    survive (all of them, so a key repeated inside one extract is neither
+    lost nor arbitrarily picked). The latest batch per key comes from a hash
+    aggregate with map-side partial maxima; a left-semi join on (key, batch)
+    keeps the rows, and AQE splits a hot key's partition in that join.
     """
-    rest = [c for c in batches.columns if c not in merge_key and c != batch_col]
-    latest = F.max_by(F.struct(*rest), F.col(batch_col)).alias("_v")
-    return batches.groupBy(*merge_key).agg(latest).select(*merge_key, *[F.col(f"_v.{c}").alias(c) for c in rest])
+    latest = batches.groupBy(*merge_key).agg(F.max(batch_col).alias(batch_col))
+    kept = batches.join(latest, [*merge_key, batch_col], "left_semi")
+    return kept.select(*[c for c in batches.columns if c != batch_col])
 
 
 def order_rollup(fact: DataFrame) -> DataFrame:
@@ -213,7 +223,10 @@ def periodic_snapshot(
 
 
 def preaggregate(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Month x category aggregate kept alongside the atomic fact."""
+    """Month x category aggregate kept alongside the atomic fact.
+
+    Pass the dimensions already projected (and broadcast-hinted if checked).
+    """
     months = dim_date.select("date_key", "year_month")
     cats = dim_product.select("product_key", "category")
     return (

@@ -10,18 +10,21 @@ row through one task. Instead:
 3. materialise that to the reliable checkpoint directory, so the counting job
    and the numbering job read the very same partitions (range bounds come
    from sampling and would not be reproducible across two jobs otherwise);
-4. count rows per partition (one row per partition, a table whose size is
-   the partition count we chose) and turn the counts into running offsets;
+4. count rows per partition (one row per partition, a list whose size is
+   the partition count we chose) and turn the counts into running offsets,
+   applied as a literal array indexed by partition id (no join);
 5. key = start + offset(partition) + position.
 
-Only the per-partition counts are exchanged globally.
+Only the per-partition counts reach the driver. Their sum is the exact row
+count, returned beside the frame so callers can size-check a broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.session import cut_lineage
@@ -34,24 +37,32 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def assign_dense_keys(
+@dataclass
+class Keyed:
+    """A keyed frame and its exact row count (a proven size for broadcasts)."""
+
+    df: DataFrame
+    rows: int
+
+
+def dense_keys(
     df: DataFrame,
     order_by: Sequence[str | Column],
     key_col: str,
     start: int = 1,
     partitions: int | None = None,
-) -> DataFrame:
+) -> Keyed:
     """Append ``key_col`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` should be unique for a reproducible numbering; ties are
     numbered in an arbitrary but dense way. The result is checkpointed.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     order_cols = _cols(order_by)
     pid = F.spark_partition_id().cast("long")
     tagged = (
-        df.repartitionByRange(max(1, n), *order_cols)
+        df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .select(
             "*",
@@ -61,16 +72,28 @@ def assign_dense_keys(
     )
     tagged = cut_lineage(tagged)
 
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias("_k1_n"))
-        .select(_PART, F.coalesce(F.sum("_k1_n").over(before), F.lit(0)).alias("_k1_off"))
-    )
     # one row per range partition: bounded by ``n``, never by the data
-    keyed = tagged.join(F.broadcast(offsets), _PART)
-    key = (F.lit(int(start)) + F.col("_k1_off") + F.col(_POS)).cast("long").alias(key_col)
-    return keyed.select(key, *[F.col(c) for c in df.columns])
+    counts = dict(tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("c")).collect())
+    width = max(counts, default=-1) + 1
+    offsets, running = [0] * max(width, 1), 0
+    for p in range(width):
+        offsets[p] = running
+        running += counts.get(p, 0)
+    table = F.array(*[F.lit(o).cast("long") for o in offsets])
+    offset = F.element_at(table, (F.col(_PART) + 1).cast("int"))
+    key = (F.lit(int(start)) + offset + F.col(_POS)).cast("long").alias(key_col)
+    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running)
+
+
+def assign_dense_keys(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    key_col: str,
+    start: int = 1,
+    partitions: int | None = None,
+) -> DataFrame:
+    """:func:`dense_keys` without the row count."""
+    return dense_keys(df, order_by, key_col, start, partitions).df
 
 
 def next_key(df: DataFrame | None, key_col: str) -> int:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.predicates import any_changed_cols
-from starloom.operators.keys import assign_dense_keys, next_key
+from starloom.operators.keys import Keyed, assign_dense_keys, dense_keys, next_key
 from starloom.schemas import END_OF_TIME, Scd2Spec
 from starloom.session import cut_lineage
 
@@ -44,6 +44,7 @@ class MergeResult:
     dimension: DataFrame
     stats: LoadStats
     history: list[LoadStats] = field(default_factory=list)
+    rows: int | None = None  # exact row count of ``dimension`` when known
 
 
 def check_unique_members(snapshot: DataFrame, natural_key: str, as_of_col: str | None = None) -> None:
@@ -152,12 +153,13 @@ def merge_snapshot(
         versioned=counts.get("versioned", 0),
         unchanged=counts.get("unchanged", 0),
     )
+    rows = sum(counts.values())
     kept = merged.where(F.col(spec.key).isNotNull()).drop(_ACTION)
     new = merged.where(F.col(spec.key).isNull()).drop(_ACTION, spec.key)
     if stats.inserted + stats.versioned == 0:
-        return MergeResult(kept.select(*spec.columns), stats)
+        return MergeResult(kept.select(*spec.columns), stats, rows=rows)
     keyed = assign_dense_keys(new, [nk], spec.key, start=start)
-    return MergeResult(kept.unionByName(keyed).select(*spec.columns), stats)
+    return MergeResult(kept.unionByName(keyed).select(*spec.columns), stats, rows=rows)
 
 
 def replay_snapshots(
@@ -172,13 +174,15 @@ def replay_snapshots(
         dates = sorted(r[0] for r in snapshots.select(as_of_col).distinct().collect())
     history: list[LoadStats] = []
     stats = LoadStats()
+    rows = None
     for d in dates:
         res = merge_snapshot(dim, snapshots.where(F.col(as_of_col) == F.lit(d)), d, spec)
-        dim, stats = res.dimension, res.stats
+        dim, stats, rows = res.dimension, res.stats, res.rows
         history.append(stats)
     if dim is None:
         dim = empty_dimension(snapshots.select(spec.natural_key, *spec.attributes), spec)
-    return MergeResult(dim, stats, history)
+        rows = 0
+    return MergeResult(dim, stats, history, rows)
 
 
 # ---------------------------------------------------------------------------
@@ -226,13 +230,13 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
     )
 
 
-def rebuild_history(
+def rebuild_history_counted(
     snapshots: DataFrame,
     spec: Scd2Spec,
     as_of_col: str = "as_of",
     start_key: int = 1,
     validate: bool = True,
-) -> DataFrame:
+) -> Keyed:
     """K5: the dimension a replay of all snapshots would produce, in one pass.
 
     Keys follow (valid_from, natural key), the order a replay assigns them.
@@ -240,8 +244,19 @@ def rebuild_history(
     if validate:
         check_unique_members(snapshots, spec.natural_key, as_of_col)
     versions = version_rows(snapshots, spec, as_of_col)
-    keyed = assign_dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key)
-    return keyed.select(*spec.columns)
+    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key)
+    return Keyed(keyed.df.select(*spec.columns), keyed.rows)
+
+
+def rebuild_history(
+    snapshots: DataFrame,
+    spec: Scd2Spec,
+    as_of_col: str = "as_of",
+    start_key: int = 1,
+    validate: bool = True,
+) -> DataFrame:
+    """:func:`rebuild_history_counted` without the row count."""
+    return rebuild_history_counted(snapshots, spec, as_of_col, start_key, validate).df
 
 
 def load_statistics(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of") -> DataFrame:

@@ -21,7 +21,7 @@ def category_month_revenue(star: Star, months: list[str], total_name: str) -> Da
     month slice reaches the fact through the broadcast calendar.
     """
     d = star.date_dim("date_key", "year_month").where(F.col("year_month").between(months[0], months[-1]))
-    cats = star.dim_product.select("product_key", "category")
+    cats = star.dim("product", "product_key", "category")
     lines = star.fact.select("date_key", "product_key", "net_amount").join(d, "date_key").join(cats, "product_key")
     agg = lines.groupBy("category").agg(
         *[F.sum(F.when(F.col("year_month") == m, F.col("net_amount"))).alias(m) for m in months],
@@ -91,28 +91,42 @@ def segment_attribution(star: Star) -> DataFrame:
     """
     dim = star.dim_customer
     per_key = star.fact.groupBy("customer_key").agg(F.sum("net_amount").alias("net"))
-    ver = dim.select("customer_key", "customer_id", F.col("segment").alias("pit_segment"))
+    ver = star.dim("customer", "customer_key", "customer_id", F.col("segment").alias("pit_segment"))
     cur = dim.where(F.col("is_current")).select("customer_id", F.col("segment").alias("cur_segment"))
+    if "customer" in star.broadcastable:
+        cur = F.broadcast(cur)
     keyed = per_key.join(ver, "customer_key").join(cur, "customer_id", "left")
     return keyed.groupBy("pit_segment", "cur_segment").agg(F.sum("net").alias("net"))
 
 
 def segment_pit_vs_current(star: Star) -> DataFrame:
-    """Q4: segment revenue at the time of sale versus restated to current."""
+    """Q4: segment revenue at the time of sale versus restated to current.
+
+    Both attributions come out of one pass: every (pit, current) pair row
+    feeds its amount to the point-in-time side of one segment and the
+    restated side of another, then one aggregate sums both. A segment must
+    appear on both sides (the reference's inner join of the two CTEs).
+    """
     pair = segment_attribution(star)
-    pit = pair.groupBy(F.col("pit_segment").alias("segment")).agg(F.sum("net").alias("pit"))
-    res = (
-        pair.where(F.col("cur_segment").isNotNull())
-        .groupBy(F.col("cur_segment").alias("segment"))
-        .agg(F.sum("net").alias("res"))
+    net = F.col("net")
+    none = F.lit(None).cast(pair.schema["net"].dataType)
+    sides = F.array(
+        F.struct(F.col("pit_segment").alias("segment"), net.alias("pit"), none.alias("res")),
+        F.when(
+            F.col("cur_segment").isNotNull(),
+            F.struct(F.col("cur_segment").alias("segment"), none.alias("pit"), net.alias("res")),
+        ),
     )
-    return (
-        pit.join(res, "segment")
-        .select(
-            "segment",
-            whole("pit").alias("net_revenue_point_in_time"),
-            whole("res").alias("net_revenue_restated_current"),
-            whole(F.col("res") - F.col("pit")).alias("delta"),
-        )
-        .orderBy("segment")
+    both = (
+        pair.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("s"))
+        .select("s.*")
+        .groupBy("segment")
+        .agg(F.sum("pit").alias("pit"), F.sum("res").alias("res"))
+        .where(F.col("pit").isNotNull() & F.col("res").isNotNull())
     )
+    return both.select(
+        "segment",
+        whole("pit").alias("net_revenue_point_in_time"),
+        whole("res").alias("net_revenue_restated_current"),
+        whole(F.col("res") - F.col("pit")).alias("delta"),
+    ).orderBy("segment")

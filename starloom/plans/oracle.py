@@ -57,7 +57,8 @@ from v"""
 def _fact(dim: str, how: str = "join", unknown: bool = False) -> str:
     ck = "coalesce(c.customer_key, -1)" if unknown else "c.customer_key"
     return f"""
-select cast(row_number() over (order by s.order_id, s.line_number, s.product_id, s.store_id) as bigint) as sale_key,
+select cast(row_number() over (order by s.order_id, s.line_number, s.product_id, s.store_id,
+    s.quantity, s.discount_pct, s.gross_amount, s.net_amount) as bigint) as sale_key,
   s.order_id,
   cast(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) as int) as date_key,
   p.product_key, t.store_key, cast({ck} as bigint) as customer_key,

@@ -261,7 +261,7 @@ _STG_COLS = [f.name for f in STG_SALES.fields]
   from f_stg_sales where order_date >= date '{REPLAY_FROM}'
 )
 select {', '.join(_STG_COLS)} from batches
-qualify row_number() over (partition by {', '.join(_MERGE_KEY)} order by batch_no desc) = 1""",
+qualify batch_no = max(batch_no) over (partition by {', '.join(_MERGE_KEY)})""",
     ),
 )
 def staging_replay(spark: SparkSession, root: str) -> DataFrame:

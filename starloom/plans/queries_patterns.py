@@ -54,13 +54,20 @@ def drill_across(spark: SparkSession, root: str) -> DataFrame:
     star = build_star(spark, root)
     sales = (
         star.fact.join(star.date_dim("date_key", "year"), "date_key")
-        .join(star.dim_product.select("product_key", "category"), "product_key")
+        .join(star.dim("product", "product_key", "category"), "product_key")
         .groupBy("category", F.col("year").cast("int").alias("year"))
         .agg(F.count(F.lit(1)).alias("sales_lines"), exact_sum("net_amount").alias("sales_net"))
     )
-    rets = lookup_key(src.staged_returns(star.tables), star.dim_product, "product_id", "product_id", "product_key")
+    rets = lookup_key(
+        src.staged_returns(star.tables),
+        star.dim_product,
+        "product_id",
+        "product_id",
+        "product_key",
+        broadcast="product" in star.broadcastable,
+    )
     returns = (
-        rets.join(star.dim_product.select("product_key", "category"), "product_key")
+        rets.join(star.dim("product", "product_key", "category"), "product_key")
         .groupBy("category", F.year("order_date").alias("year"))
         .agg(F.count(F.lit(1)).alias("return_lines"), exact_sum("returned_gross").alias("returns_gross"))
     )
@@ -77,7 +84,7 @@ _PREAGG_SQL = f"""select d.year_month, p.category, count(*) as order_lines, cast
 def preaggregate(spark: SparkSession, root: str) -> DataFrame:
     """Month x category aggregate kept beside the atomic fact."""
     star = build_star(spark, root)
-    return facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim_product)
+    return facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category"))
 
 
 @register(
@@ -94,7 +101,7 @@ union all select 'rollup_lines', cast(sum(order_lines) as decimal(38,2)) from pa
 def preaggregate_reconciles(spark: SparkSession, root: str) -> DataFrame:
     """D18 check: the pre-aggregate sums back to the atomic fact."""
     star = build_star(spark, root)
-    pa = facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim_product)
+    pa = facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category"))
     return C.metrics(
         [
             C.metric(star.fact, "atomic_net", F.sum("net_amount")),
@@ -123,7 +130,7 @@ from pa join m on pa.year_month = m.year_month""",
 def month_rollup(spark: SparkSession, root: str) -> DataFrame:
     """A month-grain fact described by the conformed month dimension."""
     star = build_star(spark, root)
-    pa = facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim_product)
+    pa = facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category"))
     months = month_dimension(star.dim_date)
     return pa.join(F.broadcast(months), "year_month").select(
         "year_month",
@@ -181,14 +188,14 @@ def region_two_ways(spark: SparkSession, root: str) -> DataFrame:
     """Revenue by the store's region versus the customer's region then."""
     star = build_star(spark, root)
     by_store = (
-        star.fact.join(star.dim_store.select("store_key", "region"), "store_key")
+        star.fact.join(star.dim("store", "store_key", "region"), "store_key")
         .groupBy("region")
         .agg(exact_sum("net_amount").alias("net_by_store_region"))
     )
     by_customer = (
         star.fact.groupBy("customer_key")
         .agg(F.sum("net_amount").alias("_net"))
-        .join(star.dim_customer.select("customer_key", "region"), "customer_key")
+        .join(star.dim("customer", "customer_key", "region"), "customer_key")
         .groupBy("region")
         .agg(F.sum("_net").cast("decimal(18,2)").alias("net_by_customer_region"))
     )
@@ -210,7 +217,7 @@ from f_fact f join f_dim_product p on f.product_key = p.product_key group by p.c
 def ratio_of_sums(spark: SparkSession, root: str) -> DataFrame:
     """Price per unit as a ratio of sums."""
     star = build_star(spark, root)
-    lines = star.fact.join(star.dim_product.select("product_key", "category"), "product_key")
+    lines = star.fact.join(star.dim("product", "product_key", "category"), "product_key")
     return measures.ratio_of_sums(lines, ["category"])
 
 
@@ -229,7 +236,7 @@ def slice_discount(spark: SparkSession, root: str) -> DataFrame:
     """Effective discount of every (category, month) slice."""
     star = build_star(spark, root)
     lines = star.fact.join(star.date_dim("date_key", "year_month"), "date_key").join(
-        star.dim_product.select("product_key", "category"), "product_key"
+        star.dim("product", "product_key", "category"), "product_key"
     )
     return measures.slice_discount(lines, ["category", "year_month"])
 

@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 
 from starloom.operators.calendar import calendar
 from starloom.operators.facts import resolve_fact, resolve_keys
-from starloom.operators.keys import assign_dense_keys
-from starloom.operators.scd import rebuild_history, replay_snapshots
+from starloom.operators.keys import Keyed, dense_keys
+from starloom.operators.scd import rebuild_history_counted, replay_snapshots
 from starloom.schemas import CUSTOMER_SPEC
 from starloom.sources import star_inputs as src
 from starloom.sources.tables import Tables
 
-# A calendar is broadcast only while it stays below this many days.
+# A calendar is broadcast only while it stays below this many days, and a
+# dimension only while its exact row count (known from key assignment) stays
+# below MAX_BROADCAST_ROWS; beyond that the join shuffles on the key and AQE
+# may still convert it at run time from measured sizes.
 MAX_BROADCAST_DAYS = 200_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 @dataclass
@@ -35,12 +39,23 @@ class Star:
     stg_sales: DataFrame
     fact: DataFrame
     calendar_days: int
+    rows: dict[str, int]
 
     def date_dim(self, *cols: str) -> DataFrame:
         """The calendar projected to ``cols``; broadcast when its size allows."""
         d = self.dim_date.select(*cols) if cols else self.dim_date
         return F.broadcast(d) if self.calendar_days <= MAX_BROADCAST_DAYS else d
 
+    def dim(self, name: str, *cols) -> DataFrame:
+        """A dimension projected to ``cols``; broadcast under the row bound."""
+        d = getattr(self, f"dim_{name}")
+        d = d.select(*cols) if cols else d
+        return F.broadcast(d) if name in self.broadcastable else d
+
+    @property
+    def broadcastable(self) -> frozenset[str]:
+        return frozenset(n for n, r in self.rows.items() if r <= MAX_BROADCAST_ROWS)
+
 
 def order_date_span(t: Tables) -> tuple[dt.date, dt.date]:
     """Whole calendar years covering every order date (one aggregate row)."""
@@ -48,25 +63,38 @@ def order_date_span(t: Tables) -> tuple[dt.date, dt.date]:
     return dt.date(r["lo"].year, 1, 1), dt.date(r["hi"].year, 12, 31)
 
 
-def product_dimension(t: Tables) -> DataFrame:
+def product_dimension_counted(t: Tables) -> Keyed:
     """S3: product dimension, keys dense in product_id order."""
-    dim = assign_dense_keys(src.product_source(t), ["product_id"], "product_key")
-    return dim.select(
-        "product_key", "product_id", "product_name", "category", "subcategory", "brand", "unit_price"
-    )
+    k = dense_keys(src.product_source(t), ["product_id"], "product_key")
+    cols = ["product_key", "product_id", "product_name", "category", "subcategory", "brand", "unit_price"]
+    return Keyed(k.df.select(*cols), k.rows)
 
 
-def store_dimension(t: Tables) -> DataFrame:
+def store_dimension_counted(t: Tables) -> Keyed:
     """Store dimension, keys dense in store_id order."""
-    dim = assign_dense_keys(src.store_source(t), ["store_id"], "store_key")
-    return dim.select("store_key", "store_id", "store_name", "city", "region", "country")
+    k = dense_keys(src.store_source(t), ["store_id"], "store_key")
+    cols = ["store_key", "store_id", "store_name", "city", "region", "country"]
+    return Keyed(k.df.select(*cols), k.rows)
 
 
-def customer_dimension(t: Tables, method: str = "rebuild", late: bool = False) -> DataFrame:
+def product_dimension(t: Tables) -> DataFrame:
+    return product_dimension_counted(t).df
+
+
+def store_dimension(t: Tables) -> DataFrame:
+    return store_dimension_counted(t).df
+
+
+def customer_dimension_counted(t: Tables, method: str = "rebuild", late: bool = False) -> Keyed:
     snaps = src.customer_snapshots(t, late=late)
     if method == "replay":
-        return replay_snapshots(snaps, CUSTOMER_SPEC, dates=list(src.SNAPSHOT_DATES)).dimension
-    return rebuild_history(snaps, CUSTOMER_SPEC)
+        res = replay_snapshots(snaps, CUSTOMER_SPEC, dates=list(src.SNAPSHOT_DATES))
+        return Keyed(res.dimension, res.rows)
+    return rebuild_history_counted(snaps, CUSTOMER_SPEC)
+
+
+def customer_dimension(t: Tables, method: str = "rebuild", late: bool = False) -> DataFrame:
+    return customer_dimension_counted(t, method, late).df
 
 
 def build_star(
@@ -84,14 +112,26 @@ def build_star(
     lo, hi = order_date_span(t)
     dim_date = calendar(spark, lo, hi)
     days = (hi - lo).days + 1
-    dim_product = product_dimension(t)
-    dim_store = store_dimension(t)
-    dim_customer = customer_dimension(t, customer_method, late)
+    product = product_dimension_counted(t)
+    store = store_dimension_counted(t)
+    customer = customer_dimension_counted(t, customer_method, late)
+    rows = {"product": product.rows, "store": store.rows, "customer": customer.rows}
     stg = src.staged_sales(t, stg_from, stg_to)
-    fact = resolve_fact(stg, dim_product, dim_store, dim_customer, mode=mode, with_sale_key=with_sale_key)
-    return Star(t, dim_date, dim_product, dim_store, dim_customer, stg, fact, days)
+    star = Star(t, dim_date, product.df, store.df, customer.df, stg, None, days, rows)  # type: ignore[arg-type]
+    star.fact = resolve_fact(
+        stg,
+        product.df,
+        store.df,
+        customer.df,
+        mode=mode,
+        with_sale_key=with_sale_key,
+        broadcast=star.broadcastable,
+    )
+    return star
 
 
 def resolved_lines(star: Star, mode: str = "unknown") -> DataFrame:
     """Staged lines with resolved keys, natural keys kept (for repairs)."""
-    return resolve_keys(star.stg_sales, star.dim_product, star.dim_store, star.dim_customer, mode)
+    return resolve_keys(
+        star.stg_sales, star.dim_product, star.dim_store, star.dim_customer, mode, broadcast=star.broadcastable
+    )

@@ -111,3 +111,6 @@ FACT_SALES_COLUMNS = [
 
 # Grain of one staged order line.
 STG_GRAIN = ("order_id", "line_number", "product_id", "store_id")
+# Order of sale_key: the grain, then the measures as tie-breakers, so the
+# numbering is reproducible even when an extract repeats a grain key.
+SALE_KEY_ORDER = STG_GRAIN + ("quantity", "discount_pct", "gross_amount", "net_amount")
