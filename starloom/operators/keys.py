@@ -7,9 +7,9 @@ row through one task. Instead:
    bounds, so one very frequent leading value is still split by the later
    columns) and sort inside each partition;
 2. tag every row with its partition id and its position inside the partition;
-3. materialise that to the reliable checkpoint directory, so the counting job
-   and the numbering job read the very same partitions (range bounds come
-   from sampling and would not be reproducible across two jobs otherwise);
+3. materialise that as a table in the shared checkpoint folder, so the
+   counting job and the numbering job read the very same rows (range bounds
+   come from sampling and would not be reproducible across two jobs);
 4. count rows per partition (one row per partition, a list whose size is
    the partition count we chose) and turn the counts into running offsets,
    applied as a literal array indexed by partition id (no join);
@@ -39,10 +39,15 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 @dataclass
 class Keyed:
-    """A keyed frame and its exact row count (a proven size for broadcasts)."""
+    """A keyed frame and its exact row count (a proven size for broadcasts).
+
+    ``flagged`` counts rows whose optional ``flag`` column was true, found in
+    the same pass that counts rows.
+    """
 
     df: DataFrame
     rows: int
+    flagged: int = 0
 
 
 def dense_keys(
@@ -51,11 +56,14 @@ def dense_keys(
     key_col: str,
     start: int = 1,
     partitions: int | None = None,
+    flag: str | None = None,
 ) -> Keyed:
     """Append ``key_col`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` should be unique for a reproducible numbering; ties are
-    numbered in an arbitrary but dense way. The result is checkpointed.
+    numbered in an arbitrary but dense way. The result is materialised.
+    ``flag`` names a boolean column to count in the same pass (validation
+    without another job over the data); it is kept in the output.
     """
     spark = df.sparkSession
     n = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -70,10 +78,15 @@ def dense_keys(
             (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias(_POS),
         )
     )
-    tagged = cut_lineage(tagged)
+    tagged = cut_lineage(tagged, "dense-keys")
 
     # one row per range partition: bounded by ``n``, never by the data
-    counts = dict(tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("c")).collect())
+    aggs = [F.count(F.lit(1)).alias("c")]
+    if flag:
+        aggs.append(F.count_if(F.col(flag)).alias("f"))
+    stats = tagged.groupBy(_PART).agg(*aggs).collect()
+    counts = {r[_PART]: r["c"] for r in stats}
+    flagged = sum(r["f"] for r in stats) if flag else 0
     width = max(counts, default=-1) + 1
     offsets, running = [0] * max(width, 1), 0
     for p in range(width):
@@ -82,7 +95,7 @@ def dense_keys(
     table = F.array(*[F.lit(o).cast("long") for o in offsets])
     offset = F.element_at(table, (F.col(_PART) + 1).cast("int"))
     key = (F.lit(int(start)) + offset + F.col(_POS)).cast("long").alias(key_col)
-    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running)
+    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running, flagged)
 
 
 def assign_dense_keys(

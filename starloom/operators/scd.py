@@ -89,11 +89,13 @@ def merge_snapshot(
     """
     nk = spec.natural_key
     snap = snapshot.select(nk, *spec.attributes)
-    if validate:
-        check_unique_members(snap, nk)
     if dim is None:
         dim = empty_dimension(snap, spec)
     start = next_key(dim, spec.key)
+    # duplicates are found on the partitioning the join needs anyway (hash on
+    # the natural key), not by a separate job over the snapshot
+    dup_count = F.count(F.lit(1)).over(Window.partitionBy(nk)) > 1 if validate else F.lit(False)
+    snap = snap.withColumn("_dup", dup_count)
 
     d, s = dim.alias("d"), snap.alias("s")
     j = d.join(s, F.col(f"d.{nk}") == F.col(f"s.{nk}"), "full_outer")
@@ -102,6 +104,7 @@ def merge_snapshot(
     cur = F.coalesce(F.col(f"d.{spec.is_current}"), F.lit(False))
     changed = any_changed_cols((F.col(f"d.{c}"), F.col(f"s.{c}")) for c in spec.tracked)
     expire = has_d & has_s & cur & changed
+    dup = has_s & F.coalesce(F.col("s._dup"), F.lit(False))
     reject = expire & (F.lit(as_of) <= F.col(f"d.{spec.valid_from}"))
     as_of_lit = F.lit(as_of).cast("date")
     member = F.coalesce(F.col(f"d.{nk}"), F.col(f"s.{nk}"))
@@ -120,7 +123,8 @@ def merge_snapshot(
         F.when(expire, as_of_lit).otherwise(F.col(f"d.{spec.valid_to}")).alias(spec.valid_to),
         F.when(expire, F.lit(False)).otherwise(F.col(f"d.{spec.is_current}")).alias(spec.is_current),
         F.col(f"d.{spec.version}").alias(spec.version),
-        F.when(reject, "rejected")
+        F.when(dup, "duplicate")
+        .when(reject, "rejected")
         .when(expire, "expired")
         .when(cur & has_s, "unchanged")
         .otherwise("carried")
@@ -134,13 +138,16 @@ def merge_snapshot(
         F.lit(END_OF_TIME).cast("date").alias(spec.valid_to),
         F.lit(True).alias(spec.is_current),
         (F.coalesce(F.col(f"d.{spec.version}"), F.lit(0)) + 1).cast("int").alias(spec.version),
-        F.when(has_d, "versioned").otherwise("inserted").alias(_ACTION),
+        F.when(dup, "duplicate").when(has_d, "versioned").otherwise("inserted").alias(_ACTION),
     )
     rows = F.array(F.when(has_d, existing), F.when(~has_d | expire, opened))
     merged = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
-    merged = cut_lineage(merged)
+    merged = cut_lineage(merged, "scd2-merge")
 
     counts = {r[_ACTION]: r["n"] for r in merged.groupBy(_ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if counts.get("duplicate"):
+        bad = merged.where(F.col(_ACTION) == "duplicate").select(nk).distinct().limit(_MAX_LISTED).collect()
+        raise SnapshotRejected(f"duplicate {nk} in snapshot: " + ", ".join(str(r[0]) for r in bad))
     if counts.get("rejected"):
         bad = merged.where(F.col(_ACTION) == "rejected").select(nk).limit(_MAX_LISTED).collect()
         raise SnapshotRejected(
@@ -203,6 +210,12 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
         (F.col(c), F.lag(c).over(w)) for c in spec.tracked
     )
     base = snapshots.select(nk, as_of_col, *spec.attributes).withColumn("_opens", opens)
+    # a member listed twice in one snapshot; both windows cluster by the
+    # natural key, so this rides on the same shuffle
+    per_date = F.count(F.lit(1)).over(Window.partitionBy(nk, as_of_col)) > 1
+    base = base.withColumn("_dup_row", per_date).withColumn(
+        "_dup", F.max("_dup_row").over(Window.partitionBy(nk))
+    )
     if spec.type1:
         t1 = F.struct(*spec.type1)
         if spec.type1_scope == "all":
@@ -227,6 +240,7 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
         F.coalesce(nxt, F.lit(END_OF_TIME)).cast("date").alias(spec.valid_to),
         nxt.isNull().alias(spec.is_current),
         F.row_number().over(w).cast("int").alias(spec.version),
+        "_dup",
     )
 
 
@@ -241,10 +255,15 @@ def rebuild_history_counted(
 
     Keys follow (valid_from, natural key), the order a replay assigns them.
     """
-    if validate:
-        check_unique_members(snapshots, spec.natural_key, as_of_col)
     versions = version_rows(snapshots, spec, as_of_col)
-    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key)
+    if not validate:
+        versions = versions.withColumn("_dup", F.lit(False))
+    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key, flag="_dup")
+    if keyed.flagged:
+        bad = keyed.df.where("_dup").select(spec.natural_key).distinct().limit(_MAX_LISTED).collect()
+        raise SnapshotRejected(
+            f"duplicate {spec.natural_key} within one snapshot: " + ", ".join(str(r[0]) for r in bad)
+        )
     return Keyed(keyed.df.select(*spec.columns), keyed.rows)
 
 
@@ -321,7 +340,7 @@ def type1_merge(
         F.coalesce(F.col(f"d.{natural_key}"), F.col(f"s.{natural_key}")).alias(natural_key),
         *[F.when(has_s, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in attributes],
     )
-    out = cut_lineage(out)
+    out = cut_lineage(out, "scd-merge")
     new = out.where(F.col(key).isNull()).drop(key)
     keyed = assign_dense_keys(new, [natural_key], key, start=start)
     return out.where(F.col(key).isNotNull()).unionByName(keyed.select(*out.columns))
@@ -412,7 +431,7 @@ def type3_merge(
         F.when(moved, F.col(f"d.{cur_c}")).otherwise(F.col(f"d.{prev_c}")).alias(prev_c),
         F.when(moved, F.lit(as_of).cast("date")).otherwise(F.col(f"d.{on_c}")).alias(on_c),
     )
-    out = cut_lineage(out)
+    out = cut_lineage(out, "scd-merge")
     new = out.where(F.col(key).isNull()).drop(key)
     keyed = assign_dense_keys(new, [natural_key], key, start=start)
     return out.where(F.col(key).isNotNull()).unionByName(keyed.select(*out.columns))

@@ -22,7 +22,11 @@ def category_month_revenue(star: Star, months: list[str], total_name: str) -> Da
     """
     d = star.date_dim("date_key", "year_month").where(F.col("year_month").between(months[0], months[-1]))
     cats = star.dim("product", "product_key", "category")
-    lines = star.fact.select("date_key", "product_key", "net_amount").join(d, "date_key").join(cats, "product_key")
+    fact = star.fact
+    if "month_key" in fact.columns:  # persisted fact: prune month partitions, no join needed
+        lo, hi = (int(m.replace("-", "")) for m in (months[0], months[-1]))
+        fact = fact.where(F.col("month_key").between(lo, hi))
+    lines = fact.select("date_key", "product_key", "net_amount").join(d, "date_key").join(cats, "product_key")
     agg = lines.groupBy("category").agg(
         *[F.sum(F.when(F.col("year_month") == m, F.col("net_amount"))).alias(m) for m in months],
         F.sum("net_amount").alias(total_name),

@@ -28,6 +28,7 @@ from starloom.schemas import CUSTOMER_SPEC
 from starloom.sources import star_inputs as src
 
 FACT_PARTITION = "month_key"
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -65,13 +66,20 @@ def write_dimension(df: DataFrame, table_path: str) -> int:
 
 def write_fact(fact: DataFrame, path: str, date_col: str = "date_key") -> None:
     """S6 + D24: the fact partitioned by month; only months present in
-    ``fact`` are replaced (dynamic partition overwrite)."""
+    ``fact`` are replaced (dynamic partition overwrite).
+
+    ``rebalance`` clusters rows by month so each task writes few partitions,
+    while AQE splits a big month into advisory-sized tasks (a month is never
+    funnelled through one task) and merges small ones; files are capped at
+    ``MAX_RECORDS_PER_FILE`` rows.
+    """
     part = (F.col(date_col) / 100).cast("int") if date_col == "date_key" else month_key(date_col)
     (
         fact.withColumn(FACT_PARTITION, part)
-        .repartition(FACT_PARTITION)
+        .hint("rebalance", FACT_PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(FACT_PARTITION)
         .parquet(path)
     )
@@ -138,6 +146,33 @@ def build(spark: SparkSession, sf_root: str, out: str) -> BuildStats:
     )
 
 
+def open_star(spark: SparkSession, sf_root: str, out: str):
+    """The persisted warehouse as a :class:`~starloom.plans.star.Star`.
+
+    Row counts come from Parquet metadata and drive the broadcast bound;
+    the fact keeps its ``month_key`` partition column for pruning.
+    """
+    from starloom.plans.star import Star
+    from starloom.sources.tables import Tables
+
+    dim_date = spark.read.parquet(f"{out}/dim_date")
+    product = read_dimension(spark, f"{out}/dim_product")
+    store = read_dimension(spark, f"{out}/dim_store")
+    customer = read_dimension(spark, f"{out}/dim_customer")
+    rows = {"product": product.count(), "store": store.count(), "customer": customer.count()}
+    return Star(
+        Tables(spark, sf_root),
+        dim_date,
+        product,
+        store,
+        customer,
+        spark.read.parquet(f"{out}/stg_sales"),
+        read_fact(spark, f"{out}/fact_sales"),
+        dim_date.count(),
+        rows,
+    )
+
+
 def idempotency_check(spark: SparkSession, sf_root: str, out: str) -> dict:
     """K9: re-apply the latest snapshot; a correct load changes nothing."""
     from starloom.sources.tables import Tables

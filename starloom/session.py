@@ -64,7 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/starloom-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint directory (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and read it back.
+
+    Unlike ``DataFrame.checkpoint`` the plan runs once (no second job to
+    save the data), the copy is columnar (later reads prune columns) and
+    the re-read table carries file-size statistics for the planner. The
+    folder is the cluster's ``spark.checkpoint.dir``, never a local temp dir.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
