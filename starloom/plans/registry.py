@@ -174,3 +174,4 @@ def segment_pit_vs_current(spark: SparkSession, root: str) -> DataFrame:
 from starloom.plans import queries_load as _load  # noqa: E402,F401
 from starloom.plans import queries_patterns as _patterns  # noqa: E402,F401
 from starloom.plans import queries_stream as _stream  # noqa: E402,F401
+from starloom.plans import queries_sql as _sql  # noqa: E402,F401

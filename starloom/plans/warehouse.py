@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import month_key
 from starloom.operators.facts import resolve_fact
 from starloom.operators.scd import LoadStats, merge_snapshot
-from starloom.plans.star import build_star
 from starloom.schemas import CUSTOMER_SPEC
 from starloom.sources import star_inputs as src
 
@@ -111,39 +110,67 @@ class BuildStats:
     scd_loads: list[LoadStats]
 
 
-def build(spark: SparkSession, sf_root: str, out: str) -> BuildStats:
+def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = None) -> BuildStats:
     """K8: dimensions first (calendar, product, store, customer snapshots
-    oldest first as Type 2), then staging, then the fact."""
-    star = build_star(spark, sf_root)
-    star.dim_date.write.mode("overwrite").parquet(f"{out}/dim_date")
-    write_dimension(star.dim_product, f"{out}/dim_product")
-    write_dimension(star.dim_store, f"{out}/dim_store")
-    snaps = src.customer_snapshots(star.tables)
+    oldest first as Type 2), then staging, then the fact.
+
+    ``timings``, when given, receives seconds per step.
+    """
+    import time
+
+    from starloom.operators.calendar import calendar
+    from starloom.plans.star import order_date_span, product_dimension_counted, store_dimension_counted
+    from starloom.sources.tables import Tables
+
+    clock = time.perf_counter()
+
+    def step(name: str) -> None:
+        nonlocal clock
+        now = time.perf_counter()
+        if timings is not None:
+            timings[name] = round(now - clock, 3)
+        clock = now
+
+    t = Tables(spark, sf_root)
+    lo, hi = order_date_span(t)
+    calendar(spark, lo, hi).write.mode("overwrite").parquet(f"{out}/dim_date")
+    step("dim_date")
+    product = product_dimension_counted(t)
+    write_dimension(product.df, f"{out}/dim_product")
+    store = store_dimension_counted(t)
+    write_dimension(store.df, f"{out}/dim_store")
+    step("dim_product_store")
+    snaps = src.customer_snapshots(t)
     loads: list[LoadStats] = []
     for d in src.SNAPSHOT_DATES:
         current = read_dimension(spark, f"{out}/dim_customer")
         res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC)
         write_dimension(res.dimension, f"{out}/dim_customer")
         loads.append(res.stats)
-    star.stg_sales.write.mode("overwrite").parquet(f"{out}/stg_sales")
+        step(f"scd2_merge_{d}")
+    src.staged_sales(t).write.mode("overwrite").parquet(f"{out}/stg_sales")
+    step("staging")
     dim_customer = read_dimension(spark, f"{out}/dim_customer")
     dim_product = read_dimension(spark, f"{out}/dim_product")
     dim_store = read_dimension(spark, f"{out}/dim_store")
     stg = spark.read.parquet(f"{out}/stg_sales")
     fact = resolve_fact(stg, dim_product, dim_store, dim_customer)
     write_fact(fact, f"{out}/fact_sales")
+    step("fact")
     f = read_fact(spark, f"{out}/fact_sales")
     counts = dim_customer.agg(
         F.count(F.lit(1)).alias("versions"), F.count_distinct("customer_id").alias("members")
     ).first()
-    return BuildStats(
-        products=dim_product.count(),
-        stores=dim_store.count(),
+    stats = BuildStats(
+        products=product.rows,
+        stores=store.rows,
         customers=int(counts["members"]),
         customer_versions=int(counts["versions"]),
         fact_rows=f.count(),
         scd_loads=loads,
     )
+    step("stats")
+    return stats
 
 
 def open_star(spark: SparkSession, sf_root: str, out: str):
