@@ -19,9 +19,6 @@ from starloom.operators.asof import lookup_key, lookup_versions
 from starloom.operators.keys import assign_dense_keys
 from starloom.schemas import CUSTOMER_SPEC, FACT_SALES_COLUMNS, SALE_KEY_ORDER, UNKNOWN_KEY, Scd2Spec
 
-MEASURES = ("quantity", "unit_price", "discount_pct", "gross_amount", "net_amount")
-
-
 def resolve_keys(
     stg: DataFrame,
     dim_product: DataFrame,

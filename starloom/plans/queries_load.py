@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import checks as C
-from starloom.operators.facts import latest_per_merge_key, repair_late_members, resolve_fact
+from starloom.operators.facts import latest_per_merge_key, repair_late_members
 from starloom.operators.scd import (
     load_statistics,
     merge_snapshot,
@@ -141,7 +141,6 @@ HYBRID_ALL = CUSTOMER_SPEC.__class__(**{**CUSTOMER_SPEC.__dict__, "type1": ("ema
 HYBRID_CURRENT = CUSTOMER_SPEC.__class__(
     **{**CUSTOMER_SPEC.__dict__, "type1": ("email",), "type1_scope": "current"}
 )
-_DIM_NO_EMAIL = DIM_CUSTOMER_COLS.replace("email, ", "")
 
 
 @register(
@@ -525,3 +524,52 @@ def check_coverage(spark: SparkSession, root: str) -> DataFrame:
     star = build_star(spark, root)
     q1 = A.category_month_revenue(star, Q1_MONTHS, Q1_TOTAL)
     return C.same_rows(star.dim_product.select("category").distinct(), q1.select("category"), "category")
+
+
+@register(
+    "check_orphans_unknown",
+    with_ctes(
+        ["f_fact_unknown", "dim_date", "f_dim_product", "f_dim_store", "f_dim_customer_late"],
+        """, seeded as (
+  select customer_key from f_dim_customer_late union all select -1
+)
+"""
+        + _metric_union(
+            [
+                ("unknown_lines", "(select count(*) from f_fact_unknown where customer_key = -1)"),
+                (
+                    "orphan_customer_key",
+                    "(select count(*) from f_fact_unknown f where not exists "
+                    "(select 1 from seeded x where x.customer_key = f.customer_key))",
+                ),
+                (
+                    "orphan_product_key",
+                    "(select count(*) from f_fact_unknown f where not exists "
+                    "(select 1 from f_dim_product x where x.product_key = f.product_key))",
+                ),
+                (
+                    "orphan_store_key",
+                    "(select count(*) from f_fact_unknown f where not exists "
+                    "(select 1 from f_dim_store x where x.store_key = f.store_key))",
+                ),
+            ]
+        ),
+    ),
+)
+def check_orphans_unknown(spark: SparkSession, root: str) -> DataFrame:
+    """D4 + T2: facts parked on -1 still have a parent, because every
+    dimension carries the unknown member's seed row."""
+    from starloom.operators.asof import with_unknown_member
+    from starloom.schemas import UNKNOWN_KEY
+
+    star = build_star(spark, root, late=True, mode="unknown")
+    fact = star.fact
+    orphans = C.orphans(
+        fact,
+        {
+            "customer_key": with_unknown_member(star.dim_customer, CUSTOMER_SPEC, "customer_key"),
+            "product_key": with_unknown_member(star.dim_product, None, "product_key"),
+            "store_key": with_unknown_member(star.dim_store, None, "store_key"),
+        },
+    )
+    return C.metrics([C.metric(fact, "unknown_lines", F.count_if(F.col("customer_key") == UNKNOWN_KEY)), orphans])

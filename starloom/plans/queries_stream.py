@@ -75,3 +75,27 @@ def scd2_stream(spark: SparkSession, root: str) -> DataFrame:
     q = merge_snapshot_stream(stream, dim_path, ck, CUSTOMER_SPEC)
     q.awaitTermination()
     return read_dimension(spark, dim_path).select(*[c.strip() for c in DIM_CUSTOMER_COLS.split(",")])
+
+
+@register(
+    "daily_activity_stream",
+    """select user_id, cast(ts as date) as day, sum(cast(value as decimal(18,2))) as day_amount,
+  count(*) as day_events
+from events group by user_id, cast(ts as date)""",
+)
+def daily_activity_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Events files -> watermarked daily rollup (update mode) -> upsert log,
+    read back as the latest version of every (user, day)."""
+    from starloom.operators.facts import latest_per_merge_key
+    from starloom.streaming.loads import daily_activity, run_upserts
+
+    events = Tables(spark, root).events
+    landing = scratch_path(spark, "events_landing")
+    events.write.parquet(landing)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    out, ck = scratch_path(spark, "daily_activity"), scratch_path(spark, "daily_activity_ck")
+    q = run_upserts(daily_activity(stream, "user_id", "ts", "value"), out, ck)
+    q.awaitTermination()
+    log = spark.read.parquet(out)
+    latest = latest_per_merge_key(log, ["user_id", "day"], "batch_id")
+    return latest.select("user_id", "day", F.col("day_amount").cast("decimal(18,2)").alias("day_amount"), "day_events")

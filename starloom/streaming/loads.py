@@ -95,3 +95,38 @@ def merge_snapshot_stream(
     writer = snapshots.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def daily_activity(events: DataFrame, entity: str, ts: str, amount: str, lateness: str = "2 days") -> DataFrame:
+    """Watermarked per-entity daily sums (the input of the periodic snapshot).
+
+    Events later than ``lateness`` behind the newest event are dropped and
+    their day's state is released; everything else lands in its day. Day
+    windows are aligned to UTC midnight, so run with the session time zone
+    at UTC (``build_session`` does); a zone-less ``ts`` is read as UTC.
+    """
+    if events.schema[ts].dataType.typeName() == "timestamp_ntz":
+        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return (
+        events.withWatermark(ts, lateness)
+        .groupBy(F.window(ts, "1 day").alias("w"), F.col(entity))
+        .agg(
+            F.sum(F.col(amount).cast("decimal(18,2)")).alias("day_amount"),
+            F.count(F.lit(1)).alias("day_events"),
+        )
+        .select(entity, F.col("w.start").cast("date").alias("day"), "day_amount", "day_events")
+    )
+
+
+def run_upserts(updates: DataFrame, out: str, checkpoint: str, available_now: bool = True):
+    """Update-mode sink: every micro-batch's changed rows are appended with
+    their batch id; readers keep the latest batch per key
+    (:func:`starloom.operators.facts.latest_per_merge_key`). A replayed batch
+    rewrites its own ``batch_id`` folder, so replays do not duplicate."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
