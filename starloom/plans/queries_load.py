@@ -573,3 +573,40 @@ def check_orphans_unknown(spark: SparkSession, root: str) -> DataFrame:
         },
     )
     return C.metrics([C.metric(fact, "unknown_lines", F.count_if(F.col("customer_key") == UNKNOWN_KEY)), orphans])
+
+
+@register(
+    "warehouse_build",
+    with_ctes(
+        ["f_dim_product", "f_dim_store", "f_dim_customer", "f_fact"],
+        """select cast((select count(*) from f_dim_product) as bigint) as products,
+  cast((select count(*) from f_dim_store) as bigint) as stores,
+  cast((select count(distinct customer_id) from f_dim_customer) as bigint) as customers,
+  cast((select count(*) from f_dim_customer) as bigint) as customer_versions,
+  cast((select count(*) from f_fact) as bigint) as fact_rows""",
+    ),
+)
+def warehouse_build(spark: SparkSession, root: str) -> DataFrame:
+    """K8: build the persisted warehouse, then report what it holds (read
+    back from the written tables)."""
+    from starloom.plans.warehouse import build, read_dimension, read_fact
+
+    out = scratch_path(spark, "warehouse")
+    build(spark, root, out)
+    product = read_dimension(spark, f"{out}/dim_product")
+    store = read_dimension(spark, f"{out}/dim_store")
+    customer = read_dimension(spark, f"{out}/dim_customer")
+    fact = read_fact(spark, f"{out}/fact_sales")
+    names = ["products", "stores", "customers", "customer_versions", "fact_rows"]
+    long = C.metrics(
+        [
+            C.count_rows(product, "products"),
+            C.count_rows(store, "stores"),
+            C.metric(customer, "customers", F.count_distinct("customer_id")),
+            C.count_rows(customer, "customer_versions"),
+            C.count_rows(fact, "fact_rows"),
+        ]
+    )
+    # five (metric, value) rows turned into one row with an explicit pivot list
+    wide = long.groupBy().pivot("metric", names).agg(F.first("value"))
+    return wide.select(*[F.col(n).cast("bigint").alias(n) for n in names])
