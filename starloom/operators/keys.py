@@ -65,13 +65,15 @@ def dense_keys(
     ``flag`` names a boolean column to count in the same pass (validation
     without another job over the data); it is kept in the output.
     """
-    spark = df.sparkSession
-    n = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     order_cols = _cols(order_by)
     pid = F.spark_partition_id().cast("long")
+    # Without an explicit count, AQE sizes the range shuffle from measured
+    # bytes; it only merges *adjacent* ranges, so partition order stays key
+    # order. The partition count (and the offsets list) is bounded by
+    # spark.sql.shuffle.partitions either way.
+    ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
     tagged = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        ranged.sortWithinPartitions(*order_cols)
         .select(
             "*",
             pid.alias(_PART),
