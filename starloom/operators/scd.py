@@ -95,12 +95,13 @@ def merge_snapshot(
     # duplicates are found on the partitioning the join needs anyway (hash on
     # the natural key), not by a separate job over the snapshot
     dup_count = F.count(F.lit(1)).over(Window.partitionBy(nk)) > 1 if validate else F.lit(False)
-    snap = snap.withColumn("_dup", dup_count)
+    snap = snap.withColumn("_dup", dup_count | F.col(nk).isNull()).withColumn("_in_s", F.lit(True))
+    dim = dim.withColumn("_in_d", F.lit(True))
 
     d, s = dim.alias("d"), snap.alias("s")
     j = d.join(s, F.col(f"d.{nk}") == F.col(f"s.{nk}"), "full_outer")
-    has_d = F.col(f"d.{nk}").isNotNull()
-    has_s = F.col(f"s.{nk}").isNotNull()
+    has_d = F.col("d._in_d").isNotNull()
+    has_s = F.col("s._in_s").isNotNull()
     cur = F.coalesce(F.col(f"d.{spec.is_current}"), F.lit(False))
     changed = any_changed_cols((F.col(f"d.{c}"), F.col(f"s.{c}")) for c in spec.tracked)
     expire = has_d & has_s & cur & changed
@@ -147,7 +148,7 @@ def merge_snapshot(
     counts = {r[_ACTION]: r["n"] for r in merged.groupBy(_ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.get("duplicate"):
         bad = merged.where(F.col(_ACTION) == "duplicate").select(nk).distinct().limit(_MAX_LISTED).collect()
-        raise SnapshotRejected(f"duplicate {nk} in snapshot: " + ", ".join(str(r[0]) for r in bad))
+        raise SnapshotRejected(f"duplicate or NULL {nk} in snapshot: " + ", ".join(str(r[0]) for r in bad))
     if counts.get("rejected"):
         bad = merged.where(F.col(_ACTION) == "rejected").select(nk).limit(_MAX_LISTED).collect()
         raise SnapshotRejected(
@@ -213,7 +214,7 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
     # a member listed twice in one snapshot; both windows cluster by the
     # natural key, so this rides on the same shuffle
     per_date = F.count(F.lit(1)).over(Window.partitionBy(nk, as_of_col)) > 1
-    base = base.withColumn("_dup_row", per_date).withColumn(
+    base = base.withColumn("_dup_row", per_date | F.col(nk).isNull()).withColumn(
         "_dup", F.max("_dup_row").over(Window.partitionBy(nk))
     )
     if spec.type1:
@@ -262,7 +263,7 @@ def rebuild_history_counted(
     if keyed.flagged:
         bad = keyed.df.where("_dup").select(spec.natural_key).distinct().limit(_MAX_LISTED).collect()
         raise SnapshotRejected(
-            f"duplicate {spec.natural_key} within one snapshot: " + ", ".join(str(r[0]) for r in bad)
+            f"duplicate or NULL {spec.natural_key} within one snapshot: " + ", ".join(str(r[0]) for r in bad)
         )
     return Keyed(keyed.df.select(*spec.columns), keyed.rows)
 

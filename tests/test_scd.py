@@ -93,6 +93,18 @@ def test_duplicate_member_is_rejected(spark):
         merge_snapshot(None, snaps(spark, [(D1, 1, "A", "x", "n"), (D1, 1, "B", "x", "n")]), D1, SPEC)
 
 
+def test_null_member_key_is_rejected(spark):
+    with pytest.raises(SnapshotRejected, match="NULL"):
+        merge_snapshot(None, snaps(spark, [(D1, 1, "A", "x", "n"), (D1, None, "B", "x", "n")]), D1, SPEC)
+    with pytest.raises(SnapshotRejected, match="NULL"):
+        rebuild_history(snaps(spark, [(D1, 1, "A", "x", "n"), (D2, None, "B", "x", "n")]), SPEC)
+
+
+def test_duplicate_member_is_rejected_by_rebuild(spark):
+    with pytest.raises(SnapshotRejected, match="duplicate"):
+        rebuild_history(snaps(spark, [(D1, 1, "A", "x", "n"), (D2, 1, "A", "x", "n"), (D2, 1, "A", "x", "n")]), SPEC)
+
+
 def test_out_of_order_and_same_day_changes_are_rejected(spark):
     dim = replay(spark, [(D2, 1, "A", "x", "n")]).dimension
     with pytest.raises(SnapshotRejected):
