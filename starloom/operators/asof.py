@@ -28,7 +28,7 @@ def lookup_versions(
 ) -> DataFrame:
     """Append the key of the version in force on ``event_date``.
 
-    ``mode="inner"`` drops facts without a version (the reference's load);
+    ``mode="inner"`` drops facts without a version (parity load);
     ``mode="unknown"`` keeps them with the reserved key -1.
     ``broadcast`` is for callers that have checked the dimension's size.
     """

@@ -30,7 +30,7 @@ def resolve_keys(
 ) -> DataFrame:
     """Staged lines with every surrogate key resolved; staging columns kept.
 
-    ``mode="inner"`` drops a line when any lookup misses (reference load);
+    ``mode="inner"`` drops a line when any lookup misses (parity load);
     ``mode="unknown"`` maps a miss to key -1 and keeps the line.
     ``broadcast`` names the dimensions whose size the caller has checked.
     """

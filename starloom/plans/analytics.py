@@ -109,7 +109,7 @@ def segment_pit_vs_current(star: Star) -> DataFrame:
     Both attributions come out of one pass: every (pit, current) pair row
     feeds its amount to the point-in-time side of one segment and the
     restated side of another, then one aggregate sums both. A segment must
-    appear on both sides (the reference's inner join of the two CTEs).
+    appear on both sides (the two attributions are inner-joined on segment).
     """
     pair = segment_attribution(star)
     net = F.col("net")

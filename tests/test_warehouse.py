@@ -1,6 +1,6 @@
 """The persisted warehouse: build, idempotent re-run, invariants, reloads.
 
-Mirrors the reference's end-to-end tests (grain, referential integrity,
+End-to-end invariants (grain, referential integrity,
 one current version, tiling, versioning, idempotency, reconciliation,
 coverage) on the driver's sf0.001 tables.
 """
