@@ -8,6 +8,7 @@ warehouse requires (dimensions before facts).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from starloom.operators.facts import resolve_fact, resolve_keys
 from starloom.operators.keys import Keyed, dense_keys
 from starloom.operators.scd import rebuild_history_counted, replay_snapshots
 from starloom.schemas import CUSTOMER_SPEC
+from starloom.session import checkpoint_dir
 from starloom.sources import star_inputs as src
 from starloom.sources.tables import Tables
 
@@ -109,12 +111,17 @@ def build_star(
     stg_to: dt.date | None = None,
 ) -> Star:
     t = Tables(spark, root)
-    lo, hi = order_date_span(t)
+    checkpoint_dir(spark)  # resolve once, before jobs start from several threads
+    # the three dimensions are independent loads: submit their jobs together
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        span_f = pool.submit(order_date_span, t)
+        product_f = pool.submit(product_dimension_counted, t)
+        store_f = pool.submit(store_dimension_counted, t)
+        customer_f = pool.submit(customer_dimension_counted, t, customer_method, late)
+        lo, hi = span_f.result()
+        product, store, customer = product_f.result(), store_f.result(), customer_f.result()
     dim_date = calendar(spark, lo, hi)
     days = (hi - lo).days + 1
-    product = product_dimension_counted(t)
-    store = store_dimension_counted(t)
-    customer = customer_dimension_counted(t, customer_method, late)
     rows = {"product": product.rows, "store": store.rows, "customer": customer.rows}
     stg = src.staged_sales(t, stg_from, stg_to)
     star = Star(t, dim_date, product.df, store.df, customer.df, stg, None, days, rows)  # type: ignore[arg-type]

@@ -15,6 +15,7 @@ simply writes the same next version again.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from starloom.functions.dates import month_key
 from starloom.operators.facts import resolve_fact
 from starloom.operators.scd import LoadStats, merge_snapshot
 from starloom.schemas import CUSTOMER_SPEC
+from starloom.session import checkpoint_dir
 from starloom.sources import star_inputs as src
 
 FACT_PARTITION = "month_key"
@@ -132,22 +134,30 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
         clock = now
 
     t = Tables(spark, sf_root)
-    lo, hi = order_date_span(t)
-    calendar(spark, lo, hi).write.mode("overwrite").parquet(f"{out}/dim_date")
-    step("dim_date")
-    product = product_dimension_counted(t)
-    write_dimension(product.df, f"{out}/dim_product")
-    store = store_dimension_counted(t)
-    write_dimension(store.df, f"{out}/dim_store")
-    step("dim_product_store")
-    snaps = src.customer_snapshots(t)
-    loads: list[LoadStats] = []
-    for d in src.SNAPSHOT_DATES:
-        current = read_dimension(spark, f"{out}/dim_customer")
-        res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC)
-        write_dimension(res.dimension, f"{out}/dim_customer")
-        loads.append(res.stats)
-        step(f"scd2_merge_{d}")
+    checkpoint_dir(spark)  # resolve once, before jobs start from several threads
+
+    def static_dimensions():
+        lo, hi = order_date_span(t)
+        calendar(spark, lo, hi).write.mode("overwrite").parquet(f"{out}/dim_date")
+        p = product_dimension_counted(t)
+        write_dimension(p.df, f"{out}/dim_product")
+        s = store_dimension_counted(t)
+        write_dimension(s.df, f"{out}/dim_store")
+        return p, s
+
+    # calendar, product and store load while the customer snapshots merge
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        static = pool.submit(static_dimensions)
+        snaps = src.customer_snapshots(t)
+        loads: list[LoadStats] = []
+        for d in src.SNAPSHOT_DATES:
+            current = read_dimension(spark, f"{out}/dim_customer")
+            res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC)
+            write_dimension(res.dimension, f"{out}/dim_customer")
+            loads.append(res.stats)
+            step(f"scd2_merge_{d}")
+        product, store = static.result()
+        step("dim_date_product_store")
     src.staged_sales(t).write.mode("overwrite").parquet(f"{out}/stg_sales")
     step("staging")
     dim_customer = read_dimension(spark, f"{out}/dim_customer")
