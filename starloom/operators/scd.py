@@ -47,16 +47,6 @@ class MergeResult:
     rows: int | None = None  # exact row count of ``dimension`` when known
 
 
-def check_unique_members(snapshot: DataFrame, natural_key: str, as_of_col: str | None = None) -> None:
-    """Reject a snapshot that lists one member twice (per ``as_of`` if stacked)."""
-    keys = [natural_key] + ([as_of_col] if as_of_col else [])
-    dup = snapshot.groupBy(*keys).count().where(F.col("count") > 1)
-    sample = dup.select(*keys).limit(_MAX_LISTED).collect()
-    if sample:
-        listed = ", ".join(str(tuple(r)) if len(r) > 1 else str(r[0]) for r in sample)
-        raise SnapshotRejected(f"duplicate {natural_key} in snapshot: {listed}")
-
-
 def empty_dimension(snapshot: DataFrame, spec: Scd2Spec) -> DataFrame:
     return snapshot.where(F.lit(False)).select(
         F.lit(None).cast("long").alias(spec.key),

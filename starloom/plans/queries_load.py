@@ -4,6 +4,7 @@ staging replay, CSV staging) and the warehouse checks T1-T10."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -137,10 +138,8 @@ def scd3(spark: SparkSession, root: str) -> DataFrame:
     return type3_rebuild(snaps, "customer_id", "segment", "customer_key")
 
 
-HYBRID_ALL = CUSTOMER_SPEC.__class__(**{**CUSTOMER_SPEC.__dict__, "type1": ("email",), "type1_scope": "all"})
-HYBRID_CURRENT = CUSTOMER_SPEC.__class__(
-    **{**CUSTOMER_SPEC.__dict__, "type1": ("email",), "type1_scope": "current"}
-)
+HYBRID_ALL = dataclasses.replace(CUSTOMER_SPEC, type1=("email",), type1_scope="all")
+HYBRID_CURRENT = dataclasses.replace(CUSTOMER_SPEC, type1=("email",), type1_scope="current")
 
 
 @register(

@@ -73,6 +73,24 @@ def run_fact_stream(resolved: DataFrame, out: str, checkpoint: str, available_no
     return writer.start()
 
 
+def apply_snapshot_batch(
+    batch: DataFrame, dim_path: str, spec: Scd2Spec = CUSTOMER_SPEC, as_of_col: str = "as_of"
+) -> list:
+    """One micro-batch: merge its snapshots oldest first; write a new
+    dimension version only when something changed. Re-applying a batch is a
+    no-op (all members "unchanged"), which is what makes replays safe."""
+    stats = []
+    dates = sorted(r[0] for r in batch.select(as_of_col).distinct().collect())  # one per snapshot
+    for d in dates:
+        current = read_dimension(batch.sparkSession, dim_path)
+        one = batch.where(F.col(as_of_col) == F.lit(d))
+        res = merge_snapshot(current, one, d if isinstance(d, dt.date) else d.date(), spec)
+        if current is None or res.stats.inserted or res.stats.versioned:
+            write_dimension(res.dimension, dim_path)
+        stats.append(res.stats)
+    return stats
+
+
 def merge_snapshot_stream(
     snapshots: DataFrame,
     dim_path: str,
@@ -84,13 +102,7 @@ def merge_snapshot_stream(
     """Apply each arriving snapshot (oldest first within a micro-batch)."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        dates = sorted(r[0] for r in batch.select(as_of_col).distinct().collect())  # one per snapshot
-        for d in dates:
-            current = read_dimension(batch.sparkSession, dim_path)
-            one = batch.where(F.col(as_of_col) == F.lit(d))
-            res = merge_snapshot(current, one, d if isinstance(d, dt.date) else d.date(), spec)
-            if current is None or res.stats.inserted or res.stats.versioned:
-                write_dimension(res.dimension, dim_path)
+        apply_snapshot_batch(batch, dim_path, spec, as_of_col)
 
     writer = snapshots.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
