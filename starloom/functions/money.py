@@ -35,8 +35,9 @@ def whole(x: str | Column) -> Column:
 
 
 def exact_sum(x: str | Column) -> Column:
-    """Sum of a decimal measure, kept at two places."""
-    return F.sum(_c(x)).cast("decimal(18,2)")
+    """Sum of a decimal measure, kept at two places with the widest precision
+    (a 100 TB fact's grand total does not fit 18 digits)."""
+    return F.sum(_c(x)).cast("decimal(38,2)")
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

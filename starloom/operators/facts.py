@@ -196,7 +196,7 @@ def periodic_snapshot(
         entity,
         "day",
         nxt.alias("_until"),
-        F.sum("day_amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(18,2)").alias("balance"),
+        F.sum("day_amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(38,2)").alias("balance"),
         "day_amount",
         "day_events",
     )
@@ -214,7 +214,7 @@ def periodic_snapshot(
         "snapshot_date",
         date_key("snapshot_date").alias("date_key"),
         "balance",
-        F.when(active, F.col("day_amount")).otherwise(F.lit(0).cast("decimal(18,2)")).cast("decimal(18,2)").alias("day_amount"),
+        F.when(active, F.col("day_amount")).otherwise(F.lit(0).cast("decimal(38,2)")).cast("decimal(38,2)").alias("day_amount"),
         F.when(active, F.col("day_events")).otherwise(F.lit(0)).cast("bigint").alias("day_events"),
     )
 

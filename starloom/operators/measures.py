@@ -34,17 +34,17 @@ def slice_discount(lines: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def period_end_balance(snapshot: DataFrame, entity_total_by: str, period: Column, period_name: str) -> DataFrame:
+def period_end_balance(snapshot: DataFrame, date_col: str, period: Column, period_name: str) -> DataFrame:
     """Sum balances across entities on each day, then take the value at
     the period's last day (never sum a balance over time)."""
-    daily = snapshot.groupBy(entity_total_by).agg(
-        F.sum("balance").cast("decimal(18,2)").alias("total_balance"),
+    daily = snapshot.groupBy(date_col).agg(
+        F.sum("balance").cast("decimal(38,2)").alias("total_balance"),
         F.count(F.lit(1)).alias("entities"),
     )
     return daily.groupBy(period.alias(period_name)).agg(
-        F.max(entity_total_by).alias("period_end"),
-        F.max_by("total_balance", entity_total_by).alias("closing_balance"),
-        F.max_by("entities", entity_total_by).alias("entities"),
+        F.max(date_col).alias("period_end"),
+        F.max_by("total_balance", date_col).alias("closing_balance"),
+        F.max_by("entities", date_col).alias("entities"),
     )
 
 

@@ -44,8 +44,8 @@ join f_dim_product p on f.product_key = p.product_key"""
   where l_returnflag = 'R' group by p.category, year(o_orderdate)
 )
 select coalesce(s.category, r.category) as category, coalesce(s.year, r.year) as year,
-  s.sales_lines, cast(s.sales_net as decimal(18,2)) as sales_net,
-  r.return_lines, cast(r.returns_gross as decimal(18,2)) as returns_gross
+  s.sales_lines, cast(s.sales_net as decimal(38,2)) as sales_net,
+  r.return_lines, cast(r.returns_gross as decimal(38,2)) as returns_gross
 from s full outer join r on s.category = r.category and s.year = r.year""",
     ),
 )
@@ -76,7 +76,7 @@ def drill_across(spark: SparkSession, root: str) -> DataFrame:
 
 # --- D9 / D18 month rollup and pre-aggregate --------------------------------------------
 _PREAGG_SQL = f"""select d.year_month, p.category, count(*) as order_lines, cast(sum(f.quantity) as bigint) as units,
-  cast(sum(f.gross_amount) as decimal(18,2)) as gross_amount, cast(sum(f.net_amount) as decimal(18,2)) as net_amount
+  cast(sum(f.gross_amount) as decimal(38,2)) as gross_amount, cast(sum(f.net_amount) as decimal(38,2)) as net_amount
 {_FACT_DATE_PRODUCT} group by d.year_month, p.category"""
 
 
@@ -179,8 +179,8 @@ def conformance(spark: SparkSession, root: str) -> DataFrame:
   join f_dim_customer c on f.customer_key = c.customer_key group by c.region
 )
 select coalesce(s.region, c.region) as region,
-  cast(s.net_by_store_region as decimal(18,2)) as net_by_store_region,
-  cast(c.net_by_customer_region as decimal(18,2)) as net_by_customer_region
+  cast(s.net_by_store_region as decimal(38,2)) as net_by_store_region,
+  cast(c.net_by_customer_region as decimal(38,2)) as net_by_customer_region
 from s full outer join c on s.region = c.region""",
     ),
 )
@@ -197,7 +197,7 @@ def region_two_ways(spark: SparkSession, root: str) -> DataFrame:
         .agg(F.sum("net_amount").alias("_net"))
         .join(star.dim("customer", "customer_key", "region"), "customer_key")
         .groupBy("region")
-        .agg(F.sum("_net").cast("decimal(18,2)").alias("net_by_customer_region"))
+        .agg(F.sum("_net").cast("decimal(38,2)").alias("net_by_customer_region"))
     )
     return conform.drill_across(by_store, by_customer, ["region"])
 
@@ -247,7 +247,7 @@ def slice_discount(spark: SparkSession, root: str) -> DataFrame:
     with_ctes(
         ["f_fact"],
         """select order_id, count(*) as order_lines, cast(sum(quantity) as bigint) as units,
-  cast(sum(gross_amount) as decimal(18,2)) as gross_amount, cast(sum(net_amount) as decimal(18,2)) as net_amount
+  cast(sum(gross_amount) as decimal(38,2)) as gross_amount, cast(sum(net_amount) as decimal(38,2)) as net_amount
 from f_fact group by order_id""",
     ),
 )
@@ -304,14 +304,14 @@ _PERIODIC_SQL = """, daily as (
 ), runs as (
   select *,
     cast(sum(day_amount) over (partition by user_id order by day rows between unbounded preceding and current row)
-      as decimal(18,2)) as balance,
+      as decimal(38,2)) as balance,
     coalesce(lead(day) over (partition by user_id order by day) - 1, (select max(cast(ts as date)) from events)) as until
   from daily
 ), periodic as (
   select user_id, cast(g as date) as snapshot_date,
     cast(year(g) * 10000 + month(g) * 100 + day(g) as int) as date_key,
     balance,
-    case when cast(g as date) = day then day_amount else cast(0 as decimal(18,2)) end as day_amount,
+    case when cast(g as date) = day then day_amount else cast(0 as decimal(38,2)) end as day_amount,
     cast(case when cast(g as date) = day then day_events else 0 end as bigint) as day_events
   from runs, unnest(generate_series(cast(day as timestamp), cast(until as timestamp), interval 1 day)) as t(g)
 )"""
@@ -337,7 +337,7 @@ def periodic_snapshot(spark: SparkSession, root: str) -> DataFrame:
     "with "
     + _PERIODIC_SQL.lstrip(", ")
     + """, totals as (
-  select snapshot_date, cast(sum(balance) as decimal(18,2)) as total_balance, count(*) as entities
+  select snapshot_date, cast(sum(balance) as decimal(38,2)) as total_balance, count(*) as entities
   from periodic group by snapshot_date
 )
 select strftime(snapshot_date, '%Y-%m') as year_month, max(snapshot_date) as period_end,
@@ -463,7 +463,7 @@ def window_reload(spark: SparkSession, root: str) -> DataFrame:
     with_ctes(
         ["f_fact"],
         """select cast(date_key // 100 as int) as month_key, count(*) as order_lines,
-  cast(sum(net_amount) as decimal(18,2)) as net_amount
+  cast(sum(net_amount) as decimal(38,2)) as net_amount
 from f_fact where date_key // 100 between 200001 and 200006 group by date_key // 100""",
     ),
 )

@@ -98,4 +98,4 @@ def daily_activity_stream(spark: SparkSession, root: str) -> DataFrame:
     q.awaitTermination()
     log = spark.read.parquet(out)
     latest = latest_per_merge_key(log, ["user_id", "day"], "batch_id")
-    return latest.select("user_id", "day", F.col("day_amount").cast("decimal(18,2)").alias("day_amount"), "day_events")
+    return latest.select("user_id", "day", F.col("day_amount").cast("decimal(38,2)").alias("day_amount"), "day_events")
