@@ -31,6 +31,7 @@ from starloom.session import cut_lineage
 
 _PART = "_k1_part"
 _POS = "_k1_pos"
+_POS_LIMIT = 1 << 33  # monotonically_increasing_id numbers 2^33 rows per partition
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -89,6 +90,11 @@ def dense_keys(
     stats = tagged.groupBy(_PART).agg(*aggs).collect()
     counts = {r[_PART]: r["c"] for r in stats}
     flagged = sum(r["f"] for r in stats) if flag else 0
+    if counts and max(counts.values()) >= _POS_LIMIT:
+        raise ValueError(
+            f"a range partition holds {max(counts.values())} rows; positions allow {_POS_LIMIT} - "
+            "pass more partitions"
+        )
     width = max(counts, default=-1) + 1
     offsets, running = [0] * max(width, 1), 0
     for p in range(width):
