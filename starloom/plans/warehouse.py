@@ -89,13 +89,29 @@ def write_fact(fact: DataFrame, path: str, date_col: str = "date_key") -> None:
 def reload_window(fact_rows: DataFrame, path: str, first: dt.date, last: dt.date) -> None:
     """Delete and re-insert the business dates [first, last].
 
-    The window is widened to whole months (the partition grain); rows of
-    ``fact_rows`` outside those months are ignored, so a re-run is a no-op.
+    Rows of ``fact_rows`` dated inside the window replace the stored rows of
+    those dates; stored rows of the same months outside the window are kept.
+    The rebuilt months are materialised first (the overwrite never reads the
+    files it replaces), then only those month partitions are overwritten, so
+    re-running the same window is a no-op.
     """
-    lo = first.year * 100 + first.month
-    hi = last.year * 100 + last.month
-    window = fact_rows.where(((F.col("date_key") / 100).cast("int")).between(lo, hi))
-    write_fact(window, path)
+    from starloom.session import cut_lineage
+
+    lo_key, hi_key = (int(d.strftime("%Y%m%d")) for d in (first, last))
+    lo_month, hi_month = lo_key // 100, hi_key // 100
+    in_window = F.col("date_key").between(lo_key, hi_key)
+    cols = [c for c in fact_rows.columns if c != FACT_PARTITION]
+    fresh = fact_rows.select(*cols).where(in_window)
+    spark = fact_rows.sparkSession
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        kept = (
+            read_fact(spark, path)
+            .where(F.col(FACT_PARTITION).between(lo_month, hi_month) & ~in_window)
+            .select(*cols)
+        )
+        fresh = cut_lineage(kept.unionByName(fresh), "window-reload")
+    write_fact(fresh, path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

@@ -101,6 +101,22 @@ def test_window_reload_replaces_only_that_month(spark, tmp_path):
     assert got == [1, 2, 3]
 
 
+def test_reloading_one_day_keeps_the_rest_of_its_month(spark, tmp_path):
+    fact = spark.createDataFrame(
+        [(1, 20200203, 1), (2, 20200210, 2), (3, 20200210, 3), (4, 20200301, 4)],
+        "sale_key long, date_key int, quantity int",
+    )
+    path = str(tmp_path / "f")
+    write_fact(fact, path)
+    # the re-extract of 2020-02-10 has one corrected line and lost another
+    fixed = spark.createDataFrame([(2, 20200210, 20)], "sale_key long, date_key int, quantity int")
+    reload_window(fixed, path, dt.date(2020, 2, 10), dt.date(2020, 2, 10))
+    got = sorted((r["sale_key"], r["quantity"]) for r in read_fact(spark, path).collect())
+    assert got == [(1, 1), (2, 20), (4, 4)]
+    reload_window(fixed, path, dt.date(2020, 2, 10), dt.date(2020, 2, 10))
+    assert sorted((r["sale_key"], r["quantity"]) for r in read_fact(spark, path).collect()) == got
+
+
 def test_month_filter_prunes_partitions(spark, warehouse, capsys):
     out, _ = warehouse
     q = read_fact(spark, f"{out}/fact_sales").where(F.col("month_key").between(199801, 199806))
