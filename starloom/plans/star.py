@@ -62,6 +62,8 @@ class Star:
 def order_date_span(t: Tables) -> tuple[dt.date, dt.date]:
     """Whole calendar years covering every order date (one aggregate row)."""
     r = t.orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+    if r["lo"] is None:
+        raise ValueError("orders is empty: no calendar span to build")
     return dt.date(r["lo"].year, 1, 1), dt.date(r["hi"].year, 12, 31)
 
 
