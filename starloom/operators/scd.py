@@ -344,9 +344,9 @@ def restate_type1(dim: DataFrame, corrections: DataFrame, spec: Scd2Spec, column
     ``"current"`` touches the open version only.
     """
     nk = spec.natural_key
-    fix = corrections.select(nk, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    fix = corrections.select(nk, F.lit(True).alias("_fix"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     j = dim.join(fix, nk, "left")
-    hit = F.col(f"_new_{columns[0]}").isNotNull() if columns else F.lit(False)
+    hit = F.coalesce(F.col("_fix"), F.lit(False))  # a correction row exists (its values may be NULL)
     if spec.type1_scope != "all":
         hit = hit & F.col(spec.is_current)
     return j.select(

@@ -116,3 +116,16 @@ def test_periodic_snapshot_against_brute_force_with_a_hot_user(spark):
             d += dt.timedelta(days=1)
     assert got.keys() == want.keys()
     assert all(got[k] == want[k] for k in want)
+
+
+def test_type1_restatement_applies_null_corrections(spark):
+    from starloom.operators.scd import restate_type1
+
+    spec = Scd2Spec(natural_key="id", tracked=("seg",), attributes=("seg", "email"), key="k")
+    d = spark.createDataFrame(
+        [(1, 7, "A", "old@x", D1, D2, False, 1), (2, 7, "B", "old@x", D2, END_OF_TIME, True, 2)],
+        "k long, id int, seg string, email string, valid_from date, valid_to date, is_current boolean, version int",
+    )
+    fix = spark.createDataFrame([(7, None)], "id int, email string")
+    out = restate_type1(d, fix, spec, ("email",))
+    assert [r["email"] for r in out.collect()] == [None, None]

@@ -78,6 +78,14 @@ def test_rerun_is_a_noop(spark, warehouse):
     assert committed_versions(spark, f"{out}/dim_customer") == before
 
 
+def test_build_can_be_rerun_into_the_same_folder(spark, warehouse):
+    out, stats = warehouse
+    again = build(spark, SF_SMALL, out)
+    assert again.customer_versions == stats.customer_versions
+    assert again.fact_rows == stats.fact_rows
+    assert [s.as_dict() for s in again.scd_loads] == []  # every snapshot was already applied
+
+
 def test_half_written_version_is_ignored(spark, warehouse):
     out, _ = warehouse
     path = f"{out}/dim_customer"
