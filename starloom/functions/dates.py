@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+from starloom.functions.columns import as_col as _c
 
 
 def date_key(d: str | Column) -> Column:

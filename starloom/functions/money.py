@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starloom.schemas import MONEY, PRICE, RATE
-
+from starloom.functions.columns import as_col as _c
 
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+from starloom.schemas import MONEY, PRICE, RATE
 
 
 def to_money(x: str | Column) -> Column:

@@ -14,10 +14,7 @@ def any_changed(columns: Iterable[str], left: str, right: str) -> Column:
 
     NULL versus NULL is "unchanged"; NULL versus a value is a change.
     """
-    tests = [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    if not tests:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, tests)
+    return any_changed_cols((F.col(f"{left}.{c}"), F.col(f"{right}.{c}")) for c in columns)
 
 
 def any_changed_cols(pairs: Iterable[tuple[Column, Column]]) -> Column:
