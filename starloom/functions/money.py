@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import as_col as _c
-
 from starloom.schemas import MONEY, PRICE, RATE
 
 
