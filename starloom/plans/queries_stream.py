@@ -68,7 +68,7 @@ def scd2_stream(spark: SparkSession, root: str) -> DataFrame:
     landing = scratch_path(spark, "snapshot_landing")
     # snapshots land one after another, each in its own as_of=... folder
     for d in src.SNAPSHOT_DATES:
-        snaps.where(F.col("as_of") == F.lit(d)).drop("as_of").write.parquet(f"{landing}/as_of={d}")
+        snaps.where(F.col("as_of") == F.lit(d)).drop("as_of").write.mode("overwrite").parquet(f"{landing}/as_of={d}")
     schema = spark.read.parquet(landing).schema
     stream = spark.readStream.schema(schema).parquet(landing)
     dim_path, ck = scratch_path(spark, "dim_customer"), scratch_path(spark, "dim_customer_ck")
@@ -91,7 +91,7 @@ def daily_activity_stream(spark: SparkSession, root: str) -> DataFrame:
 
     events = Tables(spark, root).events
     landing = scratch_path(spark, "events_landing")
-    events.write.parquet(landing)
+    events.write.mode("overwrite").parquet(landing)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     out, ck = scratch_path(spark, "daily_activity"), scratch_path(spark, "daily_activity_ck")
     q = run_upserts(daily_activity(stream, "user_id", "ts", "value"), out, ck)
