@@ -13,6 +13,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for a large cluster (~100 TB inputs). Shuffle partitions are an
+# upper bound: AQE coalesces them from measured sizes, splits skewed join
+# partitions and rebalanced writes. The checkpoint folder must be shared.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(
     master: str = "local[8]",
     app: str = "starloom",
