@@ -211,6 +211,28 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     return stats
 
 
+def load_increment(spark: SparkSession, out: str, stg_batch: DataFrame, first: dt.date, last: dt.date) -> int:
+    """Load a staged batch covering the business dates [first, last].
+
+    The batch is resolved against the current dimensions, numbered from
+    ``max(sale_key) + 1`` (a range shuffle of the batch only, never of the
+    history) and installed with :func:`reload_window`, so re-running a batch
+    replaces its dates instead of duplicating them. Returns the fact rows of
+    the window after the load.
+    """
+    from starloom.operators.keys import next_key
+
+    fact_path = f"{out}/fact_sales"
+    existing = read_fact(spark, fact_path)
+    dims = {n: read_dimension(spark, f"{out}/dim_{n}") for n in ("product", "store", "customer")}
+    batch = resolve_fact(
+        stg_batch, dims["product"], dims["store"], dims["customer"], start_key=next_key(existing, "sale_key")
+    )
+    reload_window(batch, fact_path, first, last)
+    lo, hi = (int(d.strftime("%Y%m%d")) for d in (first, last))
+    return read_fact(spark, fact_path).where(F.col("date_key").between(lo, hi)).count()
+
+
 def open_star(spark: SparkSession, sf_root: str, out: str):
     """The persisted warehouse as a :class:`~starloom.plans.star.Star`.
 
