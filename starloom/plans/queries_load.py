@@ -609,3 +609,50 @@ def warehouse_build(spark: SparkSession, root: str) -> DataFrame:
     # five (metric, value) rows turned into one row with an explicit pivot list
     wide = long.groupBy().pivot("metric", names).agg(F.first("value"))
     return wide.select(*[F.col(n).cast("bigint").alias(n) for n in names])
+
+
+@register(
+    "check_one_current",
+    with_ctes(
+        ["f_dim_customer"],
+        _metric_union(
+            [
+                (
+                    "members_not_one_current",
+                    "(select count(*) from (select customer_id from f_dim_customer group by customer_id "
+                    "having count(*) filter (where is_current) <> 1))",
+                )
+            ]
+        ),
+    ),
+)
+def check_one_current(spark: SparkSession, root: str) -> DataFrame:
+    """T3 alone: exactly one current version per member."""
+    dim = rebuild_history(src.customer_snapshots(Tables(spark, root)), CUSTOMER_SPEC)
+    return C.one_current(dim, CUSTOMER_SPEC)
+
+
+@register(
+    "check_tiling",
+    with_ctes(
+        ["f_dim_customer"],
+        """, t as (
+  select *, lead(valid_from) over w as nxt, row_number() over w as rn
+  from f_dim_customer window w as (partition by customer_id order by version)
+)
+"""
+        + _metric_union(
+            [
+                ("gap", "(select count(*) from t where nxt is not null and valid_to <> nxt)"),
+                ("last_not_open", "(select count(*) from t where nxt is null and valid_to <> date '9999-12-31')"),
+                ("wrong_current", "(select count(*) from t where is_current <> (nxt is null))"),
+                ("empty_window", "(select count(*) from t where valid_from >= valid_to)"),
+                ("version_hole", "(select count(*) from t where version <> rn)"),
+            ]
+        ),
+    ),
+)
+def check_tiling(spark: SparkSession, root: str) -> DataFrame:
+    """T4 alone: validity windows tile, only the last is open and current."""
+    dim = rebuild_history(src.customer_snapshots(Tables(spark, root)), CUSTOMER_SPEC)
+    return C.tiling(dim, CUSTOMER_SPEC)
