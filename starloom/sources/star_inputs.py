@@ -158,10 +158,16 @@ def staged_sales(
     filter lands on the orders scan as a pushed Parquet predicate.
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    ts_type = o.schema["o_orderdate"].dataType
+
+    def bound(d: dt.date):
+        # literal of the column's own type: no zone conversion, still pushed to Parquet
+        return F.lit(f"{d.isoformat()} 00:00:00").cast(ts_type)
+
     if date_from is not None:
-        o = o.where(F.col("o_orderdate") >= F.lit(dt.datetime.combine(date_from, dt.time())))
+        o = o.where(F.col("o_orderdate") >= bound(date_from))
     if date_to is not None:
-        o = o.where(F.col("o_orderdate") < F.lit(dt.datetime.combine(date_to, dt.time())))
+        o = o.where(F.col("o_orderdate") < bound(date_to))
     li = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
     )

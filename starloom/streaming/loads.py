@@ -113,20 +113,26 @@ def daily_activity(events: DataFrame, entity: str, ts: str, amount: str, latenes
     """Watermarked per-entity daily sums (the input of the periodic snapshot).
 
     Events later than ``lateness`` behind the newest event are dropped and
-    their day's state is released; everything else lands in its day. Day
-    windows are aligned to UTC midnight, so run with the session time zone
-    at UTC (``build_session`` does); a zone-less ``ts`` is read as UTC.
+    their day's state is released; everything else lands in its calendar
+    day (taken from ``ts`` itself, so a zone-less ``ts`` keeps its wall-clock
+    date whatever the session time zone).
     """
+    # the reported day is the event's own calendar date; the window only
+    # drives the watermark and state eviction
+    events = events.withColumn("_day", F.col(ts).cast("date"))
     if events.schema[ts].dataType.typeName() == "timestamp_ntz":
-        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+        # the instant whose UTC reading is the wall clock: day windows (UTC
+        # aligned) then match calendar days whatever the session time zone
+        zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
+        events = events.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone))
     return (
         events.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, "1 day").alias("w"), F.col(entity))
+        .groupBy(F.window(ts, "1 day").alias("w"), F.col(entity), F.col("_day"))
         .agg(
             F.sum(F.col(amount).cast("decimal(18,2)")).alias("day_amount"),
             F.count(F.lit(1)).alias("day_events"),
         )
-        .select(entity, F.col("w.start").cast("date").alias("day"), "day_amount", "day_events")
+        .select(entity, F.col("_day").alias("day"), "day_amount", "day_events")
     )
 
 
