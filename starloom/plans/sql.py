@@ -27,11 +27,17 @@ def register_views(star: Star) -> None:
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:
-    """Analyse ``sql`` with double-quoted identifiers, then restore the setting."""
-    key = "spark.sql.ansi.doubleQuotedIdentifiers"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+    """Analyse ``sql`` with ANSI double-quoted identifiers (which need ANSI
+    mode), then restore the session's settings."""
+    keys = {"spark.sql.ansi.enabled": "true", "spark.sql.ansi.doubleQuotedIdentifiers": "true"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         return spark.sql(sql)
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
