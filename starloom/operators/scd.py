@@ -47,6 +47,29 @@ class MergeResult:
     rows: int | None = None  # exact row count of ``dimension`` when known
 
 
+def validate_members(snapshots: DataFrame, natural_key: str, as_of_col: str | None = None) -> None:
+    """Reject a snapshot listing a member twice (per ``as_of`` when stacked)
+    or a member without a key.
+
+    A hash aggregate: copies of one member are counted map-side before the
+    shuffle, so even a member repeated millions of times never gathers its
+    rows in one task. Only up to ``_MAX_LISTED`` offending keys reach the
+    driver.
+    """
+    keys = [natural_key] + ([as_of_col] if as_of_col else [])
+    bad = (
+        snapshots.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where((F.col("_n") > 1) | F.col(natural_key).isNull())
+        .select(*keys)
+        .limit(_MAX_LISTED)
+        .collect()
+    )
+    if bad:
+        listed = ", ".join(str(tuple(r)) if len(r) > 1 else str(r[0]) for r in bad)
+        raise SnapshotRejected(f"duplicate or NULL {natural_key} in snapshot: {listed}")
+
+
 def empty_dimension(snapshot: DataFrame, spec: Scd2Spec) -> DataFrame:
     return snapshot.where(F.lit(False)).select(
         F.lit(None).cast("long").alias(spec.key),
@@ -79,13 +102,12 @@ def merge_snapshot(
     """
     nk = spec.natural_key
     snap = snapshot.select(nk, *spec.attributes)
+    if validate:
+        validate_members(snap, nk)
     if dim is None:
         dim = empty_dimension(snap, spec)
     start = next_key(dim, spec.key)
-    # duplicates are found on the partitioning the join needs anyway (hash on
-    # the natural key), not by a separate job over the snapshot
-    dup_count = F.count(F.lit(1)).over(Window.partitionBy(nk)) > 1 if validate else F.lit(False)
-    snap = snap.withColumn("_dup", dup_count | F.col(nk).isNull()).withColumn("_in_s", F.lit(True))
+    snap = snap.withColumn("_in_s", F.lit(True))
     dim = dim.withColumn("_in_d", F.lit(True))
 
     d, s = dim.alias("d"), snap.alias("s")
@@ -95,7 +117,6 @@ def merge_snapshot(
     cur = F.coalesce(F.col(f"d.{spec.is_current}"), F.lit(False))
     changed = any_changed_cols((F.col(f"d.{c}"), F.col(f"s.{c}")) for c in spec.tracked)
     expire = has_d & has_s & cur & changed
-    dup = has_s & F.coalesce(F.col("s._dup"), F.lit(False))
     reject = expire & (F.lit(as_of) <= F.col(f"d.{spec.valid_from}"))
     as_of_lit = F.lit(as_of).cast("date")
     member = F.coalesce(F.col(f"d.{nk}"), F.col(f"s.{nk}"))
@@ -114,8 +135,7 @@ def merge_snapshot(
         F.when(expire, as_of_lit).otherwise(F.col(f"d.{spec.valid_to}")).alias(spec.valid_to),
         F.when(expire, F.lit(False)).otherwise(F.col(f"d.{spec.is_current}")).alias(spec.is_current),
         F.col(f"d.{spec.version}").alias(spec.version),
-        F.when(dup, "duplicate")
-        .when(reject, "rejected")
+        F.when(reject, "rejected")
         .when(expire, "expired")
         .when(cur & has_s, "unchanged")
         .otherwise("carried")
@@ -129,16 +149,13 @@ def merge_snapshot(
         F.lit(END_OF_TIME).cast("date").alias(spec.valid_to),
         F.lit(True).alias(spec.is_current),
         (F.coalesce(F.col(f"d.{spec.version}"), F.lit(0)) + 1).cast("int").alias(spec.version),
-        F.when(dup, "duplicate").when(has_d, "versioned").otherwise("inserted").alias(_ACTION),
+        F.when(has_d, "versioned").otherwise("inserted").alias(_ACTION),
     )
     rows = F.array(F.when(has_d, existing), F.when(~has_d | expire, opened))
     merged = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
     merged = cut_lineage(merged, "scd2-merge")
 
     counts = {r[_ACTION]: r["n"] for r in merged.groupBy(_ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if counts.get("duplicate"):
-        bad = merged.where(F.col(_ACTION) == "duplicate").select(nk).distinct().limit(_MAX_LISTED).collect()
-        raise SnapshotRejected(f"duplicate or NULL {nk} in snapshot: " + ", ".join(str(r[0]) for r in bad))
     if counts.get("rejected"):
         bad = merged.where(F.col(_ACTION) == "rejected").select(nk).limit(_MAX_LISTED).collect()
         raise SnapshotRejected(
@@ -201,12 +218,6 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
         (F.col(c), F.lag(c).over(w)) for c in spec.tracked
     )
     base = snapshots.select(nk, as_of_col, *spec.attributes).withColumn("_opens", opens)
-    # a member listed twice in one snapshot; both windows cluster by the
-    # natural key, so this rides on the same shuffle
-    per_date = F.count(F.lit(1)).over(Window.partitionBy(nk, as_of_col)) > 1
-    base = base.withColumn("_dup_row", per_date | F.col(nk).isNull()).withColumn(
-        "_dup", F.max("_dup_row").over(Window.partitionBy(nk))
-    )
     if spec.type1:
         t1 = F.struct(*spec.type1)
         if spec.type1_scope == "all":
@@ -231,7 +242,6 @@ def version_rows(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of")
         F.coalesce(nxt, F.lit(END_OF_TIME)).cast("date").alias(spec.valid_to),
         nxt.isNull().alias(spec.is_current),
         F.row_number().over(w).cast("int").alias(spec.version),
-        "_dup",
     )
 
 
@@ -246,15 +256,10 @@ def rebuild_history_counted(
 
     Keys follow (valid_from, natural key), the order a replay assigns them.
     """
+    if validate:
+        validate_members(snapshots, spec.natural_key, as_of_col)
     versions = version_rows(snapshots, spec, as_of_col)
-    if not validate:
-        versions = versions.withColumn("_dup", F.lit(False))
-    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key, flag="_dup")
-    if keyed.flagged:
-        bad = keyed.df.where("_dup").select(spec.natural_key).distinct().limit(_MAX_LISTED).collect()
-        raise SnapshotRejected(
-            f"duplicate or NULL {spec.natural_key} within one snapshot: " + ", ".join(str(r[0]) for r in bad)
-        )
+    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key)
     return Keyed(keyed.df.select(*spec.columns), keyed.rows)
 
 
