@@ -274,11 +274,15 @@ def rebuild_history(
     return rebuild_history_counted(snapshots, spec, as_of_col, start_key, validate).df
 
 
-def load_statistics(snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of") -> DataFrame:
+def load_statistics(
+    snapshots: DataFrame, spec: Scd2Spec, as_of_col: str = "as_of", validate: bool = True
+) -> DataFrame:
     """K6 for every stacked snapshot at once: inserted / versioned / unchanged.
 
     Same classification as the merge, computed with one window pass.
     """
+    if validate:
+        validate_members(snapshots, spec.natural_key, as_of_col)
     nk = spec.natural_key
     w = Window.partitionBy(nk).orderBy(as_of_col)
     first = F.lag(as_of_col).over(w).isNull()
@@ -307,6 +311,7 @@ def type1_rebuild(
     Keys follow first appearance (first as_of, then natural key), the order
     in which incremental loads would have drawn them.
     """
+    validate_members(snapshots, natural_key, as_of_col)
     latest = F.max_by(F.struct(*attributes), F.col(as_of_col))
     members = snapshots.groupBy(natural_key).agg(
         F.min(as_of_col).alias("_first_seen"), latest.alias("_v")
@@ -325,6 +330,7 @@ def type1_merge(
 ) -> DataFrame:
     """Incremental Type-1 load: overwrite in place, new members get new keys."""
     snap = snapshot.select(natural_key, *attributes)
+    validate_members(snap, natural_key)
     if dim is None:
         return assign_dense_keys(snap, [natural_key], key).select(key, natural_key, *attributes)
     start = next_key(dim, key)
@@ -374,6 +380,7 @@ def type3_rebuild(
 ) -> DataFrame:
     """One row per member: current value, the value before the latest change
     and the date of that change (NULL when it never changed)."""
+    validate_members(snapshots, natural_key, as_of_col)
     w = Window.partitionBy(natural_key).orderBy(as_of_col)
     prev = F.lag(attribute).over(w)
     changed = F.lag(as_of_col).over(w).isNotNull() & ~F.col(attribute).eqNullSafe(prev)
@@ -406,6 +413,7 @@ def type3_merge(
 ) -> DataFrame:
     """Incremental Type-3 load: on change, current moves to previous."""
     cur_c, prev_c, on_c = f"current_{attribute}", f"previous_{attribute}", f"{attribute}_changed_on"
+    validate_members(snapshot, natural_key)
     snap = snapshot.select(natural_key, F.col(attribute).alias("_new"))
     if dim is None:
         first = snap.select(
