@@ -68,5 +68,5 @@ def outrigger(dim: DataFrame, date_col: str, dim_date: DataFrame, attrs: Sequenc
     """Describe a dimension's own date through the shared calendar."""
     cal = dim_date.select(
         F.col("full_date").alias("_o_date"), *[F.col(a).alias(f"{prefix}{a}") for a in attrs]
-    )
+    )  # pass the calendar broadcast-hinted: many rows share one date
     return dim.join(cal, F.col(date_col) == F.col("_o_date"), "left").drop("_o_date")

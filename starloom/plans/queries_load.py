@@ -338,10 +338,10 @@ def check_orphans(spark: SparkSession, root: str) -> DataFrame:
     return C.orphans(
         star.fact,
         {
-            "date_key": star.dim_date,
-            "product_key": star.dim_product,
-            "store_key": star.dim_store,
-            "customer_key": star.dim_customer,
+            "date_key": star.date_dim("date_key"),
+            "product_key": star.dim("product", "product_key"),
+            "store_key": star.dim("store", "store_key"),
+            "customer_key": star.dim("customer", "customer_key"),
         },
     )
 
