@@ -128,6 +128,23 @@ class BuildStats:
     scd_loads: list[LoadStats]
 
 
+class UnsafeVersion(RuntimeError):
+    """A new dimension version that breaks T3/T4; it is not published."""
+
+
+def assert_publishable(dim: DataFrame, spec) -> None:
+    """T3 + T4 on a version before it becomes visible: one current row per
+    member, windows that tile, versions 1..n. Two small aggregate jobs."""
+    from starloom.operators import checks as C
+
+    bad = C.failures(
+        C.metrics([C.one_current(dim, spec), C.tiling(dim, spec)]),
+        {m: 0 for m in ("members_not_one_current", "gap", "last_not_open", "wrong_current", "empty_window", "version_hole")},
+    )
+    if bad:
+        raise UnsafeVersion("; ".join(bad))
+
+
 def latest_load(dim: DataFrame) -> dt.date:
     """The newest ``valid_from``: every snapshot dated on or before it has
     been applied (loads run oldest first and the first one opens versions)."""
@@ -141,6 +158,7 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     Safe to re-run into the same ``out`` after a failure: static tables are
     overwritten, snapshots already applied are skipped, later ones re-apply
     as no-ops or as the missing loads. ``scd_loads`` lists the loads run now.
+    Each customer version passes T3/T4 before it is published.
 
     ``timings``, when given, receives seconds per step.
     """
@@ -181,6 +199,7 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
             if current is not None and d <= latest_load(current):
                 continue  # applied before a crash: resume after the newest load
             res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC)
+            assert_publishable(res.dimension, CUSTOMER_SPEC)
             write_dimension(res.dimension, f"{out}/dim_customer")
             loads.append(res.stats)
             step(f"scd2_merge_{d}")

@@ -103,6 +103,17 @@ def test_incremental_day_load_is_idempotent(spark, warehouse):
     assert after.select("sale_key").distinct().count() == n_before
 
 
+def test_a_broken_version_is_not_published(spark):
+    from starloom.plans.warehouse import UnsafeVersion, assert_publishable
+
+    bad = spark.createDataFrame(
+        [(1, 7, dt.date(2020, 1, 1), dt.date(9999, 12, 31), True, 1), (2, 7, dt.date(2020, 6, 1), dt.date(9999, 12, 31), True, 2)],
+        "customer_key long, customer_id int, valid_from date, valid_to date, is_current boolean, version int",
+    )
+    with pytest.raises(UnsafeVersion):
+        assert_publishable(bad, CUSTOMER_SPEC)
+
+
 def test_half_written_version_is_ignored(spark, warehouse):
     out, _ = warehouse
     path = f"{out}/dim_customer"
