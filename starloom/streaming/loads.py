@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from starloom.operators.facts import resolve_keys
 from starloom.operators.scd import merge_snapshot
-from starloom.plans.warehouse import FACT_PARTITION, read_dimension, write_dimension
+from starloom.plans.warehouse import FACT_PARTITION, assert_publishable, read_dimension, write_dimension
 from starloom.schemas import CUSTOMER_SPEC, Scd2Spec
 
 FACT_STREAM_COLUMNS = [
@@ -86,6 +86,7 @@ def apply_snapshot_batch(
         one = batch.where(F.col(as_of_col) == F.lit(d))
         res = merge_snapshot(current, one, d if isinstance(d, dt.date) else d.date(), spec)
         if current is None or res.stats.inserted or res.stats.versioned:
+            assert_publishable(res.dimension, spec)
             write_dimension(res.dimension, dim_path)
         stats.append(res.stats)
     return stats
