@@ -22,6 +22,7 @@ from starloom.session import cut_lineage
 
 _ACTION = "_action"
 _MAX_LISTED = 20  # how many offending keys an error message lists
+_ROWS_PER_KEY_PARTITION = 2_000_000  # new versions numbered per range partition
 
 
 class SnapshotRejected(ValueError):
@@ -45,6 +46,7 @@ class MergeResult:
     stats: LoadStats
     history: list[LoadStats] = field(default_factory=list)
     rows: int | None = None  # exact row count of ``dimension`` when known
+    next_key: int | None = None  # first free surrogate key after this load
 
 
 def validate_members(snapshots: DataFrame, natural_key: str, as_of_col: str | None = None) -> None:
@@ -91,6 +93,7 @@ def merge_snapshot(
     as_of: dt.date,
     spec: Scd2Spec,
     validate: bool = True,
+    start_key: int | None = None,
 ) -> MergeResult:
     """Apply one dated snapshot to a Type-2 (optionally hybrid) dimension.
 
@@ -99,6 +102,8 @@ def merge_snapshot(
     columns, if any, are overwritten in place). Members missing from the
     snapshot stay as they are. Raises :class:`SnapshotRejected` on duplicate
     members or on a change dated on/before the current version's start.
+    ``start_key`` may pass the first free key when the caller knows it (a
+    replay carries ``MergeResult.next_key``); otherwise it is ``max(key)+1``.
     """
     nk = spec.natural_key
     snap = snapshot.select(nk, *spec.attributes)
@@ -106,7 +111,9 @@ def merge_snapshot(
         validate_members(snap, nk)
     if dim is None:
         dim = empty_dimension(snap, spec)
-    start = next_key(dim, spec.key)
+        start = 1
+    else:
+        start = start_key if start_key is not None else next_key(dim, spec.key)
     snap = snap.withColumn("_in_s", F.lit(True))
     dim = dim.withColumn("_in_d", F.lit(True))
 
@@ -171,10 +178,14 @@ def merge_snapshot(
     rows = sum(counts.values())
     kept = merged.where(F.col(spec.key).isNotNull()).drop(_ACTION)
     new = merged.where(F.col(spec.key).isNull()).drop(_ACTION, spec.key)
-    if stats.inserted + stats.versioned == 0:
-        return MergeResult(kept.select(*spec.columns), stats, rows=rows)
-    keyed = assign_dense_keys(new, [nk], spec.key, start=start)
-    return MergeResult(kept.unionByName(keyed).select(*spec.columns), stats, rows=rows)
+    n_new = stats.inserted + stats.versioned
+    if n_new == 0:
+        return MergeResult(kept.select(*spec.columns), stats, rows=rows, next_key=start)
+    # the exact number of new versions sizes the range partitioning (one
+    # partition needs no sampling pass)
+    parts = -(-n_new // _ROWS_PER_KEY_PARTITION)
+    keyed = assign_dense_keys(new, [nk], spec.key, start=start, partitions=parts)
+    return MergeResult(kept.unionByName(keyed).select(*spec.columns), stats, rows=rows, next_key=start + n_new)
 
 
 def replay_snapshots(
@@ -190,9 +201,10 @@ def replay_snapshots(
     history: list[LoadStats] = []
     stats = LoadStats()
     rows = None
+    start = None  # known exactly after the first merge: no max(key) scan per load
     for d in dates:
-        res = merge_snapshot(dim, snapshots.where(F.col(as_of_col) == F.lit(d)), d, spec)
-        dim, stats, rows = res.dimension, res.stats, res.rows
+        res = merge_snapshot(dim, snapshots.where(F.col(as_of_col) == F.lit(d)), d, spec, start_key=start)
+        dim, stats, rows, start = res.dimension, res.stats, res.rows, res.next_key
         history.append(stats)
     if dim is None:
         dim = empty_dimension(snapshots.select(spec.natural_key, *spec.attributes), spec)
