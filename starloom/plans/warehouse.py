@@ -194,11 +194,15 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
         static = pool.submit(static_dimensions)
         snaps = src.customer_snapshots(t)
         loads: list[LoadStats] = []
+        start = None  # first free key, carried from merge to merge once known
         for d in src.SNAPSHOT_DATES:
             current = read_dimension(spark, f"{out}/dim_customer")
             if current is not None and d <= latest_load(current):
                 continue  # applied before a crash: resume after the newest load
-            res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC)
+            res = merge_snapshot(
+                current, snaps.where(F.col("as_of") == F.lit(d)), d, CUSTOMER_SPEC, start_key=start
+            )
+            start = res.next_key
             assert_publishable(res.dimension, CUSTOMER_SPEC)
             write_dimension(res.dimension, f"{out}/dim_customer")
             loads.append(res.stats)
