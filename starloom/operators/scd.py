@@ -49,27 +49,26 @@ class MergeResult:
     next_key: int | None = None  # first free surrogate key after this load
 
 
-def validate_members(snapshots: DataFrame, natural_key: str, as_of_col: str | None = None) -> None:
+def validate_members(snapshots: DataFrame, natural_key: str, as_of_col: str | None = None) -> int:
     """Reject a snapshot listing a member twice (per ``as_of`` when stacked)
-    or a member without a key.
+    or a member without a key; return the snapshot's row count.
 
     A hash aggregate: copies of one member are counted map-side before the
     shuffle, so even a member repeated millions of times never gathers its
     rows in one task. Only up to ``_MAX_LISTED`` offending keys reach the
-    driver.
+    driver (in a second job, on the error path only).
     """
     keys = [natural_key] + ([as_of_col] if as_of_col else [])
-    bad = (
-        snapshots.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > 1) | F.col(natural_key).isNull())
-        .select(*keys)
-        .limit(_MAX_LISTED)
-        .collect()
-    )
-    if bad:
+    grouped = snapshots.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    bad_row = (F.col("_n") > 1) | F.col(natural_key).isNull()
+    summary = grouped.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(bad_row).alias("bad")
+    ).first()
+    if summary["bad"]:
+        bad = grouped.where(bad_row).select(*keys).limit(_MAX_LISTED).collect()
         listed = ", ".join(str(tuple(r)) if len(r) > 1 else str(r[0]) for r in bad)
         raise SnapshotRejected(f"duplicate or NULL {natural_key} in snapshot: {listed}")
+    return int(summary["rows"])
 
 
 def empty_dimension(snapshot: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -107,8 +106,7 @@ def merge_snapshot(
     """
     nk = spec.natural_key
     snap = snapshot.select(nk, *spec.attributes)
-    if validate:
-        validate_members(snap, nk)
+    snap_rows = validate_members(snap, nk) if validate else None
     if dim is None:
         dim = empty_dimension(snap, spec)
         start = 1
@@ -175,6 +173,13 @@ def merge_snapshot(
         versioned=counts.get("versioned", 0),
         unchanged=counts.get("unchanged", 0),
     )
+    classified = stats.inserted + stats.versioned + stats.unchanged
+    if snap_rows is not None and classified != snap_rows:
+        # a member in the dimension with no current version, or with two
+        raise SnapshotRejected(
+            f"snapshot {as_of}: {snap_rows} members but {classified} classified; "
+            "the dimension must hold exactly one current version per member"
+        )
     rows = sum(counts.values())
     kept = merged.where(F.col(spec.key).isNotNull()).drop(_ACTION)
     new = merged.where(F.col(spec.key).isNull()).drop(_ACTION, spec.key)

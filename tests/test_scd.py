@@ -113,6 +113,16 @@ def test_out_of_order_and_same_day_changes_are_rejected(spark):
         merge_snapshot(dim, snaps(spark, [(D2, 1, "B", "x", "n")]), D2, SPEC)
 
 
+def test_member_without_current_version_is_refused(spark):
+    broken = spark.createDataFrame(
+        [(1, 1, "A", "x", "n", D1, D2, False, 1)],
+        "k long, id int, segment string, city string, name string, valid_from date, valid_to date, "
+        "is_current boolean, version int",
+    )
+    with pytest.raises(SnapshotRejected, match="one current version"):
+        merge_snapshot(broken, snaps(spark, [(D3, 1, "B", "x", "n")]), D3, SPEC)
+
+
 def test_empty_snapshot(spark):
     dim = replay(spark, [(D1, 1, "A", "x", "n")]).dimension
     res = merge_snapshot(dim, snaps(spark, []), D2, SPEC)
