@@ -40,15 +40,10 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 @dataclass
 class Keyed:
-    """A keyed frame and its exact row count (a proven size for broadcasts).
-
-    ``flagged`` counts rows whose optional ``flag`` column was true, found in
-    the same pass that counts rows.
-    """
+    """A keyed frame and its exact row count (a proven size for broadcasts)."""
 
     df: DataFrame
     rows: int
-    flagged: int = 0
 
 
 def dense_keys(
@@ -57,14 +52,13 @@ def dense_keys(
     key_col: str,
     start: int = 1,
     partitions: int | None = None,
-    flag: str | None = None,
 ) -> Keyed:
     """Append ``key_col`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` should be unique for a reproducible numbering; ties are
     numbered in an arbitrary but dense way. The result is materialised.
-    ``flag`` names a boolean column to count in the same pass (validation
-    without another job over the data); it is kept in the output.
+    ``partitions`` fixes the range partition count (pass it when the row count
+    is known; one partition needs no sampling pass); by default AQE sizes it.
     """
     order_cols = _cols(order_by)
     pid = F.spark_partition_id().cast("long")
@@ -84,12 +78,8 @@ def dense_keys(
     tagged = cut_lineage(tagged, "dense-keys")
 
     # one row per range partition: bounded by ``n``, never by the data
-    aggs = [F.count(F.lit(1)).alias("c")]
-    if flag:
-        aggs.append(F.count_if(F.col(flag)).alias("f"))
-    stats = tagged.groupBy(_PART).agg(*aggs).collect()
+    stats = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("c")).collect()
     counts = {r[_PART]: r["c"] for r in stats}
-    flagged = sum(r["f"] for r in stats) if flag else 0
     if counts and max(counts.values()) >= _POS_LIMIT:
         raise ValueError(
             f"a range partition holds {max(counts.values())} rows; positions allow {_POS_LIMIT} - "
@@ -103,7 +93,7 @@ def dense_keys(
     table = F.array(*[F.lit(o).cast("long") for o in offsets])
     offset = F.element_at(table, (F.col(_PART) + 1).cast("int"))
     key = (F.lit(int(start)) + offset + F.col(_POS)).cast("long").alias(key_col)
-    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running, flagged)
+    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running)
 
 
 def assign_dense_keys(
