@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import re
 import sys
 import time
 from collections import Counter
@@ -40,7 +41,24 @@ def _multiset(cols: list[str], rows: list[tuple]) -> tuple[list[str], Counter]:
     return [cols[i] for i in order], Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-def oracle_rows(root: str, sql: str) -> tuple[list[str], list[tuple]]:
+_DUCK_TO_SPARK = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "SMALLINT": "smallint",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+    "DOUBLE": "double",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def _spark_type_name(duck_type: str) -> str:
+    m = re.match(r"DECIMAL\((\d+),\s*(\d+)\)", duck_type)
+    return f"decimal({m.group(1)},{m.group(2)})" if m else _DUCK_TO_SPARK.get(duck_type, duck_type)
+
+
+def _connect(root: str):
     import duckdb
 
     con = duckdb.connect()
@@ -50,11 +68,21 @@ def oracle_rows(root: str, sql: str) -> tuple[list[str], list[tuple]]:
             con.execute(f"create view {t} as select * from read_parquet('{path}')")
         except Exception:  # table absent at this scale
             pass
-    cur = con.execute(sql)
+    return con
+
+
+def oracle_rows(root: str, sql: str) -> tuple[list[str], list[tuple]]:
+    cur = _connect(root).execute(sql)
     cols = [d[0] for d in cur.description]
     return cols, cur.fetchall()
 
 
+def oracle_types(root: str, sql: str) -> dict[str, str]:
+    """Oracle column types, named as Spark names them."""
+    rel = _connect(root).sql(sql)
+    return {c: _spark_type_name(str(t)) for c, t in zip(rel.columns, rel.types)}
+
+
 def compare_one(spark, root: str, name: str) -> dict:
     from starloom.plans.registry import REGISTRY
 
@@ -73,6 +101,8 @@ def compare_one(spark, root: str, name: str) -> dict:
     oc, oset = _multiset(ocols, orows)
     out["oracle_rows"] = len(orows)
     out["columns_match"] = scols == oc
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out["types_match"] = stypes == oracle_types(root, sql)
     out["values_match"] = sset == oset
     if not out["columns_match"]:
         out["spark_columns"], out["oracle_columns"] = scols, oc

@@ -12,6 +12,7 @@ from .conftest import SF_SMALL
 def test_query_matches_oracle(spark, name):
     r = compare_one(spark, SF_SMALL, name)
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["values_match"], r
     assert r["spark_rows"] == r["oracle_rows"]
 
