@@ -273,10 +273,13 @@ def rebuild_history_counted(
 
     Keys follow (valid_from, natural key), the order a replay assigns them.
     """
+    parts = None
     if validate:
-        validate_members(snapshots, spec.natural_key, as_of_col)
+        # versions never outnumber snapshot rows: a proven bound sizes the numbering
+        n = validate_members(snapshots, spec.natural_key, as_of_col)
+        parts = max(1, -(-n // _ROWS_PER_KEY_PARTITION))
     versions = version_rows(snapshots, spec, as_of_col)
-    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key)
+    keyed = dense_keys(versions, [spec.valid_from, spec.natural_key], spec.key, start=start_key, partitions=parts)
     return Keyed(keyed.df.select(*spec.columns), keyed.rows)
 
 
