@@ -331,13 +331,14 @@ def type1_rebuild(
     Keys follow first appearance (first as_of, then natural key), the order
     in which incremental loads would have drawn them.
     """
-    validate_members(snapshots, natural_key, as_of_col)
+    n = validate_members(snapshots, natural_key, as_of_col)
     latest = F.max_by(F.struct(*attributes), F.col(as_of_col))
     members = snapshots.groupBy(natural_key).agg(
         F.min(as_of_col).alias("_first_seen"), latest.alias("_v")
     )
     members = members.select(natural_key, "_first_seen", *[F.col(f"_v.{c}").alias(c) for c in attributes])
-    keyed = assign_dense_keys(members, ["_first_seen", natural_key], key)
+    parts = max(1, -(-n // _ROWS_PER_KEY_PARTITION))  # members never outnumber snapshot rows
+    keyed = assign_dense_keys(members, ["_first_seen", natural_key], key, partitions=parts)
     return keyed.select(key, natural_key, *attributes)
 
 
@@ -400,7 +401,7 @@ def type3_rebuild(
 ) -> DataFrame:
     """One row per member: current value, the value before the latest change
     and the date of that change (NULL when it never changed)."""
-    validate_members(snapshots, natural_key, as_of_col)
+    n = validate_members(snapshots, natural_key, as_of_col)
     w = Window.partitionBy(natural_key).orderBy(as_of_col)
     prev = F.lag(attribute).over(w)
     changed = F.lag(as_of_col).over(w).isNotNull() & ~F.col(attribute).eqNullSafe(prev)
@@ -417,7 +418,8 @@ def type3_rebuild(
         F.max_by("_prev", "_changed_on").alias(f"previous_{attribute}"),
         F.max("_changed_on").cast("date").alias(f"{attribute}_changed_on"),
     )
-    keyed = assign_dense_keys(members, ["_first_seen", natural_key], key)
+    parts = max(1, -(-n // _ROWS_PER_KEY_PARTITION))
+    keyed = assign_dense_keys(members, ["_first_seen", natural_key], key, partitions=parts)
     return keyed.select(
         key, natural_key, f"current_{attribute}", f"previous_{attribute}", f"{attribute}_changed_on"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from starloom.operators.calendar import calendar
 from starloom.operators.facts import resolve_fact, resolve_keys
 from starloom.operators.keys import Keyed, dense_keys
-from starloom.operators.scd import rebuild_history_counted, replay_snapshots
+from starloom.operators.scd import rebuild_history_counted, replay_snapshots, validate_members
 from starloom.schemas import CUSTOMER_SPEC
 from starloom.session import checkpoint_dir
 from starloom.sources import star_inputs as src
@@ -29,6 +29,7 @@ from starloom.sources.tables import Tables
 # may still convert it at run time from measured sizes.
 MAX_BROADCAST_DAYS = 200_000
 MAX_BROADCAST_ROWS = 1_000_000
+ROWS_PER_KEY_PARTITION = 2_000_000  # rows numbered per range partition when the count is known
 
 
 @dataclass
@@ -67,16 +68,28 @@ def order_date_span(t: Tables) -> tuple[dt.date, dt.date]:
     return dt.date(r["lo"].year, 1, 1), dt.date(r["hi"].year, 12, 31)
 
 
+def _key_partitions(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_KEY_PARTITION))
+
+
 def product_dimension_counted(t: Tables) -> Keyed:
-    """S3: product dimension, keys dense in product_id order."""
-    k = dense_keys(src.product_source(t), ["product_id"], "product_key")
+    """S3: product dimension, keys dense in product_id order.
+
+    The source is checked for unique, non-NULL product ids first; that check
+    also yields the exact row count, which sizes the key numbering.
+    """
+    source = src.product_source(t)
+    n = validate_members(source, "product_id")
+    k = dense_keys(source, ["product_id"], "product_key", partitions=_key_partitions(n))
     cols = ["product_key", "product_id", "product_name", "category", "subcategory", "brand", "unit_price"]
     return Keyed(k.df.select(*cols), k.rows)
 
 
 def store_dimension_counted(t: Tables) -> Keyed:
-    """Store dimension, keys dense in store_id order."""
-    k = dense_keys(src.store_source(t), ["store_id"], "store_key")
+    """Store dimension, keys dense in store_id order (source validated as for products)."""
+    source = src.store_source(t)
+    n = validate_members(source, "store_id")
+    k = dense_keys(source, ["store_id"], "store_key", partitions=_key_partitions(n))
     cols = ["store_key", "store_id", "store_name", "city", "region", "country"]
     return Keyed(k.df.select(*cols), k.rows)
 
