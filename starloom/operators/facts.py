@@ -53,18 +53,23 @@ def resolve_fact(
     with_sale_key: bool = True,
     start_key: int = 1,
     broadcast: frozenset[str] = frozenset(),
+    key_partitions: int | None = None,
 ) -> DataFrame:
     """K7: the sales fact at order-line grain.
 
     ``sale_key`` is numbered densely in (order_id, line_number, product_id,
     store_id, then measures) order by :func:`assign_dense_keys`. Queries that never read
-    ``sale_key`` pass ``with_sale_key=False`` and stay fully lazy.
+    ``sale_key`` pass ``with_sale_key=False`` and stay fully lazy. When the
+    staged row count is known (a written staging table), ``key_partitions``
+    sizes the numbering and spares the sampling pass over the whole resolve.
     """
     resolved = resolve_keys(stg, dim_product, dim_store, dim_customer, mode, broadcast=broadcast)
     if not with_sale_key:
         cols = [c for c in FACT_SALES_COLUMNS if c != "sale_key"]
         return resolved.select(*cols)
-    keyed = assign_dense_keys(resolved, list(SALE_KEY_ORDER), "sale_key", start=start_key)
+    keyed = assign_dense_keys(
+        resolved, list(SALE_KEY_ORDER), "sale_key", start=start_key, partitions=key_partitions
+    )
     return keyed.select(*FACT_SALES_COLUMNS)
 
 

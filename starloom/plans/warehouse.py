@@ -128,6 +128,13 @@ class BuildStats:
     scd_loads: list[LoadStats]
 
 
+FACT_ROWS_PER_KEY_PARTITION = 5_000_000
+
+
+def _fact_key_partitions(rows: int) -> int:
+    return max(1, -(-rows // FACT_ROWS_PER_KEY_PARTITION))
+
+
 class UnsafeVersion(RuntimeError):
     """A new dimension version that breaks T3/T4; it is not published."""
 
@@ -215,7 +222,11 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     dim_product = read_dimension(spark, f"{out}/dim_product")
     dim_store = read_dimension(spark, f"{out}/dim_store")
     stg = spark.read.parquet(f"{out}/stg_sales")
-    fact = resolve_fact(stg, dim_product, dim_store, dim_customer)
+    # staged lines bound the fact's rows (lookups are one-to-one); the count
+    # of a written table is cheap and sizes the sale-key numbering
+    fact = resolve_fact(
+        stg, dim_product, dim_store, dim_customer, key_partitions=_fact_key_partitions(stg.count())
+    )
     write_fact(fact, f"{out}/fact_sales")
     step("fact")
     f = read_fact(spark, f"{out}/fact_sales")
@@ -249,7 +260,12 @@ def load_increment(spark: SparkSession, out: str, stg_batch: DataFrame, first: d
     existing = read_fact(spark, fact_path)
     dims = {n: read_dimension(spark, f"{out}/dim_{n}") for n in ("product", "store", "customer")}
     batch = resolve_fact(
-        stg_batch, dims["product"], dims["store"], dims["customer"], start_key=next_key(existing, "sale_key")
+        stg_batch,
+        dims["product"],
+        dims["store"],
+        dims["customer"],
+        start_key=next_key(existing, "sale_key"),
+        key_partitions=_fact_key_partitions(stg_batch.count()),
     )
     reload_window(batch, fact_path, first, last)
     lo, hi = (int(d.strftime("%Y%m%d")) for d in (first, last))
