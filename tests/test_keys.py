@@ -44,3 +44,10 @@ def test_empty_input(spark):
     out = dense_keys(spark.range(0).select(F.col("id").alias("x")), ["x"], "k")
     assert out.rows == 0
     assert out.df.count() == 0
+
+
+def test_explicit_partition_count_gives_the_same_keys(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("a"))
+    one = {r["a"]: r["k"] for r in dense_keys(df, ["a"], "k", partitions=1).df.collect()}
+    many = {r["a"]: r["k"] for r in dense_keys(df, ["a"], "k").df.collect()}
+    assert one == many and sorted(one.values()) == list(range(1, 3001))

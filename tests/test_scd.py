@@ -200,3 +200,13 @@ def test_type1_and_type3_merge_equal_rebuild(spark):
     r3 = type3_rebuild(s, "id", "segment", "k")
     assert t1.exceptAll(r1).count() == 0 and r1.exceptAll(t1).count() == 0
     assert t3.exceptAll(r3).count() == 0 and r3.exceptAll(t3).count() == 0
+
+
+def test_hot_duplicate_member_is_rejected_and_listed(spark):
+    from starloom.operators.scd import validate_members
+
+    rows = [(D1, 1, "A", "x", "n")] * 5000 + [(D1, i, "A", "x", "n") for i in range(2, 50)]
+    s = snaps(spark, rows)
+    with pytest.raises(SnapshotRejected, match=r"\(1, datetime.date\(2020, 1, 1\)\)"):
+        validate_members(s, "id", "as_of")
+    assert validate_members(snaps(spark, rows[4999:]), "id", "as_of") == 49
