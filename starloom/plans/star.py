@@ -30,6 +30,7 @@ from starloom.sources.tables import Tables
 MAX_BROADCAST_DAYS = 200_000
 MAX_BROADCAST_ROWS = 1_000_000
 ROWS_PER_KEY_PARTITION = 2_000_000  # rows numbered per range partition when the count is known
+FACT_ROWS_PER_KEY_PARTITION = 5_000_000
 
 
 @dataclass
@@ -140,6 +141,12 @@ def build_star(
     rows = {"product": product.rows, "store": store.rows, "customer": customer.rows}
     stg = src.staged_sales(t, stg_from, stg_to)
     star = Star(t, dim_date, product.df, store.df, customer.df, stg, None, days, rows)  # type: ignore[arg-type]
+    # staged lines never outnumber order lines (joins to orders and part only
+    # drop rows; lookups are one-to-one); a Parquet row count is cheap, and it
+    # sizes the sale-key numbering so the resolve is not run once more to sample
+    parts = None
+    if with_sale_key:
+        parts = max(1, -(-t.lineitem.count() // FACT_ROWS_PER_KEY_PARTITION))
     star.fact = resolve_fact(
         stg,
         product.df,
@@ -148,6 +155,7 @@ def build_star(
         mode=mode,
         with_sale_key=with_sale_key,
         broadcast=star.broadcastable,
+        key_partitions=parts,
     )
     return star
 
