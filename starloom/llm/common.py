@@ -7,8 +7,6 @@ characters, unless an operator says otherwise. Null text counts as empty.
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +39,13 @@ def word_hashes(words: Column) -> Column:
 
 
 def windows(hashes: Column, n: int) -> Column:
-    """Hash of every run of ``n`` array elements, in order; empty when shorter.
+    """Hash of every run of ``n`` array elements, in order; the whole array as
+    one run when it is shorter (so an empty array has one run too).
 
     ``hashes`` has to be a plain column: it is read inside the lambda.
     """
-    at = F.sequence(F.lit(0), F.size(hashes) - F.lit(n))
-    runs = F.transform(at, lambda i: F.xxhash64(*[F.get(hashes, i + F.lit(j)) for j in range(n)]))
-    return F.when(F.size(hashes) >= n, runs).otherwise(F.array().cast("array<bigint>"))
+    at = F.sequence(F.lit(0), F.greatest(F.size(hashes) - F.lit(n), F.lit(0)))
+    return F.transform(at, lambda i: F.xxhash64(*[F.get(hashes, i + F.lit(j)) for j in range(n)]))
 
 
 def row_key(*cols: str) -> list[Column]:
@@ -66,8 +64,3 @@ KEY = ["key_a", "key_b"]
 def pack_row(df: DataFrame, alias: str = "row") -> Column:
     """All columns as one struct, so that no helper column can clash with them."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(alias)
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))

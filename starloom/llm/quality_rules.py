@@ -67,7 +67,7 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
             "_h": word_hashes(F.col("_w")),
         }
     ).drop("_w", "_lines")
-    out = out.withColumn("_win", windows(F.col("_h"), WINDOW)).drop("_h")
+    out = out.withColumn("_win", F.when(F.size("_h") >= WINDOW, windows(F.col("_h"), WINDOW))).drop("_h")
     # (window, place), sorted, for the documents that repeat a window at all
     repeats = F.size(F.array_distinct("_win")) < F.size("_win")
     pairs = F.sort_array(F.transform("_win", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from starloom.llm import mixing, quality_rules, url_filter
+from starloom.llm import fingerprints, license_scan, mixing, quality_rules, url_filter
 
 QUERIES = {
+    "op4_fingerprints": fingerprints.op4_query,
     "op5_url_cascade": url_filter.op5_query,
     "op7_systematic_mix": mixing.op7_query,
+    "op9_license_scan": license_scan.op9_query,
     "op10_quality_rules": quality_rules.op10_query,
 }
 
