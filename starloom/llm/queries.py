@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starloom.llm import fingerprints, license_scan, mixing, quality_rules, url_filter
+from starloom.llm import fingerprints, license_scan, minhash_dedup, mixing, quality_rules, url_filter
 
 QUERIES = {
+    "op1_minhash_dedup": minhash_dedup.op1_query,
     "op4_fingerprints": fingerprints.op4_query,
     "op5_url_cascade": url_filter.op5_query,
     "op7_systematic_mix": mixing.op7_query,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_minhash_dedup": minhash_dedup.OP1_SQL,
     "op5_url_cascade": url_filter.OP5_SQL,
     "op7_systematic_mix": mixing.OP7_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
