@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from starloom.llm import fingerprints, license_scan, minhash_dedup, mixing, quality_rules, url_filter
+import corpus_pipeline
+from starloom.llm import (
+    fingerprints,
+    license_scan,
+    minhash_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    token_output,
+    url_filter,
+)
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_query,
+    "op3_exact_complement_packing": packing.op3_query,
     "op4_fingerprints": fingerprints.op4_query,
     "op5_url_cascade": url_filter.op5_query,
     "op7_systematic_mix": mixing.op7_query,
+    "op8_training_order": token_output.op8_query,
     "op9_license_scan": license_scan.op9_query,
     "op10_quality_rules": quality_rules.op10_query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
