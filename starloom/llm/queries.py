@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from starloom.llm import (
     fingerprints,
+    html_extract,
     license_scan,
     minhash_dedup,
     mixing,
@@ -16,6 +17,7 @@ from starloom.llm import (
 
 QUERIES = {
     "op1_minhash_dedup": minhash_dedup.op1_query,
+    "op2_html_blocks": html_extract.op2_query,
     "op3_exact_complement_packing": packing.op3_query,
     "op4_fingerprints": fingerprints.op4_query,
     "op5_url_cascade": url_filter.op5_query,
