@@ -7,6 +7,7 @@ from starloom.llm import (
     fingerprints,
     html_extract,
     license_scan,
+    lm_score,
     minhash_dedup,
     mixing,
     packing,
@@ -22,6 +23,7 @@ QUERIES = {
     "op4_fingerprints": fingerprints.op4_query,
     "op5_url_cascade": url_filter.op5_query,
     "op7_systematic_mix": mixing.op7_query,
+    "op6_class_maxent": lm_score.op6_query,
     "op8_training_order": token_output.op8_query,
     "op9_license_scan": license_scan.op9_query,
     "op10_quality_rules": quality_rules.op10_query,
