@@ -105,7 +105,8 @@ def _next_ids(ids: DataFrame, lo: int, hi: int, bits: int) -> DataFrame:
     blocked = ids.select("id", F.shiftright("id", bits).alias("block"))
     within = Window.partitionBy("block").orderBy("id")
     placed = blocked.select("id", "block", F.lead("id").over(within).alias("next_id"))
-    firsts = blocked.groupBy("block").agg(F.min("id").alias("first_id"))
+    # written, as the levels above read it twice each
+    firsts = cut_lineage(blocked.groupBy("block").agg(F.min("id").alias("first_id")), "firsts")
     follow = _next_ids(firsts.select(F.col("block").alias("id")), lo >> bits, hi >> bits, bits)
     after = follow.select(F.col("id").alias("block"), F.col("next_id").alias("then")).join(
         firsts.select(F.col("block").alias("then"), "first_id"), "then"
