@@ -54,20 +54,17 @@ select cast(row_number() over (order by as_of, customer_id) as bigint) as custom
 from v"""
 
 
-def _fact(dim: str, how: str = "join", unknown: bool = False) -> str:
-    ck = "coalesce(c.customer_key, -1)" if unknown else "c.customer_key"
+def _fact(dim: str, unknown: bool = False) -> str:
+    """Order lines beside the member version that began last by the order date."""
+    kind, member = ("left", f"coalesce({dim}.customer_key, -1)") if unknown else ("", f"{dim}.customer_key")
     return f"""
-select cast(row_number() over (order by s.order_id, s.line_number, s.product_id, s.store_id,
-    s.quantity, s.discount_pct, s.gross_amount, s.net_amount) as bigint) as sale_key,
-  s.order_id,
-  cast(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) as int) as date_key,
-  p.product_key, t.store_key, cast({ck} as bigint) as customer_key,
-  s.quantity, s.unit_price, s.discount_pct, s.gross_amount, s.net_amount
-from f_stg_sales s
-join f_dim_product p on p.product_id = s.product_id
-join f_dim_store t on t.store_id = s.store_id
-{how} {dim} c on c.customer_id = s.customer_id
-  and s.order_date >= c.valid_from and s.order_date < c.valid_to"""
+select cast(row_number() over (order by order_id, line_number, product_id, store_id,
+    quantity, discount_pct, gross_amount, net_amount) as bigint) as sale_key, order_id,
+  cast(strftime(order_date, '%Y%m%d') as int) as date_key, product_key, store_key,
+  cast({member} as bigint) as customer_key, quantity, f_stg_sales.unit_price, discount_pct, gross_amount, net_amount
+from f_stg_sales
+asof {kind} join {dim} on f_stg_sales.customer_id = {dim}.customer_id and order_date >= valid_from
+join f_dim_product using (product_id) join f_dim_store using (store_id)"""
 
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -115,28 +112,33 @@ from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_
     ),
     "f_fact": (_fact("f_dim_customer"), ("f_stg_sales", "f_dim_product", "f_dim_store", "f_dim_customer")),
     "f_fact_unknown": (
-        _fact("f_dim_customer_late", "left join", unknown=True),
+        _fact("f_dim_customer_late", unknown=True),
         ("f_stg_sales", "f_dim_product", "f_dim_store", "f_dim_customer_late"),
     ),
+    "f_segment_flow": (
+        """
+select then_segment, now_segment, sum(net_amount) as net
+from f_fact join (
+  select customer_key, segment as then_segment,
+    arg_max(segment, version) over (partition by customer_id) as now_segment
+  from f_dim_customer
+) using (customer_key)
+group by all""",
+        ("f_fact", "f_dim_customer"),
+    ),
     "f_bounds": (
         "select make_date(cast(year(min(o_orderdate)) as int), 1, 1) as lo, "
         "make_date(cast(year(max(o_orderdate)) as int), 12, 31) as hi from orders",
         (),
     ),
     "dim_date": (
-        """select cast(year(d) * 10000 + month(d) * 100 + day(d) as int) as date_key,
-  d as full_date,
-  cast(day(d) as smallint) as day_of_month,
-  dayname(d) as day_name,
-  cast(isodow(d) as smallint) as day_of_week,
-  isodow(d) >= 6 as is_weekend,
-  cast(month(d) as smallint) as month_number,
-  monthname(d) as month_name,
-  cast(quarter(d) as smallint) as quarter,
-  cast(year(d) as smallint) as year,
-  strftime(d, '%Y-%m') as year_month
-from (select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as d
-      from f_bounds)""",
+        """select cast(strftime(day, '%Y%m%d') as int) as date_key, day as full_date,
+  cast(strftime(day, '%d') as smallint) as day_of_month, strftime(day, '%A') as day_name,
+  cast(strftime(day, '%u') as smallint) as day_of_week, strftime(day, '%u') in ('6', '7') as is_weekend,
+  cast(strftime(day, '%m') as smallint) as month_number, strftime(day, '%B') as month_name,
+  cast((month(day) + 2) // 3 as smallint) as quarter, cast(strftime(day, '%Y') as smallint) as year,
+  substr(cast(day as varchar), 1, 7) as year_month
+from (select lo + cast(i as int) as day from (select lo, unnest(range(hi - lo + 1)) as i from f_bounds))""",
         ("f_bounds",),
     ),
 }

@@ -13,56 +13,69 @@ from starloom.plans.registry import Q1_MONTHS, Q1_TOTAL, register
 from starloom.plans.sql import register_views, run_query
 from starloom.plans.star import build_star
 
+# Each text aggregates the fact on its own keys first and joins the few
+# resulting rows, which is how one would write it for a large fact.
 _Q1 = (
-    "select p.category,\n"
-    + ",\n".join(
-        f"  cast(round(sum(f.net_amount) filter (where d.year_month = '{m}'), 0) as bigint) as \"{m}\""
+    """with monthly as (
+  select product_key, cast(floor(date_key / 100) as int) as month_no, sum(net_amount) as net
+  from fact_sales
+  where date_key between {first}01 and {last}31
+  group by product_key, cast(floor(date_key / 100) as int)
+)
+select category""".format(first=Q1_MONTHS[0].replace("-", ""), last=Q1_MONTHS[-1].replace("-", ""))
+    + "".join(
+        ",\n  cast(round(sum(case when month_no = {no} then net end), 0) as bigint) as \"{m}\"".format(
+            no=m.replace("-", ""), m=m
+        )
         for m in Q1_MONTHS
     )
     + f""",
-  cast(round(sum(f.net_amount), 0) as bigint) as {Q1_TOTAL}
-from fact_sales f
-join dim_product p on f.product_key = p.product_key
-join dim_date d on f.date_key = d.date_key
-where d.year_month between '{Q1_MONTHS[0]}' and '{Q1_MONTHS[-1]}'
-group by p.category
-order by {Q1_TOTAL} desc, p.category"""
+  cast(round(sum(net), 0) as bigint) as {Q1_TOTAL}
+from monthly inner join dim_product using (product_key)
+group by category
+order by {Q1_TOTAL} desc, category"""
 )
 
-_Q2 = """select d.year_month,
-  count(*) as order_lines,
-  cast(sum(f.quantity) as bigint) as units,
-  cast(round(sum(f.net_amount), 0) as bigint) as net_revenue
-from fact_sales f join dim_date d on f.date_key = d.date_key
-group by d.year_month
-order by d.year_month"""
-
+_Q2 = """with daily as (
+  select date_key, count(*) as n, sum(quantity) as pieces, sum(net_amount) as net
+  from fact_sales group by date_key
+)
+select year_month, cast(sum(n) as bigint) as order_lines, cast(sum(pieces) as bigint) as units,
+  cast(round(sum(net), 0) as bigint) as net_revenue
+from dim_date inner join daily using (date_key)
+group by year_month
+order by year_month"""
+
+# a member with history is one that has a second version
+_Q3_CTE = """changed as (
+  select customer_id as id from dim_customer where version = 2 order by id limit 3
+)"""
 _Q3_BODY = """select customer_key, customer_id, segment, city, region, valid_from, valid_to, is_current, version
-from dim_customer
-where customer_id in (select customer_id from versioned)
+from dim_customer where exists (select 1 from changed where id = customer_id)
 order by customer_id, version"""
-_Q3_VERSIONED = """versioned as (
-  select customer_id from dim_customer group by customer_id having count(*) > 1
-  order by customer_id limit 3
-)"""
 
-_Q4_CTES = """point_in_time as (
-  select c.segment, sum(f.net_amount) as net_revenue
-  from fact_sales f join dim_customer c on f.customer_key = c.customer_key
-  group by c.segment
-), restated as (
-  select cur.segment, sum(f.net_amount) as net_revenue
-  from fact_sales f
-  join dim_customer ver on f.customer_key = ver.customer_key
-  join dim_customer cur on cur.customer_id = ver.customer_id and cur.is_current
-  group by cur.segment
+# one pass over the fact: money flows from the segment then to the segment now
+_Q4_CTES = """tagged as (
+  select customer_key, segment as then_segment,
+    max(case when is_current then segment end) over (partition by customer_id) as now_segment
+  from dim_customer
+), flows as (
+  select then_segment, now_segment, sum(net_amount) as net
+  from fact_sales inner join tagged using (customer_key)
+  group by then_segment, now_segment
+), sides as (
+  select then_segment as segment, net as booked, cast(null as decimal(38, 2)) as moved from flows
+  union all
+  select now_segment, cast(null as decimal(38, 2)), net from flows
 )"""
-_Q4_BODY = """select pit.segment,
-  cast(round(pit.net_revenue, 0) as bigint) as net_revenue_point_in_time,
-  cast(round(res.net_revenue, 0) as bigint) as net_revenue_restated_current,
-  cast(round(res.net_revenue - pit.net_revenue, 0) as bigint) as delta
-from point_in_time pit join restated res on pit.segment = res.segment
-order by pit.segment"""
+_Q4_BODY = """select segment,
+  cast(round(sum(booked), 0) as bigint) as net_revenue_point_in_time,
+  cast(round(sum(moved), 0) as bigint) as net_revenue_restated_current,
+  cast(round(sum(moved) - sum(booked), 0) as bigint) as delta
+from sides
+group by segment
+having segment is not null and count(booked) > 0 and count(moved) > 0
+order by segment"""
 
 
 def _oracle(sql: str) -> str:
@@ -79,22 +92,22 @@ def _run(spark: SparkSession, root: str, sql: str) -> DataFrame:
     return run_query(spark, sql)
 
 
-@register("sql_category_month", with_ctes(["f_fact", "f_dim_product", "dim_date"], _oracle(_Q1)))
+@register("sql_category_month", with_ctes(["f_fact", "f_dim_product"], _oracle(_Q1).replace("with ", ", ", 1)))
 def sql_category_month(spark: SparkSession, root: str) -> DataFrame:
     return _run(spark, root, _Q1)
 
 
-@register("sql_monthly_trend", with_ctes(["f_fact", "dim_date"], _oracle(_Q2)))
+@register("sql_monthly_trend", with_ctes(["f_fact", "dim_date"], _oracle(_Q2).replace("with ", ", ", 1)))
 def sql_monthly_trend(spark: SparkSession, root: str) -> DataFrame:
     return _run(spark, root, _Q2)
 
 
 @register(
     "sql_customer_history",
-    with_ctes(["f_dim_customer"], ", " + _oracle(_Q3_VERSIONED) + "\n" + _oracle(_Q3_BODY)),
+    with_ctes(["f_dim_customer"], ", " + _oracle(_Q3_CTE) + "\n" + _oracle(_Q3_BODY)),
 )
 def sql_customer_history(spark: SparkSession, root: str) -> DataFrame:
-    return _run(spark, root, "with " + _Q3_VERSIONED + "\n" + _Q3_BODY)
+    return _run(spark, root, "with " + _Q3_CTE + "\n" + _Q3_BODY)
 
 
 @register(

@@ -80,20 +80,14 @@ def fact_resolve(spark: SparkSession, root: str) -> DataFrame:
 
 # --- analytics ------------------------------------------------------------------
 _Q1_SQL = with_ctes(
-    ["f_fact", "f_dim_product", "dim_date"],
-    "select p.category,\n"
-    + ",\n".join(
-        f"  cast(round(sum(f.net_amount) filter (where d.year_month = '{m}'), 0) as bigint) as \"{m}\""
-        for m in Q1_MONTHS
+    ["f_fact", "f_dim_product"],
+    ", by_month as (select category, date_key // 100 as ym, sum(net_amount) as net\n"
+    "  from f_fact join f_dim_product using (product_key) group by all)\nselect category, "
+    + ", ".join(
+        f"cast(round(any_value(net) filter (ym = {m.replace('-', '')}), 0) as bigint) as \"{m}\"" for m in Q1_MONTHS
     )
-    + f""",
-  cast(round(sum(f.net_amount), 0) as bigint) as {Q1_TOTAL}
-from f_fact f
-join f_dim_product p on f.product_key = p.product_key
-join dim_date d on f.date_key = d.date_key
-where d.year_month between '{Q1_MONTHS[0]}' and '{Q1_MONTHS[-1]}'
-group by p.category
-order by {Q1_TOTAL} desc, p.category""",
+    + f", cast(round(sum(net), 0) as bigint) as {Q1_TOTAL}\n"
+    f"from by_month where ym in ({', '.join(m.replace('-', '') for m in Q1_MONTHS)}) group by category",
 )
 
 
@@ -112,13 +106,10 @@ def category_month(spark: SparkSession, root: str) -> DataFrame:
     "monthly_trend",
     with_ctes(
         ["f_fact", "dim_date"],
-        """select d.year_month,
-  count(*) as order_lines,
-  cast(sum(f.quantity) as bigint) as units,
-  cast(round(sum(f.net_amount), 0) as bigint) as net_revenue
-from f_fact f join dim_date d on f.date_key = d.date_key
-group by d.year_month
-order by d.year_month""",
+        """select strftime(full_date, '%Y-%m') as year_month, count(sale_key) as order_lines,
+  cast(sum(quantity) as bigint) as units, cast(round(sum(net_amount), 0) as bigint) as net_revenue
+from dim_date join f_fact using (date_key)
+group by all order by all""",
     ),
 )
 def monthly_trend(spark: SparkSession, root: str) -> DataFrame:
@@ -129,14 +120,12 @@ def monthly_trend(spark: SparkSession, root: str) -> DataFrame:
     "customer_history",
     with_ctes(
         ["f_dim_customer"],
-        """, versioned as (
-  select customer_id from f_dim_customer group by customer_id having count(*) > 1
-  order by customer_id limit 3
+        """, counted as (
+  select *, max(version) over (partition by customer_id) as versions from f_dim_customer
+), placed as (
+  select *, dense_rank() over (order by customer_id) as place from counted where versions >= 2
 )
-select customer_key, customer_id, segment, city, region, valid_from, valid_to, is_current, version
-from f_dim_customer
-where customer_id in (select customer_id from versioned)
-order by customer_id, version""",
+select * exclude (first_name, last_name, email, versions, place) from placed where place <= 3""",
     ),
 )
 def customer_history(spark: SparkSession, root: str) -> DataFrame:
@@ -146,24 +135,16 @@ def customer_history(spark: SparkSession, root: str) -> DataFrame:
 @register(
     "segment_pit_vs_current",
     with_ctes(
-        ["f_fact", "f_dim_customer"],
-        """, point_in_time as (
-  select c.segment, sum(f.net_amount) as net_revenue
-  from f_fact f join f_dim_customer c on f.customer_key = c.customer_key
-  group by c.segment
-), restated as (
-  select cur.segment, sum(f.net_amount) as net_revenue
-  from f_fact f
-  join f_dim_customer ver on f.customer_key = ver.customer_key
-  join f_dim_customer cur on cur.customer_id = ver.customer_id and cur.is_current
-  group by cur.segment
+        ["f_segment_flow"],
+        """, sums as (
+  select seg, sum(net) filter (where side = 'then') as was, sum(net) filter (where side = 'now') as would_be
+  from f_segment_flow unpivot (seg for side in (then_segment as 'then', now_segment as 'now'))
+  group by seg
 )
-select pit.segment,
-  cast(round(pit.net_revenue, 0) as bigint) as net_revenue_point_in_time,
-  cast(round(res.net_revenue, 0) as bigint) as net_revenue_restated_current,
-  cast(round(res.net_revenue - pit.net_revenue, 0) as bigint) as delta
-from point_in_time pit join restated res on pit.segment = res.segment
-order by pit.segment""",
+select seg as segment, cast(round(was, 0) as bigint) as net_revenue_point_in_time,
+  cast(round(would_be, 0) as bigint) as net_revenue_restated_current,
+  cast(round(would_be - was, 0) as bigint) as delta
+from sums where was is not null and would_be is not null""",
     ),
 )
 def segment_pit_vs_current(spark: SparkSession, root: str) -> DataFrame:
