@@ -18,7 +18,7 @@ def drill_across(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     never joined to each other. Full outer, so a member on one side survives.
     """
     l, r = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on]
+    cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on]
     j = l.join(r, cond, "full_outer")
     keys = [F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}")).alias(c) for c in on]
     rest = [F.col(f"l.{c}") for c in left.columns if c not in on] + [
@@ -33,17 +33,18 @@ def conformance(a: DataFrame, b: DataFrame, key: str, attr: str, a_name: str, b_
     Distinct (key, attr) pairs per side (a shuffle of distinct pairs only),
     full outer on key, then a status per key.
     """
-    pa = a.select(key, F.col(attr).alias(f"{a_name}_{attr}")).distinct()
-    pb = b.select(key, F.col(attr).alias(f"{b_name}_{attr}")).distinct()
-    j = pa.join(pb, key, "full_outer")
+    here = F.lit(True)
+    pa = a.select(F.col(key).alias("_ka"), F.col(attr).alias(f"{a_name}_{attr}"), here.alias("_in_a")).distinct()
+    pb = b.select(F.col(key).alias("_kb"), F.col(attr).alias(f"{b_name}_{attr}"), here.alias("_in_b")).distinct()
+    j = pa.join(pb, F.col("_ka").eqNullSafe(F.col("_kb")), "full_outer")
     av, bv = F.col(f"{a_name}_{attr}"), F.col(f"{b_name}_{attr}")
     status = (
-        F.when(av.isNull(), f"{b_name}_only")
-        .when(bv.isNull(), f"{a_name}_only")
-        .when(av == bv, "conformed")
+        F.when(F.col("_in_a").isNull(), f"{b_name}_only")
+        .when(F.col("_in_b").isNull(), f"{a_name}_only")
+        .when(av.eqNullSafe(bv), "conformed")
         .otherwise("conflict")
     )
-    return j.select(key, av, bv, status.alias("status"))
+    return j.select(F.coalesce("_ka", "_kb").alias(key), av, bv, status.alias("status"))
 
 
 def snowflake(dim: DataFrame, branch: Sequence[str], branch_key: str) -> tuple[DataFrame, DataFrame]:

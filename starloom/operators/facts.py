@@ -121,8 +121,14 @@ def latest_per_merge_key(
     aggregate with map-side partial maxima; a left-semi join on (key, batch)
     keeps the rows, and AQE splits a hot key's partition in that join.
     """
-    latest = batches.groupBy(*merge_key).agg(F.max(batch_col).alias(batch_col))
-    kept = batches.join(latest, [*merge_key, batch_col], "left_semi")
+    names = [f"_key_{i}" for i in range(len(merge_key))]
+    latest = batches.groupBy(*[F.col(c).alias(n) for c, n in zip(merge_key, names, strict=True)]).agg(
+        F.max(batch_col).alias("_latest")
+    )
+    same = F.col(batch_col) == F.col("_latest")
+    for c, n in zip(merge_key, names, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(n))  # a NULL key is a key like any other
+    kept = batches.join(latest, same, "left_semi")
     return kept.select(*[c for c in batches.columns if c != batch_col])
 
 
@@ -192,6 +198,8 @@ def periodic_snapshot(
     not a grid join).
     """
     amount_dec = F.col(amount).cast("decimal(18,2)")
+    # events after the period belong to the next snapshot
+    events = events.where(F.col(ts).cast("date") <= F.lit(period_end))
     daily = events.groupBy(entity, F.col(ts).cast("date").alias("day")).agg(
         F.sum(amount_dec).alias("day_amount"), F.count(F.lit(1)).alias("day_events")
     )

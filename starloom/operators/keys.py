@@ -10,13 +10,12 @@ row through one task. Instead:
 3. materialise that as a table in the shared checkpoint folder, so the
    counting job and the numbering job read the very same rows (range bounds
    come from sampling and would not be reproducible across two jobs);
-4. count rows per partition (one row per partition, a list whose size is
-   the partition count we chose) and turn the counts into running offsets,
-   applied as a literal array indexed by partition id (no join);
+4. count rows per partition and turn the counts into running offsets: a
+   table with one row per partition, broadcast to the tagged rows;
 5. key = start + offset(partition) + position.
 
-Only the per-partition counts reach the driver. Their sum is the exact row
-count, returned beside the frame so callers can size-check a broadcast.
+Only the sum and the largest of the counts reach the driver. The sum is the
+exact row count, returned so callers can size-check a broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import cut_lineage
@@ -64,8 +63,7 @@ def dense_keys(
     pid = F.spark_partition_id().cast("long")
     # Without an explicit count, AQE sizes the range shuffle from measured
     # bytes; it only merges *adjacent* ranges, so partition order stays key
-    # order. The partition count (and the offsets list) is bounded by
-    # spark.sql.shuffle.partitions either way.
+    # order.
     ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
     tagged = (
         ranged.sortWithinPartitions(*order_cols)
@@ -77,23 +75,20 @@ def dense_keys(
     )
     tagged = cut_lineage(tagged, "dense-keys")
 
-    # one row per range partition: bounded by ``n``, never by the data
-    stats = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("c")).collect()
-    counts = {r[_PART]: r["c"] for r in stats}
-    if counts and max(counts.values()) >= _POS_LIMIT:
+    # one row per range partition; its running start stays a small table, so
+    # nothing per partition passes through the driver or the query's text
+    counts = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
+    total, most = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_rows"), F.lit(0))).first()
+    if most >= _POS_LIMIT:
         raise ValueError(
-            f"a range partition holds {max(counts.values())} rows; positions allow {_POS_LIMIT} - "
-            "pass more partitions"
+            f"a range partition holds {most} rows; positions allow {_POS_LIMIT} - pass more partitions"
         )
-    width = max(counts, default=-1) + 1
-    offsets, running = [0] * max(width, 1), 0
-    for p in range(width):
-        offsets[p] = running
-        running += counts.get(p, 0)
-    table = F.array(*[F.lit(o).cast("long") for o in offsets])
-    offset = F.element_at(table, (F.col(_PART) + 1).cast("int"))
-    key = (F.lit(int(start)) + offset + F.col(_POS)).cast("long").alias(key_col)
-    return Keyed(tagged.select(key, *[F.col(c) for c in df.columns]), running)
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # as many rows as the range shuffle has partitions
+    placed = tagged.join(F.broadcast(offsets), _PART)
+    key = (F.lit(int(start)) + F.col("_offset") + F.col(_POS)).cast("long").alias(key_col)
+    return Keyed(placed.select(key, *[F.col(c) for c in df.columns]), int(total))
 
 
 def assign_dense_keys(

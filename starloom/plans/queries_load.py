@@ -85,8 +85,7 @@ def scd2_rerun(spark: SparkSession, root: str) -> DataFrame:
     again = merge_snapshot(dim, snaps.where(F.col("as_of") == F.lit(last)), last, CUSTOMER_SPEC)
     before = dim.count()
     after = again.dimension.count()
-    s = again.stats
-    row = Row(rows_before=before, rows_after=after, inserted=s.inserted, versioned=s.versioned, unchanged=s.unchanged)
+    row = Row(rows_before=before, rows_after=after, **again.counts)
     return spark.createDataFrame(
         [row], "rows_before bigint, rows_after bigint, inserted bigint, versioned bigint, unchanged bigint"
     )
@@ -387,28 +386,17 @@ def check_dimension(spark: SparkSession, root: str) -> DataFrame:
 @register(
     "check_totals",
     with_ctes(
-        ["f_fact", "f_dim_customer"],
+        ["f_fact", "f_segment_flow"],
         _metric_union(
             [
                 ("grand_total", "(select sum(net_amount) from f_fact)"),
-                (
-                    "point_in_time_total",
-                    "(select sum(f.net_amount) from f_fact f join f_dim_customer c on f.customer_key = c.customer_key)",
-                ),
-                (
-                    "restated_total",
-                    "(select sum(f.net_amount) from f_fact f join f_dim_customer ver on f.customer_key = "
-                    "ver.customer_key join f_dim_customer cur on cur.customer_id = ver.customer_id and cur.is_current)",
-                ),
+                ("point_in_time_total", "(select sum(net) from f_segment_flow where then_segment is not null)"),
+                ("restated_total", "(select sum(net) from f_segment_flow where now_segment is not null)"),
                 (
                     "segments_with_delta",
-                    "(select count(*) from (select c.segment, sum(f.net_amount) as pit "
-                    "from f_fact f join f_dim_customer c "
-                    "on f.customer_key = c.customer_key group by c.segment) p join (select cur.segment, "
-                    "sum(f.net_amount) as res from f_fact f join f_dim_customer ver on f.customer_key = "
-                    "ver.customer_key join f_dim_customer cur on cur.customer_id = ver.customer_id and "
-                    "cur.is_current group by cur.segment) r on p.segment = r.segment "
-                    "where round(r.res - p.pit, 0) <> 0)",
+                    "(select count(*) from (select seg from f_segment_flow unpivot (seg for side in "
+                    "(then_segment as 'then', now_segment as 'now')) group by seg having round("
+                    "sum(case when side = 'now' then net else -net end), 0) <> 0))",
                 ),
             ]
         ),

@@ -25,8 +25,7 @@ from starloom.session import scratch_path
 from starloom.sources import star_inputs as src
 from starloom.sources.tables import Tables
 
-_FACT_DATE_PRODUCT = """from f_fact f join dim_date d on f.date_key = d.date_key
-join f_dim_product p on f.product_key = p.product_key"""
+_FACT_DATE_PRODUCT = "from f_fact f join dim_date d using (date_key) join f_dim_product p using (product_key)"
 
 
 # --- D8 drill-across ----------------------------------------------------------------
@@ -455,8 +454,44 @@ def window_reload(spark: SparkSession, root: str) -> DataFrame:
     month = (F.col("date_key") / 100).cast("int")
     damaged = fact.where(~month.between(lo, hi) | (F.col("quantity") < 25))
     write_fact(damaged, path)
-    reload_window(fact, path, RELOAD_FIRST, RELOAD_LAST)
-    reload_window(fact, path, RELOAD_FIRST, RELOAD_LAST)  # a repeat changes nothing
+    batch = fact.where(month.between(lo, hi))
+    reload_window(batch, path, RELOAD_FIRST, RELOAD_LAST)
+    reload_window(batch, path, RELOAD_FIRST, RELOAD_LAST)  # a repeat changes nothing
+    return read_fact(spark, path).select(*FACT_SALES_COLUMNS, "month_key")
+
+
+@register(
+    "window_reload_empty",
+    with_ctes(
+        ["f_fact"],
+        f"""select *, cast(date_key // 100 as int) as month_key from f_fact
+where date_key not between {RELOAD_FIRST:%Y%m%d} and {RELOAD_LAST:%Y%m%d}""",
+    ),
+)
+def window_reload_empty(spark: SparkSession, root: str) -> DataFrame:
+    """A reload without rows empties its window."""
+    fact = build_star(spark, root, with_sale_key=True).fact
+    path = scratch_path(spark, "fact_sales")
+    write_fact(fact, path)
+    reload_window(fact.where(F.lit(False)), path, RELOAD_FIRST, RELOAD_LAST)
+    return read_fact(spark, path).select(*FACT_SALES_COLUMNS, "month_key")
+
+
+@register(
+    "rebuild_drops_month",
+    with_ctes(
+        ["f_fact"],
+        f"""select *, cast(date_key // 100 as int) as month_key from f_fact
+where date_key not between {RELOAD_FIRST:%Y%m%d} and {RELOAD_LAST:%Y%m%d}""",
+    ),
+)
+def rebuild_drops_month(spark: SparkSession, root: str) -> DataFrame:
+    """A rebuilt fact keeps no month of the load before it."""
+    fact = build_star(spark, root, with_sale_key=True).fact
+    path = scratch_path(spark, "fact_sales")
+    write_fact(fact, path, whole=True)
+    lo, hi = (int(d.strftime("%Y%m%d")) for d in (RELOAD_FIRST, RELOAD_LAST))
+    write_fact(fact.where(~F.col("date_key").between(lo, hi)), path, whole=True)
     return read_fact(spark, path).select(*FACT_SALES_COLUMNS, "month_key")
 
 

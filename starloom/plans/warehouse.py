@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import month_key
 from starloom.operators.facts import resolve_fact
-from starloom.operators.scd import LoadStats, merge_snapshot
+from starloom.operators.scd import merge_snapshot
 from starloom.schemas import CUSTOMER_SPEC
-from starloom.session import checkpoint_dir
+from starloom.session import checkpoint_dir, cut_lineage
 from starloom.sources import star_inputs as src
 
 FACT_PARTITION = "month_key"
@@ -65,9 +65,10 @@ def write_dimension(df: DataFrame, table_path: str) -> int:
     return n
 
 
-def write_fact(fact: DataFrame, path: str, date_col: str = "date_key") -> None:
-    """S6 + D24: the fact partitioned by month; only months present in
-    ``fact`` are replaced (dynamic partition overwrite).
+def write_fact(fact: DataFrame, path: str, date_col: str = "date_key", whole: bool = False) -> None:
+    """S6 + D24: the fact partitioned by month. Only months present in
+    ``fact`` are replaced, unless it is the ``whole`` fact: then no month of
+    an earlier load stays behind.
 
     ``rebalance`` clusters rows by month so each task writes few partitions,
     while AQE splits a big month into advisory-sized tasks (a month is never
@@ -79,39 +80,53 @@ def write_fact(fact: DataFrame, path: str, date_col: str = "date_key") -> None:
         fact.withColumn(FACT_PARTITION, part)
         .hint("rebalance", FACT_PARTITION)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(FACT_PARTITION)
         .parquet(path)
     )
 
 
+class OutsideWindow(ValueError):
+    """Rows of a reload that are not dated inside its window."""
+
+
 def reload_window(fact_rows: DataFrame, path: str, first: dt.date, last: dt.date) -> None:
     """Delete and re-insert the business dates [first, last].
 
-    Rows of ``fact_rows`` dated inside the window replace the stored rows of
-    those dates; stored rows of the same months outside the window are kept.
-    The rebuilt months are materialised first (the overwrite never reads the
-    files it replaces), then only those month partitions are overwritten, so
-    re-running the same window is a no-op.
+    ``fact_rows`` replace the stored rows of those dates; stored rows of the
+    same months outside the window are kept. Rows dated outside the window
+    (or not at all) are refused with their number, before anything is
+    written. The rebuilt months are materialised first, then those month
+    partitions are overwritten, and months left without a row are removed,
+    so an empty batch empties its window and a repeat is a no-op.
     """
-    from starloom.session import cut_lineage
-
     lo_key, hi_key = (int(d.strftime("%Y%m%d")) for d in (first, last))
     lo_month, hi_month = lo_key // 100, hi_key // 100
     in_window = F.col("date_key").between(lo_key, hi_key)
     cols = [c for c in fact_rows.columns if c != FACT_PARTITION]
-    fresh = fact_rows.select(*cols).where(in_window)
     spark = fact_rows.sparkSession
-    fs, p, _ = _fs(spark, path)
-    if fs.exists(p):
-        kept = (
-            read_fact(spark, path)
-            .where(F.col(FACT_PARTITION).between(lo_month, hi_month) & ~in_window)
-            .select(*cols)
-        )
-        fresh = cut_lineage(kept.unionByName(fresh), "window-reload")
+    fresh = cut_lineage(fact_rows.select(*cols), "window-rows")
+    outside = fresh.where(~F.coalesce(in_window, F.lit(False))).count()
+    if outside:
+        raise OutsideWindow(f"{outside} rows are not dated from {first} to {last}")
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        write_fact(fresh, path)
+        return
+    kept = (
+        read_fact(spark, path)
+        .where(F.col(FACT_PARTITION).between(lo_month, hi_month) & ~in_window)
+        .select(*cols)
+    )
+    fresh = cut_lineage(kept.unionByName(fresh), "window-reload")
+    # one row per month of the window
+    filled = {r[0] for r in fresh.select((F.col("date_key") / 100).cast("int")).distinct().collect()}
     write_fact(fresh, path)
+    for entry in fs.listStatus(p):
+        name, _, month = entry.getPath().getName().partition("=")
+        if name == FACT_PARTITION and lo_month <= int(month) <= hi_month and int(month) not in filled:
+            fs.delete(entry.getPath(), True)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -125,7 +140,7 @@ class BuildStats:
     customers: int
     customer_versions: int
     fact_rows: int
-    scd_loads: list[LoadStats]
+    scd_loads: list[dict[str, int]]  # members per action, one entry per load
 
 
 FACT_ROWS_PER_KEY_PARTITION = 5_000_000
@@ -200,7 +215,7 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     with ThreadPoolExecutor(max_workers=1) as pool:
         static = pool.submit(static_dimensions)
         snaps = src.customer_snapshots(t)
-        loads: list[LoadStats] = []
+        loads: list[dict[str, int]] = []
         start = None  # first free key, carried from merge to merge once known
         for d in src.SNAPSHOT_DATES:
             current = read_dimension(spark, f"{out}/dim_customer")
@@ -212,7 +227,7 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
             start = res.next_key
             assert_publishable(res.dimension, CUSTOMER_SPEC)
             write_dimension(res.dimension, f"{out}/dim_customer")
-            loads.append(res.stats)
+            loads.append(res.counts)
             step(f"scd2_merge_{d}")
         product, store = static.result()
         step("dim_date_product_store")
@@ -227,7 +242,7 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     fact = resolve_fact(
         stg, dim_product, dim_store, dim_customer, key_partitions=_fact_key_partitions(stg.count())
     )
-    write_fact(fact, f"{out}/fact_sales")
+    write_fact(fact, f"{out}/fact_sales", whole=True)
     step("fact")
     f = read_fact(spark, f"{out}/fact_sales")
     counts = dim_customer.agg(
@@ -309,7 +324,7 @@ def idempotency_check(spark: SparkSession, sf_root: str, out: str) -> dict:
     last = src.SNAPSHOT_DATES[-1]
     snaps = src.customer_snapshots(Tables(spark, sf_root))
     res = merge_snapshot(current, snaps.where(F.col("as_of") == F.lit(last)), last, CUSTOMER_SPEC)
-    if res.stats.inserted or res.stats.versioned:
+    if res.changed:
         write_dimension(res.dimension, path)
     after = read_dimension(spark, path).count()
-    return {"rows_before": before, "rows_after": after, "load_stats": res.stats.as_dict()}
+    return {"rows_before": before, "rows_after": after, "load_stats": res.counts}

@@ -25,6 +25,7 @@ from starloom.operators.facts import resolve_keys
 from starloom.operators.scd import merge_snapshot
 from starloom.plans.warehouse import FACT_PARTITION, assert_publishable, read_dimension, write_dimension
 from starloom.schemas import CUSTOMER_SPEC, Scd2Spec
+from starloom.sources.csv_stage import DATE_FORMAT
 
 FACT_STREAM_COLUMNS = [
     "order_id",
@@ -42,7 +43,9 @@ def staged_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     """Files landing in ``path`` as a stream with a fixed schema."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
     if fmt == "csv":
-        reader = reader.option("header", True).option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
+        # as in the batch load: header names have to line up with the schema
+        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader.option("dateFormat", DATE_FORMAT).option("mode", "FAILFAST")
     return reader.format(fmt).load(path)
 
 
@@ -73,22 +76,35 @@ def run_fact_stream(resolved: DataFrame, out: str, checkpoint: str, available_no
     return writer.start()
 
 
+def _applied_before_others(dim: DataFrame, as_of, spec: Scd2Spec) -> bool:
+    """Whether versions began on this date and others began later."""
+    began = F.col(spec.valid_from)
+    day = F.lit(as_of).cast("date")
+    found = dim.agg(F.count_if(began == day).alias("now"), F.count_if(began > day).alias("later")).first()
+    return found["now"] > 0 and found["later"] > 0
+
+
 def apply_snapshot_batch(
     batch: DataFrame, dim_path: str, spec: Scd2Spec = CUSTOMER_SPEC, as_of_col: str = "as_of"
 ) -> list:
     """One micro-batch: merge its snapshots oldest first; write a new
-    dimension version only when something changed. Re-applying a batch is a
-    no-op (all members "unchanged"), which is what makes replays safe."""
+    dimension version only when something changed. A replayed batch skips the
+    snapshots that have opened versions already, also where later ones of the
+    same batch followed; one that changed nothing is merged again as a no-op
+    as long as no later one has changed its members. Returns the members per
+    action of each snapshot merged now."""
     stats = []
     dates = sorted(r[0] for r in batch.select(as_of_col).distinct().collect())  # one per snapshot
     for d in dates:
         current = read_dimension(batch.sparkSession, dim_path)
+        if current is not None and _applied_before_others(current, d, spec):
+            continue
         one = batch.where(F.col(as_of_col) == F.lit(d))
         res = merge_snapshot(current, one, d if isinstance(d, dt.date) else d.date(), spec)
-        if current is None or res.stats.inserted or res.stats.versioned:
+        if current is None or res.changed:
             assert_publishable(res.dimension, spec)
             write_dimension(res.dimension, dim_path)
-        stats.append(res.stats)
+        stats.append(res.counts)
     return stats
 
 
@@ -149,3 +165,31 @@ def run_upserts(updates: DataFrame, out: str, checkpoint: str, available_now: bo
     writer = updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def run_daily_deltas(
+    events: DataFrame, entity: str, ts: str, amount: str, out: str, checkpoint: str, available_now: bool = True
+):
+    """Per-entity daily sums of every micro-batch, kept by batch id.
+
+    No watermark: an event of any age adds to its day, whatever the order and
+    number of files, and no state grows with the stream. A replayed batch
+    rewrites its own folder. :func:`merged_days` adds the batches up.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        days = batch.groupBy(entity, F.col(ts).cast("date").alias("day")).agg(
+            F.sum(F.col(amount).cast("decimal(18,2)")).alias("day_amount"), F.count(F.lit(1)).alias("day_events")
+        )
+        days.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def merged_days(deltas: DataFrame, entity: str) -> DataFrame:
+    """The daily sums over all batches written by :func:`run_daily_deltas`."""
+    return deltas.groupBy(entity, "day").agg(
+        F.sum("day_amount").cast("decimal(38,2)").alias("day_amount"), F.sum("day_events").alias("day_events")
+    )

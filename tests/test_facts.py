@@ -129,3 +129,17 @@ def test_type1_restatement_applies_null_corrections(spark):
     fix = spark.createDataFrame([(7, None)], "id int, email string")
     out = restate_type1(d, fix, spec, ("email",))
     assert [r["email"] for r in out.collect()] == [None, None]
+
+
+def test_null_merge_keys_survive(spark):
+    b = spark.createDataFrame([(None, 1, "old"), (None, 2, "new"), (2, 1, "x")], "id int, batch int, v string")
+    got = {(r["id"], r["v"]) for r in latest_per_merge_key(b, ["id"], "batch").collect()}
+    assert got == {(None, "new"), (2, "x")}
+
+
+def test_periodic_snapshot_stops_at_the_period_end(spark):
+    ev = spark.createDataFrame(
+        [(1, dt.datetime(2020, 1, 1, 9), 4.0), (1, dt.datetime(2020, 1, 5, 9), 8.0)], "user_id int, ts timestamp, value double"
+    )
+    got = [(r["snapshot_date"], float(r["balance"])) for r in periodic_snapshot(ev, "user_id", "ts", "value", dt.date(2020, 1, 3)).collect()]
+    assert sorted(got) == [(dt.date(2020, 1, d), 4.0) for d in (1, 2, 3)]

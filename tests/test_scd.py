@@ -47,7 +47,7 @@ def test_new_member(spark):
 def test_unchanged_is_a_noop(spark):
     res = replay(spark, [(D1, 1, "A", "x", "n"), (D2, 1, "A", "x", "n")])
     assert len(versions(res.dimension)) == 1
-    assert res.stats.as_dict() == {"inserted": 0, "versioned": 0, "unchanged": 1}
+    assert res.counts == {"inserted": 0, "versioned": 0, "unchanged": 1}
 
 
 def test_tracked_change_tiles(spark):
@@ -126,7 +126,7 @@ def test_member_without_current_version_is_refused(spark):
 def test_empty_snapshot(spark):
     dim = replay(spark, [(D1, 1, "A", "x", "n")]).dimension
     res = merge_snapshot(dim, snaps(spark, []), D2, SPEC)
-    assert res.stats.as_dict() == {"inserted": 0, "versioned": 0, "unchanged": 0}
+    assert res.counts == {"inserted": 0, "versioned": 0, "unchanged": 0}
     assert versions(res.dimension) == versions(dim)
 
 
@@ -134,7 +134,7 @@ def test_rerun_of_last_snapshot_is_idempotent(spark):
     rows = [(D1, 1, "A", "x", "n"), (D1, 2, "A", "y", "n"), (D2, 1, "B", "x", "n"), (D2, 2, "A", "y", "n")]
     res = replay(spark, rows)
     again = merge_snapshot(res.dimension, snaps(spark, [r for r in rows if r[0] == D2]), D2, SPEC)
-    assert again.stats.as_dict() == {"inserted": 0, "versioned": 0, "unchanged": 2}
+    assert again.counts == {"inserted": 0, "versioned": 0, "unchanged": 2}
     assert sorted(map(str, versions(again.dimension))) == sorted(map(str, versions(res.dimension)))
 
 

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from starloom.plans.warehouse import committed_versions, read_dimension
 from starloom.schemas import Scd2Spec
-from starloom.streaming.loads import apply_snapshot_batch, daily_activity, run_upserts
+from starloom.streaming.loads import (
+    apply_snapshot_batch,
+    daily_activity,
+    merged_days,
+    run_daily_deltas,
+    run_upserts,
+)
 
 SPEC = Scd2Spec(natural_key="id", tracked=("seg",), attributes=("seg",), key="k")
 D1, D2 = dt.date(2020, 1, 1), dt.date(2020, 6, 1)
@@ -21,7 +27,7 @@ def test_replayed_snapshot_batch_adds_nothing(spark, scratch):
     versions = committed_versions(spark, path)
     rows = read_dimension(spark, path).count()
     stats = apply_snapshot_batch(second, path, SPEC)  # foreachBatch replay after a failure
-    assert stats[0].as_dict() == {"inserted": 0, "versioned": 0, "unchanged": 2}
+    assert stats[0] == {"inserted": 0, "versioned": 0, "unchanged": 2}
     assert committed_versions(spark, path) == versions
     assert read_dimension(spark, path).count() == rows == 3
 
@@ -44,3 +50,28 @@ def test_late_event_beyond_watermark_is_dropped(spark, scratch):
     days = {r["day"] for r in spark.read.parquet(out).collect()}
     assert dt.date(2024, 1, 11) not in days
     assert {dt.date(2024, 1, 10), dt.date(2024, 1, 15)} <= days
+
+
+def test_replayed_batch_of_several_snapshots_adds_nothing(spark, scratch):
+    path = f"{scratch}/dim"
+    batch = spark.createDataFrame(
+        [(D1, 1, "A"), (D1, 2, "B"), (D2, 1, "C"), (D2, 2, "B")], "as_of date, id int, seg string"
+    )
+    assert len(apply_snapshot_batch(batch, path, SPEC)) == 2
+    before = sorted(map(str, read_dimension(spark, path).collect()))
+    apply_snapshot_batch(batch, path, SPEC)
+    assert sorted(map(str, read_dimension(spark, path).collect())) == before
+
+
+def test_daily_sums_keep_every_event_in_any_number_of_files(spark, scratch):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=(i * 37) % 90), i % 3 or None, 1.0) for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, value double")
+    seen = []
+    for files in (1, 8):
+        src, out, ck = (f"{scratch}/{x}{files}" for x in ("src", "out", "ck"))
+        events.repartition(files).write.parquet(src)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        run_daily_deltas(stream, "user_id", "ts", "value", out, ck).awaitTermination()
+        seen.append(sorted(map(str, merged_days(spark.read.parquet(out), "user_id").collect())))
+        assert merged_days(spark.read.parquet(out), "user_id").agg(F.sum("day_events")).first()[0] == len(rows)
+    assert seen[0] == seen[1]

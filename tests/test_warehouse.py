@@ -19,6 +19,7 @@ from starloom.plans.warehouse import (
     idempotency_check,
     read_dimension,
     read_fact,
+    OutsideWindow,
     reload_window,
     write_fact,
 )
@@ -37,7 +38,7 @@ def warehouse(spark, tmp_path_factory):
 def test_build_stats(warehouse):
     _, stats = warehouse
     assert stats.customers == 150 and stats.products == 200 and stats.stores == 10
-    loads = [s.as_dict() for s in stats.scd_loads]
+    loads = stats.scd_loads
     assert loads[0] == {"inserted": 150, "versioned": 0, "unchanged": 0}
     assert loads[1]["inserted"] == 0 and loads[1]["versioned"] > 0
     assert sum(loads[1].values()) == 150
@@ -83,7 +84,7 @@ def test_build_can_be_rerun_into_the_same_folder(spark, warehouse):
     again = build(spark, SF_SMALL, out)
     assert again.customer_versions == stats.customer_versions
     assert again.fact_rows == stats.fact_rows
-    assert [s.as_dict() for s in again.scd_loads] == []  # every snapshot was already applied
+    assert again.scd_loads == []  # every snapshot was already applied
 
 
 def test_incremental_day_load_is_idempotent(spark, warehouse):
@@ -131,12 +132,30 @@ def test_window_reload_replaces_only_that_month(spark, tmp_path):
     )
     path = str(tmp_path / "f")
     write_fact(fact.where("sale_key != 3"), path)
-    reload_window(fact, path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
-    reload_window(fact, path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
+    batch = fact.where("date_key > 20200200")
+    reload_window(batch, path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
+    reload_window(batch, path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
     got = sorted(r["sale_key"] for r in read_fact(spark, path).collect())
     assert got == [1, 2, 3]
 
 
+def test_reload_refuses_rows_outside_and_an_empty_one_empties_the_window(spark, tmp_path):
+    fact = spark.createDataFrame(
+        [(1, 20200105, 1), (2, 20200210, 2), (3, 20200215, 3), (4, None, 4)], "sale_key long, date_key int, quantity int"
+    )
+    path = str(tmp_path / "f")
+    write_fact(fact.where("date_key is not null"), path, whole=True)
+    with pytest.raises(OutsideWindow, match="2 rows"):
+        reload_window(fact, path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
+    assert read_fact(spark, path).count() == 3
+    reload_window(fact.limit(0), path, dt.date(2020, 2, 11), dt.date(2020, 2, 29))
+    assert sorted(r["sale_key"] for r in read_fact(spark, path).collect()) == [1, 2]
+    reload_window(fact.limit(0), path, dt.date(2020, 2, 1), dt.date(2020, 2, 29))
+    assert [r["sale_key"] for r in read_fact(spark, path).collect()] == [1]
+    write_fact(fact.where("sale_key = 3"), path, whole=True)
+    assert [r["sale_key"] for r in read_fact(spark, path).collect()] == [3]
+
+
 def test_reloading_one_day_keeps_the_rest_of_its_month(spark, tmp_path):
     fact = spark.createDataFrame(
         [(1, 20200203, 1), (2, 20200210, 2), (3, 20200210, 3), (4, 20200301, 4)],
