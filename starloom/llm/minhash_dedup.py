@@ -3,15 +3,16 @@
 1. Every text becomes a set of word shingles (64-bit hashes). Texts with equal
    sets form one class, named by its smallest id, before anything is compared.
 2. MinHash signatures are cut into bands; classes that agree in a band share a
-   bucket. Bands and rows are chosen so that a pair at the threshold is missed
-   by all buckets with a probability below ``MISS_BANDS``.
+   bucket. There are as many bands as make all buckets miss a pair at the
+   threshold with a probability below ``MISS_BANDS`` (a closer pair is missed
+   far more rarely). Long bands keep texts apart that share a passage only.
 3. A bucket of g classes is never written out as g * g pairs. Round one compares
    each member with its bucket's smallest member only; a member within the
    threshold of one joins its ball. Round two compares ball centres that met in
    a bucket. Jaccard distance is a metric: if two centres are further apart than
    the threshold's distance plus both radii, no members of theirs can link, which
    settles nearly all. Round three compares members of the balls that
-   remain, where they met in a bucket.
+   remain, where the members are far enough out to reach each other.
 4. In each round a pair's signatures are compared in batches of 32 positions. A
    pair is dropped once the posterior probability that its similarity reaches
    the bound falls below ``MISS_VERIFY`` (uniform prior, so a Beta posterior).
@@ -28,17 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.session import cut_lineage
 
-HASHES = 192
+BAND_ROWS = 8
 BATCH = 32
-MISS_BANDS = 1e-6
+MISS_BANDS = 2e-5
 MISS_VERIFY = 1e-7
 CACHE_WORDS = 1 << 20
+FILTER_BITS = 26
 #: Similarity bounds of round two are rounded down to this grid.
 GRID = 0.025
 
@@ -71,9 +74,9 @@ def shingle_set(text: str | None, k: int, words: dict) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    odd, flip = _odd(HASHES, 101), _odd(HASHES, 102)
-    least = np.full(HASHES, np.iinfo(np.uint64).max)
+def signature(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    odd, flip = _odd(hashes, 101), _odd(hashes, 102)
+    least = np.full(hashes, np.iinfo(np.uint64).max)
     for at in range(0, len(shingles), 512):
         mixed = shingles[at : at + 512, None] ^ flip
         mixed *= odd
@@ -81,21 +84,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_shape(threshold: float) -> tuple[int, int]:
-    """Bands and rows: the most rows whose buckets miss a pair at the threshold
-    with a probability of at most MISS_BANDS."""
-    for rows in range(16, 0, -1):
-        bands = HASHES // rows
-        if (1 - threshold**rows) ** bands <= MISS_BANDS:
-            return bands, rows
-    raise ValueError(f"no bands find pairs at {threshold}")
+def band_count(threshold: float) -> int:
+    """Bands of BAND_ROWS rows whose buckets miss a pair at the threshold with a
+    probability of at most MISS_BANDS, in whole batches."""
+    bands = math.ceil(math.log(MISS_BANDS) / math.log(1 - threshold**BAND_ROWS))
+    step = BATCH // BAND_ROWS
+    return -(-bands // step) * step
 
 
-def least_matches(threshold: float) -> list[int]:
+def least_matches(threshold: float, hashes: int) -> list[int]:
     """For 32, 64, ... compared positions: the fewest matches with which a pair
     may still reach the threshold, by the Beta(m + 1, n - m + 1) posterior."""
     out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes + 1, BATCH):
         # P(similarity >= t) = P(Binomial(n + 1, t) <= m)
         p, m = 0.0, -1
         while p < MISS_VERIFY and m < n:
@@ -108,8 +109,8 @@ def least_matches(threshold: float) -> list[int]:
 PROFILE = "id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sig binary"
 
 
-def _profiles(k: int, bands: int, rows: int):
-    mix = _odd(bands * rows, 103).reshape(bands, rows)
+def _profiles(k: int, bands: int):
+    mix = _odd(bands * BAND_ROWS, 103).reshape(bands, BAND_ROWS)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
@@ -122,12 +123,12 @@ def _profiles(k: int, bands: int, rows: int):
                     keys.append(None), buckets.append(None), sigs.append(None)
                     continue
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                least = signature(s)
-                cut = (least[: bands * rows].reshape(bands, rows) * mix).sum(axis=1)
+                least = signature(s, bands * BAND_ROWS)
+                cut = (least.reshape(bands, BAND_ROWS) * mix).sum(axis=1)
                 cut ^= cut >> np.uint64(31)
                 cut = cut * mix[:, 0] + np.arange(bands, dtype=np.uint64)
                 buckets.append(cut.view(np.int64))
-                sigs.append(((least >> np.uint64(24)) & np.uint64(0xFFFF)).astype("<u2").tobytes())
+                sigs.append((least >> np.uint64(24)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -142,10 +143,39 @@ def _profiles(k: int, bands: int, rows: int):
     return profile
 
 
-def _sets(k: int):
+def _place(ids: np.ndarray, bits: int) -> np.ndarray:
+    """An id's bit in a filter of 2**bits."""
+    return (ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
+def _marks(bits: int):
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << bits, bool)
+        for batch in batches:
+            seen[_place(batch.column("id").to_numpy(), bits)] = True
+        yield pa.RecordBatch.from_pydict({"marks": pa.array([np.packbits(seen).tobytes()], pa.binary())})
+
+    return marks
+
+
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """One bit per hashed id, at most 2**FILTER_BITS: what lets most other
+    documents be left out without a join. It may let some through."""
+    n = ids.count()
+    bits = min(FILTER_BITS, max(10, (16 * n).bit_length()))
+    out = np.zeros(1 << bits, bool)
+    # as many parts as hold about two million ids each
+    for row in ids.coalesce(-(-n // 2_000_000) or 1).mapInArrow(_marks(bits), "marks binary").toLocalIterator():
+        out |= np.unpackbits(np.frombuffer(row["marks"], np.uint8)).astype(bool)
+    return out
+
+
+def _sets(k: int, wanted: Broadcast):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        words, marks = _WordHashes(), wanted.value
+        bits = len(marks).bit_length() - 1
         for batch in batches:
+            batch = batch.filter(pa.array(marks[_place(batch.column("id").to_numpy(), bits)]))
             found = [shingle_set(t.as_py(), k, words).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "set"])
 
@@ -159,14 +189,16 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         left, right = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, HASHES) for c in ("sig_a", "sig_b")
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            for c in ("sig_a", "sig_b")
         )
+        hashes = left.shape[1]
         bound = batch.column("bound").to_numpy()
         for b in np.unique(bound):
-            least.setdefault(b, least_matches(float(b)))
+            least.setdefault(b, least_matches(float(b), hashes))
         alive = np.arange(batch.num_rows)
         matches = np.zeros(batch.num_rows, np.int64)
-        for step, at in enumerate(range(0, HASHES, BATCH)):
+        for step, at in enumerate(range(0, hashes, BATCH)):
             matches[alive] += (left[alive, at : at + BATCH] == right[alive, at : at + BATCH]).sum(axis=1)
             need = np.array([least[b][step] for b in bound[alive]])
             alive = alive[matches[alive] >= need]
@@ -190,6 +222,23 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _rows_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            sets = [np.frombuffer(x, np.int64) for x in some.column("set").to_pylist()]
+            ids = np.repeat(some.column("id").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(np.concatenate(sets))], names=["id", "shingle"]
+            )
+
+
+def _with_radii(pairs: DataFrame, stats: DataFrame) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(stats.select(F.col("id").alias(side), F.col("r").alias(f"r{side}")), side)
+    return pairs.withColumn("radii", F.col("ra") + F.col("rb"))
+
+
 def _promising(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
     right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
@@ -219,9 +268,8 @@ def near_duplicates(
     An empty table gives an empty result; other columns are not read.
     """
     threshold = percent / 100
-    bands, rows = band_shape(threshold)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    profiles = cut_lineage(texts.mapInArrow(_profiles(k, bands, rows), PROFILE), "profiles")
+    profiles = cut_lineage(texts.mapInArrow(_profiles(k, band_count(threshold)), PROFILE), "profiles")
     named = profiles.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())
     # the smallest id of a class brings its bands and signature along
     first = F.min(F.struct("id", "bands", "sig")).alias("first")
@@ -238,10 +286,11 @@ def near_duplicates(
     hopeful = _promising(stars.withColumn("bound", F.lit(threshold)), sigs)
     best = hopeful.groupBy("b").agg(F.max(F.struct("matches", -F.col("a"))).alias("m"))
     best = best.select((-F.col("m")["col2"]).alias("a"), "b")
-    wanted = met.select("id").distinct()
+    # the full sets of what met in a bucket (and of some documents more)
+    wanted = texts.sparkSession.sparkContext.broadcast(_filter_of(met.select("id").distinct()))
+    named_texts = texts.filter(F.col("id").isNotNull())
     sets = cut_lineage(
-        texts.join(wanted, "id", "left_semi").mapInArrow(_sets(k), "id bigint, set binary").filter("length(set) > 0"),
-        "sets",
+        named_texts.mapInArrow(_sets(k, wanted), "id bigint, set binary").filter("length(set) > 0"), "sets"
     )
     near = F.col("shared") * 100 >= F.col("total") * percent
     balls = cut_lineage(
@@ -252,32 +301,48 @@ def near_duplicates(
         .select("id", "x.centre", (1 - F.col("x.s")).alias("far")),
         "balls",
     )
-    radius = balls.groupBy(F.col("centre").alias("id")).agg(F.max("far").alias("radius"))
-
     # round two: centres that met in a bucket through any of their members
     own = met.select("bucket", "id").join(balls, "id", "left")
     placed = cut_lineage(
         own.select("bucket", "id", F.coalesce("centre", "id").alias("centre"), F.coalesce("far", F.lit(0.0)).alias("far")),
         "placed",
     )
-    seats = placed.select("bucket", "centre").distinct()
-    pairs = (
-        seats.select("bucket", F.col("centre").alias("a"))
-        .join(seats.select("bucket", F.col("centre").alias("b")), "bucket")
-        .filter("a < b")
-        .select("a", "b")
-        .distinct()
+    # what a centre can share at most: its shingles that another class has too
+    alone = (
+        sets.mapInArrow(_rows_of_sets, "id bigint, shingle bigint")
+        .groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+        .filter("n = 1")
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    radius = placed.groupBy(F.col("centre").alias("id")).agg(F.max("far").alias("r"))
+    size = (F.length("set") / 8).cast("bigint")
+    of_id = sets.groupBy("id").agg(F.min(size).alias("n"), F.sum(size).alias("all"), F.count(F.lit(1)).alias("m"))
+    # an id with several texts may share anything
+    common = F.when(F.col("m") == 1, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("all"))
+    stats = cut_lineage(
+        of_id.join(alone, "id", "left").join(radius, "id").select("id", "n", common.alias("c"), "r"), "stats"
     )
+    seats = placed.select("bucket", F.col("centre").alias("id")).distinct().join(stats, "id")
+    one, two = (seats.select("bucket", *[F.col(c).alias(x + c) for c in ("id", "n", "c", "r")]) for x in "ab")
+    # a pair counts only if the shared shingles could reach the bound; as a part of
+    # the join, that keeps a bucket's pairs from being written out
+    reach = F.lit(threshold - 1e-9) - F.col("ar") - F.col("br")
+    can = F.least("ac", "bc") * (reach + 1) >= reach * (F.col("an") + F.col("bn"))
+    met_there = (one["bucket"] == two["bucket"]) & (F.col("aid") < F.col("bid")) & can
     reach = (
-        pairs.join(radius.select(F.col("id").alias("a"), F.col("radius").alias("ra")), "a", "left")
-        .join(radius.select(F.col("id").alias("b"), F.col("radius").alias("rb")), "b", "left")
-        .select("a", "b", (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0))).alias("radii"))
+        one.join(two, met_there)
+        .select(F.col("aid").alias("a"), F.col("bid").alias("b"), F.col("ar").alias("ra"), F.col("br").alias("rb"))
+        .distinct()
+        .withColumn("radii", F.col("ra") + F.col("rb"))
     )
     bound = F.floor((F.lit(threshold) - F.col("radii")) / F.lit(GRID) + F.lit(1e-9)) * F.lit(GRID)
-    asked = reach.select(
-        "a", "b", F.when(F.col("radii") > 0, F.greatest(F.lit(GRID), bound)).otherwise(F.lit(threshold)).alias("bound")
+    asked = reach.withColumn(
+        "bound", F.when(F.col("radii") > 0, F.greatest(F.lit(GRID), bound)).otherwise(F.lit(threshold))
     )
-    told = cut_lineage(_exact(_promising(asked, sigs), sets).join(reach, ["a", "b"]), "centres")
+    told = _exact(_promising(asked.select("a", "b", "bound"), sigs), sets)
+    told = cut_lineage(_with_radii(told, stats), "centres")
     links = told.filter(near).select("a", "b")
     links = links.unionByName(balls.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
@@ -287,17 +352,20 @@ def near_duplicates(
     for side in ("a", "b"):
         apart = apart.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    apart = cut_lineage(apart.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("gap")), "apart")
+    apart = cut_lineage(
+        apart.select("a", "b", "ra", "rb", (F.col("shared") / F.col("total") + (1e-9 - threshold)).alias("slack")), "apart"
+    )
     if apart.limit(1).count():
-        some = apart.select(F.col("a").alias("centre")).union(apart.select("b")).distinct()
-        close = placed.join(some, "centre", "left_semi")
-        one = close.select("bucket", F.col("centre").alias("a"), F.col("id").alias("x"), F.col("far").alias("fx"))
-        two = close.select("bucket", F.col("centre").alias("b"), F.col("id").alias("y"), F.col("far").alias("fy"))
+        members = cut_lineage(placed.select("centre", "id", "far").distinct(), "members")
+        one = members.select(F.col("centre").alias("a"), F.col("id").alias("x"), F.col("far").alias("fx"))
+        two = members.select(F.col("centre").alias("b"), F.col("id").alias("y"), F.col("far").alias("fy"))
+        # two members can link if their distances from the centres make up for
+        # the centres' gap: the slack, negative, is the threshold's minus theirs
         rest = (
-            one.join(two, "bucket")
-            .filter("a < b")
-            .join(apart, ["a", "b"])
-            .filter(F.col("fx") + F.col("fy") + 1 - threshold + 1e-9 >= F.col("gap"))
+            apart.join(one, "a")
+            .filter("fx + rb + slack >= 0")
+            .join(two, "b")
+            .filter("fx + fy + slack >= 0")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .filter("a <> b")
             .distinct()

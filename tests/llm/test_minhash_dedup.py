@@ -82,12 +82,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 def test_bands_and_posterior():
     for t in (0.8, 0.85, 0.9):
-        bands, rows = M.band_shape(t)
-        assert (1 - t**rows) ** bands <= M.MISS_BANDS and bands * rows <= M.HASHES
-        least = M.least_matches(t)
-        assert least == sorted(least) and least[-1] <= t * M.HASHES
+        bands = M.band_count(t)
+        assert (1 - t**M.BAND_ROWS) ** bands <= M.MISS_BANDS
+        least = M.least_matches(t, bands * M.BAND_ROWS)
+        assert least == sorted(least) and least[-1] <= t * bands * M.BAND_ROWS
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 1 << 62, 4000, dtype=np.uint64))
     b = np.unique(np.concatenate([a[:3000], rng.integers(0, 1 << 62, 1000, dtype=np.uint64)]))
-    same = (M.signature(a) == M.signature(b)).mean()
-    assert abs(same - 3000 / 5000) < 0.12
+    same = (M.signature(a, 288) == M.signature(b, 288)).mean()
+    assert abs(same - 3000 / 5000) < 0.1
