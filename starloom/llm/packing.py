@@ -124,7 +124,7 @@ def plan_rows(patterns: list[tuple[Counter, int]]) -> list[tuple[int, int, int,
 
 def _cut(capacity: int, tokenizer: str, end_id: int, keep_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TextIds(tokenizer)
+        ids_of = TextIds.shared(tokenizer)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows, piece, start, length, crc, kept = [], [], [], [], [], []

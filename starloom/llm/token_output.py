@@ -67,7 +67,7 @@ def _sequences(texts, ids_of: TextIds, seq_len: int, end_id: int) -> Iterator[tu
 
 def _count(seq_len: int, tokenizer: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, n = TextIds(tokenizer, "<u2"), 0
+        ids_of, n = TextIds.shared(tokenizer, "<u2"), 0
         for batch in batches:
             for ids in ids_of.of(t.as_py() for t in batch.column("text")):
                 n += len(ids) // 2 // seq_len + 1  # with its end id
@@ -78,7 +78,7 @@ def _count(seq_len: int, tokenizer: str):
 
 def _deal(starts, n: int, seq_len: int, tokenizer: str, end_id: int, pad_id: int, per_shard: int, key: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, pad = TextIds(tokenizer, "<u2"), np.array([pad_id], "<u2").tobytes()
+        ids_of, pad = TextIds.shared(tokenizer, "<u2"), np.array([pad_id], "<u2").tobytes()
         at, stop = starts.value[TaskContext.get().partitionId()]
         for batch in batches:
             found = list(_sequences(batch.column("text"), ids_of, seq_len, end_id))

@@ -1,12 +1,15 @@
 """Token ids of whole texts, by a public tokenizer file.
 
-The tokenizer of ``word_bpe_49k.json`` never lets a token cross white space, so
-a text's ids are the ids of its white-space-separated pieces in order. Pieces
-repeat, so their ids are remembered for a bounded number of pieces.
+The tokenizer of ``word_bpe_49k.json`` lower-cases, never lets a token cross
+white space, and ends a word before a stop or comma that follows it. So a
+text's ids are the ids of its pieces (lower-cased, split at white space and
+before such stops) in order. Pieces repeat: their ids are remembered, for a
+bounded number of pieces, by the Python worker over all its tasks.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 import numpy as np
@@ -14,8 +17,13 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
-REMEMBERED = 1 << 19
-BATCH = 4096
+REMEMBERED = 900_000
+BATCH = 1024
+#: Stands alone between pieces that are encoded together; it has an id of its own.
+MARK = b"\x01"
+#: Texts with this start of a special token are not lower-cased beforehand.
+SPECIAL = b"<|"
+STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 
 
 class TextIds:
@@ -25,24 +33,45 @@ class TextIds:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         self.dtype, self.remembered = np.dtype(dtype), remembered
         self.known: dict[bytes, bytes] = {}
+        (self.mark,) = self._ids(MARK)
+
+    @classmethod
+    def shared(cls, tokenizer: str = TOKENIZER, dtype: str = "<u4") -> TextIds:
+        """The worker's own, with what earlier tasks have learned."""
+        if (tokenizer, dtype) not in _SHARED:
+            _SHARED[tokenizer, dtype] = cls(tokenizer, dtype)
+        return _SHARED[tokenizer, dtype]
+
+    def _ids(self, text: bytes) -> list[int]:
+        (found,) = self.tokenizer.encode_batch_fast([text.decode("utf-8", "surrogatepass")], add_special_tokens=False)
+        return found.ids
 
     def _learn(self, pieces: list[bytes]) -> None:
-        for at in range(0, len(pieces), BATCH):
-            some = pieces[at : at + BATCH]
-            found = self.tokenizer.encode_batch_fast(
-                [p.decode("utf-8", "surrogatepass") for p in some], add_special_tokens=False
-            )
-            for piece, e in zip(some, found, strict=True):
-                self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+        plain = [p for p in pieces if MARK not in p and SPECIAL not in p]
+        for at in range(0, len(plain), BATCH):
+            some = plain[at : at + BATCH]
+            ids = np.array(self._ids((b" " + MARK + b" ").join(some)), self.dtype)
+            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            packed, size, start = ids.tobytes(), self.dtype.itemsize, 0
+            for piece, end in zip(some, ends, strict=True):
+                self.known[piece] = packed[start * size : end * size]
+                start = end + 1
+        for piece in pieces:
+            if piece not in self.known:
+                self.known[piece] = np.array(self._ids(piece), self.dtype).tobytes()
 
     def of(self, texts: Iterable[str | None]) -> list[bytes]:
         out = []
         for text in texts:
-            pieces = (text or "").encode("utf-8", "surrogatepass").split()
-            new = list({p for p in pieces if p not in self.known})
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            pieces = (raw if SPECIAL in raw else STOP.sub(rb" \1", raw.lower())).split()
+            new = list(set(pieces).difference(self.known))
             if len(self.known) + len(new) > self.remembered:
                 self.known.clear()
                 new = list(set(pieces))
             self._learn(new)
             out.append(b"".join(map(self.known.__getitem__, pieces)))
         return out
+
+
+_SHARED: dict[tuple[str, str], TextIds] = {}
