@@ -100,7 +100,7 @@ def next_ids(ids: DataFrame, bits: int = 10) -> DataFrame:
 
 
 def _next_ids(ids: DataFrame, lo: int, hi: int, bits: int) -> DataFrame:
-    if lo >> bits == hi >> bits:  # one block of at most 2**bits ids
+    if hi - lo < 1 << bits:  # at most 2**bits ids
         return ids.select("id", F.lead("id").over(Window.partitionBy(F.lit(0)).orderBy("id")).alias("next_id"))
     blocked = ids.select("id", F.shiftright("id", bits).alias("block"))
     within = Window.partitionBy("block").orderBy("id")
@@ -108,6 +108,7 @@ def _next_ids(ids: DataFrame, lo: int, hi: int, bits: int) -> DataFrame:
     # written, as the levels above read it twice each
     firsts = cut_lineage(blocked.groupBy("block").agg(F.min("id").alias("first_id")), "firsts")
     follow = _next_ids(firsts.select(F.col("block").alias("id")), lo >> bits, hi >> bits, bits)
+    follow = cut_lineage(follow, "next-blocks")
     after = follow.select(F.col("id").alias("block"), F.col("next_id").alias("then")).join(
         firsts.select(F.col("block").alias("then"), "first_id"), "then"
     )

@@ -22,7 +22,7 @@ def shingles(t):
 def test_edits_and_likeness(spark):
     rng = random.Random(5)
     vocabulary = [f"mot{i}é" for i in range(3000)]
-    ids = sorted(rng.sample(range(-5000, 10_000_000), 300)) + list(range(20_000_000, 20_000_700))
+    ids = sorted(rng.sample(range(-5_000_000, 10_000_000), 300)) + list(range(20_000_000, 20_000_700))
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([6, 30, 200, 900])))) for i in ids]
     docs[40] = (docs[40][0], docs[39][1])
     df = spark.createDataFrame(rng.sample(docs, len(docs)), "doc_id bigint, text string")
