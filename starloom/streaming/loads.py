@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.predicates import any_changed_cols
 from starloom.operators.facts import resolve_keys
-from starloom.operators.scd import merge_snapshot
+from starloom.operators.scd import SnapshotRejected, merge_snapshot, validate_members
 from starloom.plans.warehouse import FACT_PARTITION, assert_publishable, read_dimension, write_dimension
 from starloom.schemas import CUSTOMER_SPEC, Scd2Spec
 from starloom.sources.csv_stage import DATE_FORMAT
@@ -76,35 +77,55 @@ def run_fact_stream(resolved: DataFrame, out: str, checkpoint: str, available_no
     return writer.start()
 
 
-def _applied_before_others(dim: DataFrame, as_of, spec: Scd2Spec) -> bool:
-    """Whether versions began on this date and others began later."""
-    began = F.col(spec.valid_from)
-    day = F.lit(as_of).cast("date")
-    found = dim.agg(F.count_if(began == day).alias("now"), F.count_if(began > day).alias("later")).first()
-    return found["now"] > 0 and found["later"] > 0
+def _without_applied(dim: DataFrame, one: DataFrame, as_of: dt.date, spec: Scd2Spec) -> tuple[DataFrame, int]:
+    """The snapshot's rows that are still to be merged, and how many are applied already.
+
+    Decided per member, so parts of one snapshot may come in any number of
+    batches. Where a member has versions that began later, its row is applied
+    if the version of that date says the same; any other such row would change
+    history behind a later version, and is refused with the number of them.
+    """
+    nk, day = spec.natural_key, F.lit(as_of).cast("date")
+    later = dim.where(F.col(spec.valid_from) > day).select(nk).distinct()
+    behind = one.join(later, nk, "left_semi")
+    then = dim.where((F.col(spec.valid_from) <= day) & (day < F.col(spec.valid_to)))
+    then = then.select(nk, *[F.col(c).alias(f"_then_{c}") for c in spec.tracked], F.lit(True).alias("_then"))
+    same = F.col("_then").isNotNull() & ~any_changed_cols((F.col(f"_then_{c}"), F.col(c)) for c in spec.tracked)
+    found = behind.join(then, nk, "left").withColumn("_same", same)
+    n = found.agg(F.count_if("_same").alias("applied"), F.count_if(~F.col("_same")).alias("refused")).first()
+    if n["refused"]:
+        some = [str(r[0]) for r in found.where(~F.col("_same")).select(nk).limit(20).collect()]
+        raise SnapshotRejected(
+            f"snapshot {as_of} came late: {n['refused']} rows differ from members whose versions began after it: "
+            + ", ".join(some)
+        )
+    return (one.join(later, nk, "left_anti") if n["applied"] else one), n["applied"]
 
 
 def apply_snapshot_batch(
     batch: DataFrame, dim_path: str, spec: Scd2Spec = CUSTOMER_SPEC, as_of_col: str = "as_of"
 ) -> list:
     """One micro-batch: merge its snapshots oldest first; write a new
-    dimension version only when something changed. A replayed batch skips the
-    snapshots that have opened versions already, also where later ones of the
-    same batch followed; one that changed nothing is merged again as a no-op
-    as long as no later one has changed its members. Returns the members per
-    action of each snapshot merged now."""
+    dimension version only when something changed. Rows that were applied
+    already, also where later snapshots followed, are left out member by
+    member and count as unchanged; a late part of a snapshot adds its new
+    members, and late rows that differ from a later history are refused.
+    Returns the members per action of each snapshot."""
     stats = []
     dates = sorted(r[0] for r in batch.select(as_of_col).distinct().collect())  # one per snapshot
     for d in dates:
         current = read_dimension(batch.sparkSession, dim_path)
-        if current is not None and _applied_before_others(current, d, spec):
-            continue
-        one = batch.where(F.col(as_of_col) == F.lit(d))
-        res = merge_snapshot(current, one, d if isinstance(d, dt.date) else d.date(), spec)
+        day = d if type(d) is dt.date else d.date()
+        one, applied = batch.where(F.col(as_of_col) == F.lit(d)), 0
+        if current is not None and not current.where(F.col(spec.valid_from) > F.lit(day)).isEmpty():
+            # members are told apart by their rows, so copies are refused before any is left out
+            validate_members(one, spec.natural_key)
+            one, applied = _without_applied(current, one, day, spec)
+        res = merge_snapshot(current, one, day, spec)
         if current is None or res.changed:
             assert_publishable(res.dimension, spec)
             write_dimension(res.dimension, dim_path)
-        stats.append(res.counts)
+        stats.append(res.counts | {"unchanged": res.counts["unchanged"] + applied})
     return stats
 
 
