@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,16 @@ STOP_WORDS = frozenset(
 )
 
 # Element names.
-SKIPPED = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "textarea", "title")
+#: What stands inside is no markup up to the end tag.
+RAW = ("script", "style", "iframe", "textarea", "title")
+FOREIGN = frozenset("svg math".split())
+SKIPPED = FOREIGN | frozenset("noscript template object select".split())
+#: Elements that end an unclosed svg or math, and those inside of which they don't.
+BREAKOUT = frozenset(
+    """article aside blockquote body center dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre
+    section table ul""".split()
+)
+HTML_INSIDE = frozenset("foreignobject annotation-xml desc".split())
 FURNITURE = frozenset("nav footer aside form menu dialog button fieldset head".split())
 MAIN = frozenset("article main".split())
 INLINE = frozenset(
@@ -68,12 +78,12 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)", re.I)
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(SKIPPED) + r")\b(?>[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?>[^<>\"']+|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/<>\"']*)((?>[^<>\"']+|\"[^\"]*\"|'[^']*')*)>"
     r"|<[/!?][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^<>]*(?:>|\Z)",
     re.S | re.I,
 )
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -114,11 +124,14 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, furniture, main
     parts: list[str] = []
+    inline: Counter[str] = Counter()  # open inline elements of the block
+    within: Counter[str] = Counter()  # open elements from the outermost skipped one on
     links = furniture = mains = in_link = articles = at = 0
+    skipped = 0  # length of open_tags up to the outermost skipped element, 0 outside of one
 
     def text(raw: str) -> None:
         nonlocal links
-        if raw:
+        if raw and not skipped:
             parts.append(raw)
             if in_link:
                 links += len(raw.strip())
@@ -129,6 +142,7 @@ def blocks_of(page: str) -> list[Block]:
         if joined:
             out.append(Block(joined, links, furniture > 0, articles if mains else 0))
         parts.clear()
+        inline.clear()
         links = 0
 
     def close() -> None:
@@ -137,15 +151,70 @@ def blocks_of(page: str) -> list[Block]:
         furniture -= f
         mains -= m
 
-    for found in TOKEN.finditer(page):
+    def skipped_tag(name: str, end: str, attributes: str) -> bool:
+        """Takes a tag inside a skipped element; false if it ends that element and counts itself."""
+        opens = not end and name not in VOID and not attributes.endswith("/")
+        if name in INLINE:
+            if opens:
+                within[name] += 1
+            elif end and not within[name] and inline[name]:
+                leave()
+                return False
+            elif end and within[name]:
+                within[name] -= 1
+            return True
+        if end and within[name]:
+            while (last := open_tags.pop()[0]) != name:
+                within[last] -= 1
+            within[name] -= 1
+            if len(open_tags) < skipped:
+                leave()
+            return True
+        if end:
+            stays = all(name != t[0] for t in open_tags)
+        else:
+            stays = not (
+                open_tags[skipped - 1][0] in FOREIGN and name in BREAKOUT and not any(within[x] for x in HTML_INSIDE)
+            )
+        if not stays:
+            leave()
+        elif opens:
+            open_tags.append((name, False, False))
+            within[name] += 1
+        return stays
+
+    def leave() -> None:
+        nonlocal skipped
+        del open_tags[skipped - 1 :]
+        skipped = 0
+        within.clear()
+
+    while found := TOKEN.search(page, at):
         text(page[at : found.start()])
         at = found.end()
-        name = (found[3] or "").lower()
+        name, attributes = (found[2] or "").lower(), found[3] or ""
         if not name:
             continue
+        if name in RAW:
+            if not found[1] and not (attributes.endswith("/") and any(t[0] in FOREIGN for t in open_tags)):
+                over = RAW_END[name].search(page, at)
+                at = over.end() if over else len(page)
+            continue
+        if skipped and skipped_tag(name, found[1], attributes):
+            continue
+        if name in SKIPPED:
+            if not found[1] and not (name in FOREIGN and attributes.endswith("/")):
+                open_tags.append((name, False, False))
+                within[name] += 1
+                skipped = len(open_tags)
+            continue
         if name == "a":
-            in_link = 0 if found[2] else 1
+            in_link = 0 if found[1] else 1
         if name in INLINE:
+            if not found[1]:
+                inline[name] += name not in VOID
+            elif inline[name]:
+                inline[name] -= 1
             continue
         if name == "br":
             parts.append(" ")
@@ -153,7 +222,7 @@ def blocks_of(page: str) -> list[Block]:
         flush()
         if name in VOID:
             continue
-        if found[2]:
+        if found[1]:
             if any(name == t[0] for t in open_tags):
                 while True:
                     last = open_tags[-1][0]
@@ -164,9 +233,9 @@ def blocks_of(page: str) -> list[Block]:
         if name in SELF_CLOSING and open_tags and open_tags[-1][0] == name:
             close()
         in_link = 0
-        if (found[4] or "").endswith("/") and name not in MAIN:
+        if attributes.endswith("/") and name not in MAIN:
             continue
-        bad = _is_furniture(name, found[4] or "", mains > 0)
+        bad = _is_furniture(name, attributes, mains > 0)
         body = name in MAIN and not furniture and not bad
         if body and not mains:
             articles += 1

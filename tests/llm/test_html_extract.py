@@ -27,6 +27,20 @@ def test_broken_pages():
     assert main_text("<div>" * 3000 + PROSE)[0] == PROSE
 
 
+def test_skipped_elements_end_where_they_end():
+    for icon in ('<svg class="i"/>', "<svg/>", "<math />", "<svg><title/><path d='x'/></svg>", "<svg><g><path>no</g></svg>"):
+        assert main_text(f"<article><p>one {icon} two</p><p>three</p></article>")[0] == "one two three"
+    for name in ("select-box", "template-part", "object-view", "title-bar", "style-x", "svg.icon"):
+        assert main_text(f"<article><{name}>one</{name}><p>two</p></article>")[0] == "one two"
+    for name in ("svg", "math", "object", "select", "template", "noscript"):
+        assert main_text(f"<article><p>one <{name}>no <b>no</p><p>two</article>")[0] == "one two"
+        assert main_text(f"<article><p>one <span><{name}>no</span> two</p></article>")[0] == "one two"
+        assert main_text(f"<article><p>one <{name}>no<i>no</i> no</{name}> two</p></article>")[0] == "one two"
+    assert main_text("<article><svg><path d=''><p>one</p><p>two</p></article>")[0] == "one two"
+    assert main_text("<article>one <object>no<object>no</object>no</object> two</article>")[0] == "one two"
+    assert main_text("<article>one <script>'</p>'</script > two<style>no")[0] == "one two"
+
+
 def test_dataframe(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
