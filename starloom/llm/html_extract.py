@@ -5,9 +5,10 @@ own words: blocks in page furniture (menus, headers, footers, asides, forms,
 adverts, notices, comments) and blocks made of links are boilerplate, long
 blocks with the stop-word density of prose are content, long ones without it
 are not, and short ones stay undecided. Pass two gives undecided blocks the
-label of their nearest decided neighbours. Where a page marks its article, the
-article's two ends count as decided content for the blocks inside, prose rules
-don't judge what stands inside, and no block outside looks across.
+label of their nearest decided neighbours. Where a page marks its article,
+every block inside is content but furniture and runs of list items that are
+all link, and no block outside is. Inside, furniture is told by element names,
+roles and whole class names, not by ids, which are made from headings there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +73,23 @@ MARKS = re.compile(
     r"|complementary|contentinfo|navigation|search)(?=$|[\s_-])",
     re.I,
 )
+#: Class names that mark furniture inside an article, as a whole.
+_MARK = (
+    r"(?:ads?|adv|advert(?:s|isements?|ising)?|sponsor(?:s|ed)?|promos?|banners?|cookies?|consent|gdpr|notices?|alerts?"
+    r"|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|nav|navbar|navigation|menus?"
+    r"|menubar|breadcrumbs?|pagination|pager|side-?bars?|aside|widgets?|related|recommended|recommendations|more-?from"
+    r"|trending|comments?|commentlist|respond|reply|replies|disqus|footer|masthead|site-?header|page-?header|top-?bar"
+    r"|copyright|legal|disclaimer|toolbar|skip-?link|search)"
+)
+_PART = (
+    r"(?:list|box|bar|links?|buttons?|icons?|wrap|wrapper|container|section|area|form|block|items?|inner|posts|articles"
+    r"|stories|thread|site|main|top|bottom|post|article|entry|page)"
+)
+WHOLE_MARK = re.compile(rf"(?:{_PART}[_-]+)*{_MARK}(?:[_-]+(?:{_MARK}|{_PART}))*", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: So many list items in a row that are all link are a menu inside an article too.
+LINK_RUN = 3
+ALL_LINK = 0.9
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 #: Class names of wrappers that only say what a page has, or has not.
 LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|layout)-\S+", re.I)
@@ -93,6 +112,7 @@ class Block:
     link_chars: int
     furniture: bool
     main: int  # number of the article that holds it, 0 for none
+    item: bool = False  # stands in a list item
     label: bool | None = None
     words: int = 0
     stop_density: float = 0.0
@@ -112,6 +132,9 @@ def _is_furniture(name: str, attributes: str, in_main: bool) -> bool:
             marked = UNSEEN.search(value)
         elif key == "aria-hidden":
             marked = value.lower() == "true"
+        elif in_main and key != "role":
+            tokens = LAYOUT.sub("", value).split() if key == "class" and name not in HEADINGS and name not in MAIN else ()
+            marked = any(WHOLE_MARK.fullmatch(t) for t in tokens)
         else:
             marked = name not in ("html", "body") and name not in MAIN and MARKS.search(LAYOUT.sub("", value))
         if marked:
@@ -126,7 +149,7 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     inline: Counter[str] = Counter()  # open inline elements of the block
     within: Counter[str] = Counter()  # open elements from the outermost skipped one on
-    links = furniture = mains = in_link = articles = at = 0
+    links = furniture = mains = items = in_link = articles = at = 0
     skipped = 0  # length of open_tags up to the outermost skipped element, 0 outside of one
 
     def text(raw: str) -> None:
@@ -140,14 +163,15 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links
         joined = " ".join(html.unescape("".join(parts)).split())
         if joined:
-            out.append(Block(joined, links, furniture > 0, articles if mains else 0))
+            out.append(Block(joined, links, furniture > 0, articles if mains else 0, items > 0))
         parts.clear()
         inline.clear()
         links = 0
 
     def close() -> None:
-        nonlocal furniture, mains
-        _, f, m = open_tags.pop()
+        nonlocal furniture, mains, items
+        name, f, m = open_tags.pop()
+        items -= name == "li"
         furniture -= f
         mains -= m
 
@@ -242,6 +266,7 @@ def blocks_of(page: str) -> list[Block]:
         open_tags.append((name, bad, body))
         furniture += bad
         mains += body
+        items += name == "li"
     text(page[at:])
     flush()
     return out
@@ -255,18 +280,25 @@ def label_blocks(blocks: list[Block]) -> list[Block]:
         b.words = len(words)
         b.stop_density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
         b.link_density = min(1.0, b.link_chars / max(1, len(b.text)))
-        if b.furniture or b.link_density > LINK_DENSITY or (marked and not b.main):
+        if b.furniture or (marked and not b.main):
+            b.label = False
+        elif b.main:
+            b.label = True
+        elif b.link_density > LINK_DENSITY:
             b.label = False
         elif b.words >= LONG_WORDS:
-            b.label = b.main > 0 or b.stop_density >= STOP_DENSITY
+            b.label = b.stop_density >= STOP_DENSITY
+    for _, run in groupby(blocks, lambda b: (b.main, b.label and b.item and b.link_density >= ALL_LINK)):
+        run = list(run)
+        if run[0].main and run[0].label and run[0].item and run[0].link_density >= ALL_LINK and len(run) >= LINK_RUN:
+            for b in run:
+                b.label = False
     inherited: list[list[tuple[int, bool]]] = [[] for _ in blocks]
     for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
-        # distance to, and label of, the last decided block in the same article
-        away, near, where = 0, None, None
+        # distance to, and label of, the last decided block
+        away, near = 0, None
         for i in order:
             b = blocks[i]
-            if b.main != where:  # an article's end counts as content inside
-                away, near, where = 0, (True if b.main else None), b.main
             away += 1
             if b.label is not None:
                 away, near = 0, b.label

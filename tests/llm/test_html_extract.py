@@ -41,6 +41,18 @@ def test_skipped_elements_end_where_they_end():
     assert main_text("<article>one <script>'</p>'</script > two<style>no")[0] == "one two"
 
 
+def test_article_is_not_cut_by_names_of_headings_or_links():
+    for slug in ("related-work", "legal-status", "social-impact", "search-algorithms", "share-price", "naval-history", "navajo"):
+        for page in (f"<section id={slug}><h2>T</h2><p>a</section>", f"<h2 id={slug} class={slug}>T</h2><p>a", f"<div class={slug}>T a</div>"):
+            assert main_text(f"<article>{page}</article>")[0] == "T a"
+    for mark in ("related-posts", "comment-list", "post-navigation", "nav", "share-buttons", "x sidebar"):
+        assert main_text(f"<article><p>a<div class='{mark}'>no</div><p>b<p>c</article>")[0] == "a b c"
+    assert main_text("<article><h1><a>T</a></h1><p><a>all link</a><p>b<ul><li>x, <a>one</a>, 1<li><a>two</a></ul></article>")[0] == (
+        "T all link b x, one , 1 two".replace(" ,", ",")
+    )
+    assert main_text("<article><p>a<ul><li><a>m</a><li><a>n</a><li><a>o</a></ul><div role=navigation>no</div></article>")[0] == "a"
+
+
 def test_dataframe(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
