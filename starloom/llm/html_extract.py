@@ -4,7 +4,11 @@ A page is cut into blocks at block-level tags. Pass one looks at each block's
 own words: blocks in page furniture (menus, headers, footers, asides, forms,
 adverts, notices, comments) and blocks made of links are boilerplate, long
 blocks with the stop-word density of prose are content, long ones without it
-are not, and short ones stay undecided. Pass two gives undecided blocks the
+are not, and short ones stay undecided. Stop words judge only where the page's
+prose is in a language that has a list here, and only Latin script; other long
+blocks are content. Length counts words, and characters in scripts that put no
+space between words. Where that finds no content at all, every block of few
+links that is not furniture is content. Pass two gives undecided blocks the
 label of their nearest decided neighbours. Where a page marks its article,
 every block inside is content but furniture and runs of list items that are
 all link, and no block outside is. Inside, furniture is told by element names,
@@ -29,19 +33,31 @@ STOP_DENSITY = 0.2
 LINK_DENSITY = 0.4
 
 # Common function words of English, German, French and Spanish.
-STOP_WORDS = frozenset(
-    """
-    a about after all also an and are as at be been but by can for from had has have he her his if in into is it its
-    more no not of on one or our out she so than that the their them then there they this to up was we were what when
-    which who will with would you
-    aber als am an auch auf aus bei bin das dass dem den der des die du ein eine einem einen einer er es für haben hat
-    ich im in ist kann mit nach nicht noch nur oder sich sie sind so um und uns von war wie wir wird zu zum zur über
-    au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou où par pas plus
-    pour qu que qui sa se ses son sont sur un une vous
-    al como con de del el ella en es esta este fue ha hay la las lo los más me no o para pero por que se si sin sobre su
-    sus un una y ya
-    """.split()
+STOP_LISTS = tuple(
+    frozenset(words.split())
+    for words in (
+        """
+        a about after all also an and are as at be been but by can for from had has have he her his if in into is it its
+        more no not of on one or our out she so than that the their them then there they this to up was we were what when
+        which who will with would you
+        """,
+        """
+        aber als am an auch auf aus bei bin das dass dem den der des die du ein eine einem einen einer er es für haben hat
+        ich im in ist kann mit nach nicht noch nur oder sich sie sind so um und uns von war wie wir wird zu zum zur über
+        """,
+        """
+        au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou où par pas plus
+        pour qu que qui sa se ses son sont sur un une vous
+        """,
+        """
+        al como con de del el ella en es esta este fue ha hay la las lo los más me no o para pero por que se si sin sobre su
+        sus un una y ya
+        """,
+    )
 )
+STOP_WORDS = frozenset().union(*STOP_LISTS)
+#: Part of one list's words in the prose of a page that is in its language.
+LANGUAGE_DENSITY = 0.3
 
 # Element names.
 #: What stands inside is no markup up to the end tag.
@@ -106,6 +122,14 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name
 WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Scripts without spaces between words: Thai to Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile(
+    r"[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+)
+UNSPACED_WORD = 2  # characters
+LATIN = re.compile(r"[a-z\u00df-\u024f\u1e00-\u1eff]")
+
+
 @dataclass
 class Block:
     text: str
@@ -115,6 +139,8 @@ class Block:
     item: bool = False  # stands in a list item
     label: bool | None = None
     words: int = 0
+    latin: bool = True
+    by_list: tuple[int, ...] = ()  # words that stand in each stop list
     stop_density: float = 0.0
     link_density: float = 0.0
 
@@ -275,10 +301,19 @@ def blocks_of(page: str) -> list[Block]:
 def label_blocks(blocks: list[Block]) -> list[Block]:
     """Pass one by the blocks' own words, pass two by neighbours."""
     marked = any(b.main and not b.furniture for b in blocks)
+    long: list[Block] = []
     for b in blocks:
-        words = WORD.findall(b.text.lower())
+        lower = b.text.lower()
+        words = WORD.findall(lower)
         b.words = len(words)
         b.stop_density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        if not lower.isascii():
+            unspaced = len(UNSPACED.findall(lower))
+            if unspaced:
+                b.words = len(WORD.findall(UNSPACED.sub(" ", lower))) + unspaced // UNSPACED_WORD
+            b.latin = 2 * len(LATIN.findall(lower)) >= sum(len(w) for w in words)
+        if not marked and b.words >= LONG_WORDS and b.stop_density >= STOP_DENSITY:
+            b.by_list = tuple(sum(w in words_of for w in words) for words_of in STOP_LISTS)
         b.link_density = min(1.0, b.link_chars / max(1, len(b.text)))
         if b.furniture or (marked and not b.main):
             b.label = False
@@ -287,7 +322,15 @@ def label_blocks(blocks: list[Block]) -> list[Block]:
         elif b.link_density > LINK_DENSITY:
             b.label = False
         elif b.words >= LONG_WORDS:
-            b.label = b.stop_density >= STOP_DENSITY
+            long.append(b)
+    prose = [b for b in long if b.by_list]
+    hits = max((sum(n) for n in zip(*(b.by_list for b in prose), strict=True)), default=0)
+    listed = hits > 0 and hits >= LANGUAGE_DENSITY * sum(b.words for b in prose)
+    for b in long:
+        b.label = b.stop_density >= STOP_DENSITY or not b.latin or not listed
+    if not marked and not any(b.label for b in blocks):
+        for b in blocks:
+            b.label = not b.furniture and b.link_density <= LINK_DENSITY
     for _, run in groupby(blocks, lambda b: (b.main, b.label and b.item and b.link_density >= ALL_LINK)):
         run = list(run)
         if run[0].main and run[0].label and run[0].item and run[0].link_density >= ALL_LINK and len(run) >= LINK_RUN:

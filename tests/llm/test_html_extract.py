@@ -53,6 +53,27 @@ def test_article_is_not_cut_by_names_of_headings_or_links():
     assert main_text("<article><p>a<ul><li><a>m</a><li><a>n</a><li><a>o</a></ul><div role=navigation>no</div></article>")[0] == "a"
 
 
+ITALIAN = "Ogni mattina il vecchio pescatore usciva dal porto prima che sorgesse sole, remando piano verso isole lontane."
+RUSSIAN = "Каждое утро старый рыбак выходил из гавани ещё до восхода солнца и медленно грёб к далёким островам."
+CHINESE = "每天早晨老渔夫都在日出之前离开港口，慢慢地划向远方的岛屿，然后在那里撒下他的渔网，等待鱼群的到来。"
+JAPANESE = "毎朝、年老いた漁師は日の出前に港を出て、遠くの島へゆっくりと漕ぎ、そこで網を下ろして魚の群れを待っていた。"
+
+
+def test_page_without_article_in_any_language():
+    for prose in (ITALIAN, RUSSIAN, CHINESE, JAPANESE):
+        page = f"<nav><a>m</a></nav><div><p>{prose}</p><p>{prose}</p></div><ul><li><a>{prose}</a></ul><footer>{prose}</footer>"
+        assert main_text(page)[0] == f"{prose} {prose}"
+        both = f"<div><p>{PROSE}</p><p>{prose}</p></div>"  # in scripts that stop words do not judge
+        assert prose == ITALIAN or main_text(both)[0] == f"{PROSE} {prose}"
+    keywords = "cheap shoes boots sandals leather rubber brown black white large small shop price sale offer best"
+    assert main_text(f"<p>{PROSE}</p><div>{keywords}</div><p>{PROSE}</p>")[0] == f"{PROSE} {PROSE}"
+
+
+def test_page_of_short_blocks():
+    page = "<nav>Menu</nav><h1>Title</h1><p>A short one.<p>- And you?<p>- So am I.<div class=ad>buy</div><p><a>more</a>"
+    assert main_text(page)[0] == "Title A short one. - And you? - So am I."
+
+
 def test_dataframe(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
