@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import month_key
+from starloom.operators.asof import unknown_member_row
 from starloom.operators.facts import resolve_fact
 from starloom.operators.scd import merge_snapshot
-from starloom.schemas import CUSTOMER_SPEC
+from starloom.schemas import CUSTOMER_SPEC, UNKNOWN_KEY
 from starloom.session import checkpoint_dir, cut_lineage
 from starloom.sources import star_inputs as src
 
@@ -167,20 +168,67 @@ def assert_publishable(dim: DataFrame, spec) -> None:
         raise UnsafeVersion("; ".join(bad))
 
 
+class UnsafeLoad(RuntimeError):
+    """Resolved lines that break T1/T2; the fact stays as it was."""
+
+
+def assert_loadable(fact: DataFrame, dims: dict[str, DataFrame], staged: int, mode: str) -> None:
+    """T1 + T2 before lines are published: as many fact rows as staged lines,
+    no sale key twice, and a dimension row for each key. Grain keys that the
+    source itself repeats are loaded as they come; [check_grain] counts them."""
+    from starloom.operators import checks as C
+
+    rows = C.count_rows(fact, "fact_lines")
+    twice = C.duplicate_keys(fact, ["sale_key"], "duplicate_fact_keys")
+    bad = C.failures(
+        C.metrics([rows, twice, C.orphans(fact, dims)]),
+        {"fact_lines": staged, "duplicate_fact_keys": 0} | {f"orphan_{key}": 0 for key in dims},
+    )
+    if bad:
+        raise UnsafeLoad(f"mode {mode}: " + "; ".join(bad))
+
+
+def seeded_dimension(spark: SparkSession, path: str, spec, key: str) -> DataFrame:
+    """The live version, with the unknown member's row (D4) stored in it; as
+    the only version of its member it is number 1, so T3/T4 hold."""
+    dim = read_dimension(spark, path)
+    if dim.where(F.col(key) == UNKNOWN_KEY).isEmpty():
+        seed = unknown_member_row(dim, spec, key)
+        if spec is not None:
+            seed = seed.withColumn(spec.version, F.lit(1).cast(dim.schema[spec.version].dataType))
+        write_dimension(dim.unionByName(seed), path)
+        dim = read_dimension(spark, path)
+    return dim
+
+
+def _load_dimensions(spark: SparkSession, out: str, mode: str) -> dict[str, DataFrame]:
+    """The live dimensions by fact key, seeded for the unknown mode."""
+    named = {"product": None, "store": None, "customer": CUSTOMER_SPEC}
+    dims = {}
+    for n, spec in named.items():
+        path, key = f"{out}/dim_{n}", f"{n}_key"
+        dims[key] = seeded_dimension(spark, path, spec, key) if mode == "unknown" else read_dimension(spark, path)
+    return dims | {"date_key": spark.read.parquet(f"{out}/dim_date")}
+
+
 def latest_load(dim: DataFrame) -> dt.date:
     """The newest ``valid_from``: every snapshot dated on or before it has
     been applied (loads run oldest first and the first one opens versions)."""
     return dim.agg(F.max(CUSTOMER_SPEC.valid_from).alias("m")).first()["m"]
 
 
-def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = None) -> BuildStats:
+def build(
+    spark: SparkSession, sf_root: str, out: str, timings: dict | None = None, mode: str = "unknown"
+) -> BuildStats:
     """K8: dimensions first (calendar, product, store, customer snapshots
     oldest first as Type 2), then staging, then the fact.
 
     Safe to re-run into the same ``out`` after a failure: static tables are
     overwritten, snapshots already applied are skipped, later ones re-apply
     as no-ops or as the missing loads. ``scd_loads`` lists the loads run now.
-    Each customer version passes T3/T4 before it is published.
+    Each customer version passes T3/T4, and the fact T1/T2, before it is
+    published. ``mode="unknown"`` maps staged lines without a member to the
+    seed rows stored in the dimensions; ``"inner"`` refuses to lose them.
 
     ``timings``, when given, receives seconds per step.
     """
@@ -233,19 +281,25 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
         step("dim_date_product_store")
     src.staged_sales(t).write.mode("overwrite").parquet(f"{out}/stg_sales")
     step("staging")
-    dim_customer = read_dimension(spark, f"{out}/dim_customer")
-    dim_product = read_dimension(spark, f"{out}/dim_product")
-    dim_store = read_dimension(spark, f"{out}/dim_store")
+    dims = _load_dimensions(spark, out, mode)
+    dim_customer = dims["customer_key"]
     stg = spark.read.parquet(f"{out}/stg_sales")
     # staged lines bound the fact's rows (lookups are one-to-one); the count
     # of a written table is cheap and sizes the sale-key numbering
+    staged = stg.count()
     fact = resolve_fact(
-        stg, dim_product, dim_store, dim_customer, key_partitions=_fact_key_partitions(stg.count())
+        stg,
+        dims["product_key"],
+        dims["store_key"],
+        dim_customer,
+        mode=mode,
+        key_partitions=_fact_key_partitions(staged),
     )
+    assert_loadable(fact, dims, staged, mode)
     write_fact(fact, f"{out}/fact_sales", whole=True)
     step("fact")
     f = read_fact(spark, f"{out}/fact_sales")
-    counts = dim_customer.agg(
+    counts = dim_customer.where(F.col("customer_key") != UNKNOWN_KEY).agg(
         F.count(F.lit(1)).alias("versions"), F.count_distinct("customer_id").alias("members")
     ).first()
     stats = BuildStats(
@@ -260,28 +314,35 @@ def build(spark: SparkSession, sf_root: str, out: str, timings: dict | None = No
     return stats
 
 
-def load_increment(spark: SparkSession, out: str, stg_batch: DataFrame, first: dt.date, last: dt.date) -> int:
+def load_increment(
+    spark: SparkSession, out: str, stg_batch: DataFrame, first: dt.date, last: dt.date, mode: str = "unknown"
+) -> int:
     """Load a staged batch covering the business dates [first, last].
 
     The batch is resolved against the current dimensions, numbered from
     ``max(sale_key) + 1`` (a range shuffle of the batch only, never of the
     history) and installed with :func:`reload_window`, so re-running a batch
-    replaces its dates instead of duplicating them. Returns the fact rows of
-    the window after the load.
+    replaces its dates instead of duplicating them. Staged lines without a
+    member get the unknown member, or are refused in mode "inner"; T1/T2 run
+    before the window is overwritten. Returns the fact rows of the window
+    after the load.
     """
     from starloom.operators.keys import next_key
 
     fact_path = f"{out}/fact_sales"
     existing = read_fact(spark, fact_path)
-    dims = {n: read_dimension(spark, f"{out}/dim_{n}") for n in ("product", "store", "customer")}
+    dims = _load_dimensions(spark, out, mode)
+    staged = stg_batch.count()
     batch = resolve_fact(
         stg_batch,
-        dims["product"],
-        dims["store"],
-        dims["customer"],
+        dims["product_key"],
+        dims["store_key"],
+        dims["customer_key"],
+        mode=mode,
         start_key=next_key(existing, "sale_key"),
-        key_partitions=_fact_key_partitions(stg_batch.count()),
+        key_partitions=_fact_key_partitions(staged),
     )
+    assert_loadable(batch, dims, staged, mode)
     reload_window(batch, fact_path, first, last)
     lo, hi = (int(d.strftime("%Y%m%d")) for d in (first, last))
     return read_fact(spark, fact_path).where(F.col("date_key").between(lo, hi)).count()

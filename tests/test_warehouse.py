@@ -104,6 +104,28 @@ def test_incremental_day_load_is_idempotent(spark, warehouse):
     assert after.select("sale_key").distinct().count() == n_before
 
 
+def test_lines_without_a_member_are_kept_or_refused(spark, warehouse):
+    from starloom.plans.warehouse import UnsafeLoad, load_increment
+
+    out, stats = warehouse
+    stg = spark.read.parquet(f"{out}/stg_sales")
+    day = stg.groupBy("order_date").count().orderBy(F.desc("count")).first()["order_date"]
+    whole = stg.where(F.col("order_date") == F.lit(day))
+    first = whole.agg(F.min("order_id")).first()[0]
+    stray = F.when(F.col("order_id") == first, F.lit(-5)).otherwise(F.col("customer_id")).cast("long")
+    batch = whole.withColumn("customer_id", stray)
+    n = batch.where("customer_id = -5").count()
+    with pytest.raises(UnsafeLoad, match="fact_lines"):
+        load_increment(spark, out, batch, day, day, mode="inner")
+    assert read_fact(spark, f"{out}/fact_sales").count() == stats.fact_rows
+    assert load_increment(spark, out, batch, day, day) == batch.count()
+    unknown = read_fact(spark, f"{out}/fact_sales").where("customer_key = -1")
+    assert unknown.count() == n > 0
+    for name in ("product", "store", "customer"):
+        assert read_dimension(spark, f"{out}/dim_{name}").where(f"{name}_key = -1").count() == 1
+    load_increment(spark, out, whole, day, day)  # as it was, for the other tests
+
+
 def test_a_broken_version_is_not_published(spark):
     from starloom.plans.warehouse import UnsafeVersion, assert_publishable
 
