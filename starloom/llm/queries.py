@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from starloom.llm import (
+    embedding_dedup,
+    embedding_whitening,
     fingerprints,
     html_extract,
     license_scan,
@@ -12,6 +14,7 @@ from starloom.llm import (
     mixing,
     packing,
     quality_rules,
+    spelling_variants,
     token_output,
     url_filter,
 )
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_training_order": token_output.op8_query,
     "op9_license_scan": license_scan.op9_query,
     "op10_quality_rules": quality_rules.op10_query,
+    "op11_embedding_whitening": embedding_whitening.op11_query,
+    "op12_spelling_variants": spelling_variants.op12_query,
+    "op13_embedding_dedup": embedding_dedup.op13_query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -35,4 +41,6 @@ ORACLES = {
     "op5_url_cascade": url_filter.OP5_SQL,
     "op7_systematic_mix": mixing.OP7_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
+    "op12_spelling_variants": spelling_variants.OP12_SQL,
+    "op13_embedding_dedup": embedding_dedup.OP13_SQL,
 }
