@@ -11,8 +11,10 @@ row through one task. Instead:
    counting job and the numbering job read the very same rows (range bounds
    come from sampling and would not be reproducible across two jobs);
 4. count rows per partition and turn the counts into running offsets: a
-   table with one row per partition, broadcast to the tagged rows;
-5. key = start + offset(partition) + position.
+   table with one row per partition, broadcast to the tagged rows while it has
+   at most ``MAX_BROADCAST_PARTS`` rows;
+5. key = start + offset(partition) + position. One partition needs no offsets:
+   its positions are the keys.
 
 Only the sum and the largest of the counts reach the driver. The sum is the
 exact row count, returned so callers can size-check a broadcast.
@@ -31,6 +33,7 @@ from starloom.session import cut_lineage
 _PART = "_k1_part"
 _POS = "_k1_pos"
 _POS_LIMIT = 1 << 33  # monotonically_increasing_id numbers 2^33 rows per partition
+MAX_BROADCAST_PARTS = 200_000
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -59,6 +62,9 @@ def dense_keys(
     ``partitions`` fixes the range partition count (pass it when the row count
     is known; one partition needs no sampling pass); by default AQE sizes it.
     """
+    if partitions == 1:
+        keyed = _one_partition(df, order_by, key_col, start)
+        return Keyed(keyed, keyed.count())  # of a written table: read from its footers
     order_cols = _cols(order_by)
     pid = F.spark_partition_id().cast("long")
     # Without an explicit count, AQE sizes the range shuffle from measured
@@ -78,19 +84,28 @@ def dense_keys(
     # one row per range partition; its running start stays a small table, so
     # nothing per partition passes through the driver or the query's text
     counts = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
-    total, most = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_rows"), F.lit(0))).first()
+    total, most, parts = counts.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_rows"), F.lit(0)), F.count(F.lit(1))
+    ).first()
     if most >= _POS_LIMIT:
         raise ValueError(
             f"a range partition holds {most} rows; positions allow {_POS_LIMIT} - pass more partitions"
         )
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    # as many rows as the range shuffle has partitions
-    placed = tagged.join(F.broadcast(offsets), _PART)
+    placed = tagged.join(F.broadcast(offsets) if parts <= MAX_BROADCAST_PARTS else offsets, _PART)
     key = (F.lit(int(start)) + F.col("_offset") + F.col(_POS)).cast("long").alias(key_col)
     return Keyed(placed.select(key, *[F.col(c) for c in df.columns]), int(total))
 
 
+def _one_partition(df: DataFrame, order_by: Sequence[str | Column], key_col: str, start: int) -> DataFrame:
+    """Keys of a frame that its caller knows to fit one task; materialised."""
+    order_cols = _cols(order_by)
+    key = (F.lit(int(start)) + F.monotonically_increasing_id()).cast("long").alias(key_col)
+    ordered = df.repartitionByRange(1, *order_cols).sortWithinPartitions(*order_cols)
+    return cut_lineage(ordered.select(key, *[F.col(c) for c in df.columns]), "dense-keys")
+
+
 def assign_dense_keys(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -99,6 +114,8 @@ def assign_dense_keys(
     partitions: int | None = None,
 ) -> DataFrame:
     """:func:`dense_keys` without the row count."""
+    if partitions == 1:
+        return _one_partition(df, order_by, key_col, start)
     return dense_keys(df, order_by, key_col, start, partitions).df
 
 

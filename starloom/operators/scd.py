@@ -1,10 +1,12 @@
 """Versioned dimensions: SCD Type 2 merge (K2-K4, K6), set-based rebuild (K5),
 Type 1 (D1), Type 3 (D2) and hybrid Type 1 + Type 2 (D3, D25).
 
-Every load is set-based. A Type-2 merge is one full outer join of the
-dimension (all versions) with the snapshot on the natural key, after which a
-generator emits 0, 1 or 2 rows per pair (carried, expired + new, inserted).
-Only the action counters reach the driver.
+Every load is set-based. A Type-2 merge is one full outer join of the current
+versions with the snapshot on the natural key, after which a generator emits
+0, 1 or 2 rows per pair (carried, expired + new, inserted). Closed versions never
+change (but for Type-1 columns restated in all versions), so a merge neither
+reads nor rewrites them: the versions that it closes are handed over as a part
+of their own. Only the action counters reach the driver.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ class MergeResult:
     per_snapshot: list[tuple[dt.date, dict[str, int]]] = field(default_factory=list)
     rows: int | None = None  # exact row count of ``dimension`` when known
     next_key: int | None = None  # first free surrogate key after this load
+    current: DataFrame | None = None  # the open versions after this load
+    closed: DataFrame | None = None  # the versions that this load closed
 
     @property
     def changed(self) -> bool:
@@ -102,15 +106,54 @@ def merge_snapshot(
     members or on a change dated on/before the current version's start.
     ``start_key`` may pass the first free key when the caller knows it (a
     replay carries ``MergeResult.next_key``); otherwise it is ``max(key)+1``.
+
+    The whole dimension is given and returned; a dimension stored in two parts
+    is merged by :func:`merge_current`, which does not see closed versions.
     """
+    if dim is None:
+        return merge_current(None, snapshot, as_of, spec, validate, 1)
+    start = start_key if start_key is not None else next_key(dim, spec.key)
+    is_open = F.coalesce(F.col(spec.is_current), F.lit(False))
+    before = dim.where(~is_open)
+    res = merge_current(dim.where(is_open), snapshot, as_of, spec, validate, start)
+    if validate and res.counts["inserted"]:
+        # only a member that seemed new can have closed versions and no open one
+        opened = res.current.where((F.col(spec.version) == 1) & (F.col(spec.key) >= F.lit(start)))
+        lost = before.join(opened.select(spec.natural_key), spec.natural_key, "left_semi")
+        n = lost.agg(F.count_distinct(spec.natural_key)).first()[0]
+        if n:
+            raise SnapshotRejected(
+                f"snapshot {as_of}: {n} members have closed versions only; "
+                "the dimension must hold exactly one current version per member"
+            )
+    res.dimension = restate_closed(before, snapshot, spec).unionByName(res.dimension)
+    res.rows = None
+    return res
+
+
+def restate_closed(closed: DataFrame, snapshot: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Closed versions after a snapshot: as they are, unless Type-1 columns are
+    restated in all versions."""
+    if not spec.type1 or spec.type1_scope != "all":
+        return closed.select(*spec.columns)
+    return restate_type1(closed, snapshot, spec, tuple(spec.type1)).select(*spec.columns)
+
+
+def merge_current(
+    current: DataFrame | None,
+    snapshot: DataFrame,
+    as_of: dt.date,
+    spec: Scd2Spec,
+    validate: bool = True,
+    start_key: int = 1,
+) -> MergeResult:
+    """:func:`merge_snapshot` on the open versions alone. ``dimension`` holds
+    ``current`` (the open versions afterwards) and ``closed`` (those closed now)."""
     nk = spec.natural_key
     snap = snapshot.select(nk, *spec.attributes)
     snap_rows = validate_members(snap, nk) if validate else None
-    if dim is None:
-        dim = empty_dimension(snap, spec)
-        start = 1
-    else:
-        start = start_key if start_key is not None else next_key(dim, spec.key)
+    dim = empty_dimension(snap, spec) if current is None else current
+    start = start_key
     snap = snap.withColumn("_in_s", F.lit(True))
     dim = dim.withColumn("_in_d", F.lit(True))
 
@@ -175,16 +218,21 @@ def merge_snapshot(
             "the dimension must hold exactly one current version per member"
         )
     rows = sum(counts.values())
-    kept = merged.where(F.col(spec.key).isNotNull()).drop(_ACTION)
+    kept = merged.where(F.col(spec.key).isNotNull() & (F.col(_ACTION) != "expired")).drop(_ACTION)
+    closed = merged.where(F.col(_ACTION) == "expired").select(*spec.columns)
     new = merged.where(F.col(spec.key).isNull()).drop(_ACTION, spec.key)
     n_new = done["inserted"] + done["versioned"]
     if n_new == 0:
-        return MergeResult(kept.select(*spec.columns), done, rows=rows, next_key=start)
+        now = kept.select(*spec.columns)
+        return MergeResult(now, done, rows=rows, next_key=start, current=now, closed=closed)
     # the exact number of new versions sizes the range partitioning (one
     # partition needs no sampling pass)
     parts = -(-n_new // _ROWS_PER_KEY_PARTITION)
     keyed = assign_dense_keys(new, [nk], spec.key, start=start, partitions=parts)
-    return MergeResult(kept.unionByName(keyed).select(*spec.columns), done, rows=rows, next_key=start + n_new)
+    now = kept.unionByName(keyed).select(*spec.columns)
+    return MergeResult(
+        now.unionByName(closed), done, rows=rows, next_key=start + n_new, current=now, closed=closed
+    )
 
 
 def replay_snapshots(
@@ -199,16 +247,30 @@ def replay_snapshots(
         dates = sorted(r[0] for r in snapshots.select(as_of_col).distinct().collect())
     history: list[tuple[dt.date, dict[str, int]]] = []
     done = dict.fromkeys(ACTIONS, 0)
-    rows = None
-    start = None  # known exactly after the first merge: no max(key) scan per load
+    if dim is not None and dates:
+        first = merge_snapshot(dim, snapshots.where(F.col(as_of_col) == F.lit(dates[0])), dates[0], spec)
+        history.append((dates[0], first.counts))
+        done, dim, dates, start = first.counts, first.dimension, dates[1:], first.next_key
+        is_open = F.coalesce(F.col(spec.is_current), F.lit(False))
+        current, closed = dim.where(is_open), dim.where(~is_open)
+    elif dim is not None:
+        return MergeResult(dim, done, history)
+    else:
+        current, closed, start = None, None, 1
     for d in dates:
-        res = merge_snapshot(dim, snapshots.where(F.col(as_of_col) == F.lit(d)), d, spec, start_key=start)
-        dim, done, rows, start = res.dimension, res.counts, res.rows, res.next_key
+        snap = snapshots.where(F.col(as_of_col) == F.lit(d))
+        res = merge_current(current, snap, d, spec, start_key=start)
+        if closed is not None:
+            closed = restate_closed(closed, snap, spec).unionByName(res.closed)
+        else:
+            closed = res.closed
+        current, done, start = res.current, res.counts, res.next_key
         history.append((d, done))
-    if dim is None:
-        dim = empty_dimension(snapshots.select(spec.natural_key, *spec.attributes), spec)
-        rows = 0
-    return MergeResult(dim, done, history, rows)
+    if current is None:
+        empty = empty_dimension(snapshots.select(spec.natural_key, *spec.attributes), spec)
+        return MergeResult(empty, done, history, 0)
+    rows = start - 1 if dim is None else None  # keys are dense from 1
+    return MergeResult(current.unionByName(closed), done, history, rows, start, current, closed)
 
 
 # ---------------------------------------------------------------------------

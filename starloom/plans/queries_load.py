@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import checks as C
-from starloom.operators.facts import latest_per_merge_key, repair_late_members
+from starloom.operators.facts import latest_per_merge_key
 from starloom.operators.scd import (
     load_statistics,
     merge_snapshot,
@@ -23,9 +23,9 @@ from starloom.operators.scd import (
 from starloom.plans import analytics as A
 from starloom.plans.oracle import with_ctes
 from starloom.plans.registry import DIM_CUSTOMER_COLS, Q1_MONTHS, Q1_TOTAL, register
-from starloom.plans.star import build_star, resolved_lines
-from starloom.schemas import CUSTOMER_SPEC, DIM_DATE, FACT_SALES_COLUMNS, PRODUCT_SPEC, STG_GRAIN, STG_SALES
-from starloom.session import scratch_path
+from starloom.plans.star import build_star
+from starloom.schemas import CUSTOMER_SPEC, DIM_DATE, FACT_SALES_COLUMNS, PRODUCT_SPEC, STG_GRAIN, STG_SALES, UNKNOWN_KEY
+from starloom.session import cut_lineage, scratch_path
 from starloom.sources import csv_stage
 from starloom.sources import star_inputs as src
 from starloom.sources.tables import Tables
@@ -231,12 +231,27 @@ left join f_dim_customer_late f1 on f1.customer_id = s.customer_id and f1.versio
     ),
 )
 def late_repair(spark: SparkSession, root: str) -> DataFrame:
-    """Lines parked on -1 are re-resolved once their member is known."""
-    star = build_star(spark, root, late=True, mode="unknown")
-    repaired = repair_late_members(resolved_lines(star, "unknown"), star.dim_customer)
-    return repaired.select(
-        "order_id", "line_number", "product_id", "store_id", "customer_id", "order_date", "customer_key"
-    )
+    """Lines are loaded as their customers become known. Each snapshot is merged
+    before the lines dated up to the next one are loaded; lines of members that
+    it doesn't list are stored on -1 and parked, and repaired in the stored fact
+    after the merge that brings the member."""
+    from starloom.plans.warehouse import load_increment, merge_into, read_fact, repair_parked, write_static_dimensions
+
+    t, out = Tables(spark, root), scratch_path(spark, "late-warehouse")
+    write_static_dimensions(spark, t, out)
+    stg, snaps = cut_lineage(src.staged_sales(t), "staged"), src.customer_snapshots(t, late=True)
+    natural = ("line_number", "product_id", "store_id", "customer_id", "order_date")
+    span = stg.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
+    starts = [min(span["lo"], src.SNAPSHOT_DATES[0]), *src.SNAPSHOT_DATES[1:], span["hi"] + dt.timedelta(days=1)]
+    for n, day in enumerate(src.SNAPSHOT_DATES):
+        snap = snaps.where(F.col("as_of") == F.lit(day))
+        merge_into(spark, f"{out}/dim_customer", snap, day, CUSTOMER_SPEC, seed=True)
+        repair_parked(spark, out)
+        first, last = starts[n], starts[n + 1] - dt.timedelta(days=1)
+        lines = stg.where(F.col("order_date").between(F.lit(first), F.lit(last)))
+        load_increment(spark, out, lines, first, last, columns=(*FACT_SALES_COLUMNS, *natural))
+    repair_parked(spark, out)
+    return read_fact(spark, f"{out}/fact_sales").select("order_id", *natural, "customer_key")
 
 
 # Replay window: the extract of orders from this date on is delivered again,
@@ -570,31 +585,40 @@ def check_orphans_unknown(spark: SparkSession, root: str) -> DataFrame:
   cast((select count(*) from f_dim_store) as bigint) as stores,
   cast((select count(distinct customer_id) from f_dim_customer) as bigint) as customers,
   cast((select count(*) from f_dim_customer) as bigint) as customer_versions,
-  cast((select count(*) from f_fact) as bigint) as fact_rows""",
+  cast((select count(*) from f_fact) as bigint) as fact_rows,
+  cast((select count(*) from f_fact) as bigint) as staged_lines,
+  cast(0 as bigint) as duplicate_fact_keys, cast(0 as bigint) as orphans""",
     ),
 )
 def warehouse_build(spark: SparkSession, root: str) -> DataFrame:
-    """K8: build the persisted warehouse, then report what it holds (read
-    back from the written tables)."""
+    """K8: build the persisted warehouse, then report what it holds, with T1 and
+    T2 (read back from the written tables). The unknown member's row, which each
+    dimension stores, is no member."""
     from starloom.plans.warehouse import build, read_dimension, read_fact
 
     out = scratch_path(spark, "warehouse")
     build(spark, root, out)
-    product = read_dimension(spark, f"{out}/dim_product")
-    store = read_dimension(spark, f"{out}/dim_store")
-    customer = read_dimension(spark, f"{out}/dim_customer")
+    dims = {f"{n}_key": read_dimension(spark, f"{out}/dim_{n}") for n in ("product", "store", "customer")}
+    members = {key: dim.where(F.col(key) != UNKNOWN_KEY) for key, dim in dims.items()}
     fact = read_fact(spark, f"{out}/fact_sales")
-    names = ["products", "stores", "customers", "customer_versions", "fact_rows"]
+    parents = dims | {"date_key": spark.read.parquet(f"{out}/dim_date")}
+    orphans = C.orphans(fact, parents).agg(F.sum("value").cast(C.VALUE).alias("value"))
+    names = [
+        "products", "stores", "customers", "customer_versions", "fact_rows", "staged_lines", "duplicate_fact_keys", "orphans",
+    ]
     long = C.metrics(
         [
-            C.count_rows(product, "products"),
-            C.count_rows(store, "stores"),
-            C.metric(customer, "customers", F.count_distinct("customer_id")),
-            C.count_rows(customer, "customer_versions"),
+            C.count_rows(members["product_key"], "products"),
+            C.count_rows(members["store_key"], "stores"),
+            C.metric(members["customer_key"], "customers", F.count_distinct("customer_id")),
+            C.count_rows(members["customer_key"], "customer_versions"),
             C.count_rows(fact, "fact_rows"),
+            C.count_rows(spark.read.parquet(f"{out}/stg_sales"), "staged_lines"),
+            C.duplicate_keys(fact, ["sale_key"], "duplicate_fact_keys"),
+            orphans.select(F.lit("orphans").alias("metric"), "value"),
         ]
     )
-    # five (metric, value) rows turned into one row with an explicit pivot list
+    # (metric, value) rows turned into one row with an explicit pivot list
     wide = long.groupBy().pivot("metric", names).agg(F.first("value"))
     return wide.select(*[F.col(n).cast("bigint").alias(n) for n in names])
 

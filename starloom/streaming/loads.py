@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from starloom.functions.predicates import any_changed_cols
 from starloom.operators.facts import resolve_keys
-from starloom.operators.scd import SnapshotRejected, merge_snapshot, validate_members
-from starloom.plans.warehouse import FACT_PARTITION, assert_publishable, read_dimension, write_dimension
+from starloom.operators.scd import SnapshotRejected, validate_members
+from starloom.plans.warehouse import FACT_PARTITION, merge_into, read_dimension
 from starloom.schemas import CUSTOMER_SPEC, Scd2Spec
 from starloom.sources.csv_stage import DATE_FORMAT
 
@@ -121,10 +121,7 @@ def apply_snapshot_batch(
             # members are told apart by their rows, so copies are refused before any is left out
             validate_members(one, spec.natural_key)
             one, applied = _without_applied(current, one, day, spec)
-        res = merge_snapshot(current, one, day, spec)
-        if current is None or res.changed:
-            assert_publishable(res.dimension, spec)
-            write_dimension(res.dimension, dim_path)
+        res = merge_into(batch.sparkSession, dim_path, one, day, spec)
         stats.append(res.counts | {"unchanged": res.counts["unchanged"] + applied})
     return stats
 

@@ -210,3 +210,77 @@ def test_hot_duplicate_member_is_rejected_and_listed(spark):
     with pytest.raises(SnapshotRejected, match=r"\(1, datetime.date\(2020, 1, 1\)\)"):
         validate_members(s, "id", "as_of")
     assert validate_members(snaps(spark, rows[4999:]), "id", "as_of") == 49
+
+
+def test_stored_merge_reads_no_closed_version(spark, tmp_path, monkeypatch):
+    import dataclasses
+
+    from starloom.plans import warehouse as W
+
+    rows = [(D1, 1, "A", "x", "n"), (D1, 2, "A", "y", "n"), (D2, 1, "B", "x", "m"), (D2, 2, "A", "y", "m"), (D3, 1, "A", "x", "o"), (D3, 3, "C", "z", "o")]
+    for spec in (SPEC, dataclasses.replace(SPEC, type1=("name",)), dataclasses.replace(SPEC, type1=("name",), type1_scope="current")):
+        path, reads = str(tmp_path / f"{len(spec.type1)}{spec.type1_scope}"), []
+        real = W._read_closed
+        with monkeypatch.context() as m:
+            m.setattr(W, "_read_closed", lambda *a, real=real, reads=reads: reads.append(1) or real(*a))
+            for d in (D1, D2, D3):
+                snap = snaps(spark, [r for r in rows if r[0] == d])
+                plans = []
+                with monkeypatch.context() as inner:
+                    write = W.cut_lineage
+                    inner.setattr(
+                        "starloom.operators.scd.cut_lineage",
+                        lambda df, name, plans=plans, write=write: plans.extend(df.inputFiles()) or write(df, name),
+                    )
+                    W.merge_into(spark, path, snap, d, spec)
+                assert not any("/closed/" in f for f in plans)
+        # closed parts are read only to restate Type-1 columns in all versions
+        assert bool(reads) == (spec.type1 != () and spec.type1_scope == "all")
+        stored = sorted(map(str, versions(W.read_dimension(spark, path))))
+        assert stored == sorted(map(str, versions(rebuild_history(snaps(spark, rows), spec))))
+        assert W.dimension_parts(spark, path).next_key == 6 and W.read_current(spark, path).count() == 3
+        again = W.merge_into(spark, path, snaps(spark, [r for r in rows if r[0] == D3]), D3, spec)
+        assert not again.changed and W.committed_versions(spark, path) == [1, 2, 3]
+
+
+def test_stored_merge_takes_a_whole_dimension_apart(spark, tmp_path):
+    from starloom.plans import warehouse as W
+
+    rows = [(D1, 1, "A", "x", "n"), (D1, 2, "A", "y", "n"), (D2, 1, "B", "x", "m"), (D2, 2, "A", "y", "m"), (D3, 1, "A", "x", "o"), (D3, 2, "A", "z", "o")]
+    path = str(tmp_path / "d")
+    W.write_dimension(rebuild_history(snaps(spark, rows[:4]), SPEC), path)
+    W.merge_into(spark, path, snaps(spark, rows[4:]), D3, SPEC)
+    stored = sorted(map(str, versions(W.read_dimension(spark, path))))
+    assert stored == sorted(map(str, versions(rebuild_history(snaps(spark, rows), SPEC))))
+    assert W.read_current(spark, path).count() == 2
+
+
+def test_stored_merge_is_checked_before_it_is_committed(spark, tmp_path):
+    from starloom.plans import warehouse as W
+
+    dim = rebuild_history(snaps(spark, [(D1, 1, "A", "x", "n"), (D2, 1, "B", "x", "n")]), SPEC)
+    now, closed = dim.where("is_current"), dim.where("not is_current")
+    W.assert_merge_publishable(now, closed, SPEC)
+    for a, b in (
+        (now.unionByName(now), closed),
+        (now.withColumn("is_current", F.lit(False)), closed),
+        (now, closed.withColumn("valid_to", F.lit(D3))),
+        (now, closed.withColumn("version", F.lit(7))),
+        (now.where("false"), closed),
+    ):
+        with pytest.raises(W.UnsafeVersion):
+            W.assert_merge_publishable(a, b, SPEC)
+
+
+def test_stored_merge_keeps_a_correction_that_opens_no_version(spark, tmp_path):
+    import dataclasses
+
+    from starloom.plans import warehouse as W
+
+    spec, path = dataclasses.replace(SPEC, type1=("name",)), str(tmp_path / "d")
+    rows = [(D1, 1, "A", "x", "n"), (D2, 1, "B", "x", "n"), (D3, 1, "B", "x", "corrected")]
+    for row in rows:
+        W.merge_into(spark, path, snaps(spark, [row]), row[0], spec)
+    assert {r["name"] for r in versions(W.read_dimension(spark, path))} == {"corrected"}
+    W.merge_into(spark, path, snaps(spark, rows[2:]), D3, spec)
+    assert W.committed_versions(spark, path) == [1, 2, 3]

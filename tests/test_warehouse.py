@@ -139,13 +139,94 @@ def test_a_broken_version_is_not_published(spark):
 
 def test_half_written_version_is_ignored(spark, warehouse):
     out, _ = warehouse
-    path = f"{out}/dim_customer"
-    live = committed_versions(spark, path)[-1]
-    # a load that died before commit leaves files but no _SUCCESS marker
-    spark.range(3).write.parquet(f"{path}/v={live + 1}")
-    os.remove(f"{path}/v={live + 1}/_SUCCESS")
-    assert committed_versions(spark, path)[-1] == live
-    assert read_dimension(spark, path).count() == spark.read.parquet(f"{path}/v={live}").count()
+    for name, mark in (("product", "_SUCCESS"), ("customer", "part.json")):
+        path = f"{out}/dim_{name}"
+        live, rows = committed_versions(spark, path)[-1], read_dimension(spark, path).count()
+        # a load that died before commit leaves files but no marker
+        spark.range(3).write.parquet(f"{path}/v={live + 1}" + ("" if name == "product" else "/current"))
+        if name == "product":
+            os.remove(f"{path}/v={live + 1}/{mark}")
+        assert committed_versions(spark, path)[-1] == live
+        assert read_dimension(spark, path).count() == rows
+
+
+def test_same_batch_again_has_the_same_keys_and_reads_no_history(spark, warehouse, monkeypatch):
+    from starloom.plans import warehouse as W
+    from starloom.plans.publish import latest
+
+    out, _ = warehouse
+    stg = spark.read.parquet(f"{out}/stg_sales")
+    first, last = dt.date(1998, 7, 1), dt.date(1998, 8, 15)
+    batch = stg.where(F.col("order_date").between(F.lit(first), F.lit(last)))
+
+    def keyed():
+        fact = read_fact(spark, f"{out}/fact_sales").where("date_key between 19980701 and 19980815")
+        return sorted(map(tuple, fact.collect()))
+
+    free = latest(spark, f"{out}/fact_sales").next_key
+    W.load_increment(spark, out, batch, first, last)
+    seen = keyed()
+    assert min(r[0] for r in seen) == free
+    reads = []
+    real = W.read_table
+    monkeypatch.setattr(W, "read_table", lambda s, p, t, live, months=None: reads.append(months) or real(s, p, t, live, months))
+    W.load_increment(spark, out, batch.repartition(6), first, last)
+    assert keyed() == seen
+    # only the window's months were looked at, for the days outside the window
+    assert all(m is not None and m <= {"199807", "199808"} for m in reads[:2])
+    W.load_increment(spark, out, batch.where("quantity > 1"), first, last)
+    assert min(r[0] for r in keyed()) > max(r[0] for r in seen)
+    W.load_increment(spark, out, batch, first, last)  # as it was, for the other tests
+    fact = read_fact(spark, f"{out}/fact_sales")
+    assert fact.select("sale_key").distinct().count() == fact.count()
+
+
+def test_repair_rewrites_the_touched_months_only(spark, warehouse, tmp_path):
+    from starloom.plans import warehouse as W
+    from starloom.plans.publish import latest
+
+    from .test_publish import files
+
+    out, _ = warehouse
+    stg = spark.read.parquet(f"{out}/stg_sales").where("order_date between '1996-01-01' and '1996-12-31'")
+    stray = stg.where("month(order_date) = 5").agg(F.min("customer_id")).first()[0]
+    nowhere = 10**9
+    lines = stg.withColumn(
+        "customer_id",
+        F.when((F.col("customer_id") == stray) & (F.month("order_date") == 5), F.lit(stray + 10**8))
+        .when((F.col("line_number") == 1) & (F.month("order_date") == 6), F.lit(nowhere))
+        .otherwise(F.col("customer_id")),
+    )
+    mine = str(tmp_path / "wh")
+    for name in ("product", "store", "customer"):
+        dim = read_dimension(spark, f"{out}/dim_{name}")
+        W.write_dimension(dim, f"{mine}/dim_{name}")
+    spark.read.parquet(f"{out}/dim_date").write.parquet(f"{mine}/dim_date")
+    window = dt.date(1996, 1, 1), dt.date(1996, 12, 31)
+    n = W.load_increment(spark, mine, lines, *window)
+    path = f"{mine}/fact_sales"
+    parked = W.read_parked(spark, path)
+    n_may, n_june = (parked.where(f"month_key = 19960{m}").count() for m in (5, 6))
+    assert parked.count() == n_may + n_june == read_fact(spark, path).where("customer_key = -1").count()
+    assert n_may > 0 and n_june > 0
+    assert W.repair_parked(spark, mine) == 0
+    # the member arrives, with a version that starts after the lines' dates
+    before, old, stamps = read_fact(spark, path).where("customer_key <> -1"), latest(spark, path), files(path)
+    settled = sorted(map(tuple, before.collect()))
+    known = read_dimension(spark, f"{mine}/dim_customer")
+    snapshot = known.where(F.col("customer_id") == stray).orderBy("version").limit(1)
+    snapshot = snapshot.select(F.lit(stray + 10**8).alias("customer_id"), *CUSTOMER_SPEC.attributes)
+    W.merge_into(spark, f"{mine}/dim_customer", snapshot, dt.date(2001, 1, 1), CUSTOMER_SPEC)
+    key = read_dimension(spark, f"{mine}/dim_customer").where(F.col("customer_id") == stray + 10**8).first()["customer_key"]
+    assert W.repair_parked(spark, mine) == n_may
+    fact, live = read_fact(spark, path), latest(spark, path)
+    assert fact.count() == n and fact.where("customer_key = -1").count() == n_june
+    assert fact.where(F.col("customer_key") == key).count() == n_may
+    assert sorted(map(tuple, fact.where(~F.col("customer_key").isin(-1, key)).collect())) == settled
+    changed = {m for m, load in live.months["sales"].items() if old.months["sales"][m] != load}
+    assert changed == {"199605"}
+    assert {f: t for f, t in files(path).items() if f in stamps} == stamps
+    assert W.read_parked(spark, path).count() == n_june and W.repair_parked(spark, mine) == 0
 
 
 def test_window_reload_replaces_only_that_month(spark, tmp_path):
