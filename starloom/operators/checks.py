@@ -33,6 +33,25 @@ def counted(flags: DataFrame, names: Sequence[str]) -> DataFrame:
     return one.unpivot([], list(names), "metric", "value")
 
 
+def measured(df: DataFrame, **values: Column) -> DataFrame:
+    """Several named aggregates over ``df`` in one pass, a (metric, value) row each."""
+    one = df.agg(*[v.cast(VALUE).alias(n) for n, v in values.items()])
+    return one.unpivot([], list(values), "metric", "value")
+
+
+TOTAL = "_is_total"
+
+
+def with_total(fact: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Every row twice, as itself and for the grand total (``_is_total``, its keys
+    null). A check then finds both sides in one scan of the fact, and joins that lose
+    or double rows change one side only."""
+    as_is = F.struct(F.lit(False).alias(TOTAL), *[F.col(k) for k in keys], *[F.col(m) for m in measures])
+    none = [F.lit(None).cast(fact.schema[k].dataType).alias(k) for k in keys]
+    total = F.struct(F.lit(True).alias(TOTAL), *none, *[F.col(m) for m in measures])
+    return fact.select(F.explode(F.array(as_is, total)).alias("r")).select("r.*")
+
+
 def failures(check: DataFrame, expected: dict[str, object]) -> list[str]:
     got = {r["metric"]: r["value"] for r in check.collect()}
     return [f"{k}: expected {v}, got {got.get(k)}" for k, v in expected.items() if got.get(k) != v]

@@ -153,9 +153,11 @@ def accumulating_snapshot(lines: DataFrame) -> DataFrame:
 
 
 def accumulate(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """D17 merge: fold a new batch's milestones into the accumulating fact."""
+    """D17 merge: fold a new batch's milestones into the accumulating fact. Lines
+    without an order id are one row. A batch folded twice counts twice; stored
+    batches (plans/snapshots.py) may come again."""
     e, b = existing.alias("e"), batch.alias("b")
-    j = e.join(b, F.col("e.order_id") == F.col("b.order_id"), "full_outer")
+    j = e.join(b, F.col("e.order_id").eqNullSafe(F.col("b.order_id")), "full_outer")
 
     def pick(fn, c):
         return F.coalesce(fn(F.col(f"e.{c}"), F.col(f"b.{c}")), F.col(f"e.{c}"), F.col(f"b.{c}"))
@@ -169,6 +171,16 @@ def accumulate(existing: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+def accumulated(contributions: DataFrame) -> DataFrame:
+    """D17 from the contributions of any number of batches: one row per order."""
+    return contributions.groupBy("order_id").agg(
+        F.min("order_date").alias("order_date"),
+        F.min("first_ship_date").alias("first_ship_date"),
+        F.max("last_ship_date").alias("last_ship_date"),
+        F.sum("shipped_lines").alias("shipped_lines"),
+    )
+
+
 def with_milestone_keys(acc: DataFrame) -> DataFrame:
     """Date keys and lags for the accumulating snapshot."""
     return acc.select(
@@ -232,17 +244,51 @@ def periodic_snapshot(
     )
 
 
-def preaggregate(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame) -> DataFrame:
+def carry_forward(
+    previous: DataFrame | None, events: DataFrame, entity: str, ts: str, amount: str, day: dt.date
+) -> DataFrame:
+    """D16, one day at a time: ``day``'s snapshot from the snapshot of the day before
+    and the events of ``day`` (others are ignored). An entity without an event carries
+    its balance; a new one starts. Neither older snapshots nor older events are read.
+    """
+    zero = F.lit(0).cast("decimal(38,2)")
+    today = events.where(F.col(ts).cast("date") == F.lit(day)).groupBy(F.col(entity).alias("_e")).agg(
+        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_amount"), F.count(F.lit(1)).alias("_events")
+    )
+    if previous is None:
+        joined = today.select("*", F.col("_e").alias(entity), F.lit(None).cast("decimal(38,2)").alias("balance"))
+    else:
+        before = previous.select(entity, "balance")
+        joined = before.join(today, F.col(entity).eqNullSafe(F.col("_e")), "full_outer")
+        joined = joined.withColumn(entity, F.coalesce(entity, "_e"))
+    return joined.select(
+        entity,
+        F.lit(day).cast("date").alias("snapshot_date"),
+        date_key(F.lit(day).cast("date")).alias("date_key"),
+        # as in the window: a sum over nothing but nulls is null
+        F.when(F.col("balance").isNull() & F.col("_amount").isNull(), F.lit(None))
+        .otherwise(F.coalesce("balance", zero) + F.coalesce("_amount", zero))
+        .cast("decimal(38,2)")
+        .alias("balance"),
+        F.when(F.col("_events").isNull(), zero).otherwise(F.col("_amount")).cast("decimal(38,2)").alias("day_amount"),
+        F.coalesce("_events", F.lit(0)).cast("bigint").alias("day_events"),
+    )
+
+
+def preaggregate(
+    fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame, how: str = "inner", by: Sequence[str] = ()
+) -> DataFrame:
     """Month x category aggregate kept alongside the atomic fact.
 
-    Pass the dimensions already projected (and broadcast-hinted if checked).
+    Pass the dimensions already projected (and broadcast-hinted if checked). ``how``
+    "left" keeps lines without a month or category; ``by`` adds grouping columns.
     """
     months = dim_date.select("date_key", "year_month")
     cats = dim_product.select("product_key", "category")
     return (
-        fact.join(months, "date_key")
-        .join(cats, "product_key")
-        .groupBy("year_month", "category")
+        fact.join(months, "date_key", how)
+        .join(cats, "product_key", how)
+        .groupBy(*by, "year_month", "category")
         .agg(
             F.count(F.lit(1)).alias("order_lines"),
             F.sum("quantity").cast("bigint").alias("units"),

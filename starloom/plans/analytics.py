@@ -36,22 +36,32 @@ def category_month_revenue(star: Star, months: list[str], total_name: str) -> Da
     ).orderBy(F.desc(total_name), "category")
 
 
-def monthly_trend(star: Star) -> DataFrame:
-    """Q2: order lines, units and net revenue per calendar month."""
-    d = star.date_dim("date_key", "year_month")
+def day_sums(fact: DataFrame, *by: str) -> DataFrame:
+    """Lines, units and net revenue per day: as many rows as days, so the calendar is
+    joined after the fact has been reduced."""
+    return fact.groupBy(*by, "date_key").agg(
+        F.count(F.lit(1)).alias("order_lines"), F.sum("quantity").alias("units"), F.sum("net_amount").alias("net")
+    )
+
+
+def month_sums(days: DataFrame, calendar: DataFrame, how: str = "inner", by: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`day_sums` added up by calendar month."""
     return (
-        star.fact.select("date_key", "quantity", "net_amount")
-        .join(d, "date_key")
-        .groupBy("year_month")
+        days.join(calendar, "date_key", how)
+        .groupBy(*by, "year_month")
         .agg(
-            F.count(F.lit(1)).alias("order_lines"),
-            F.sum("quantity").cast("bigint").alias("units"),
-            whole(F.sum("net_amount")).alias("net_revenue"),
+            F.sum("order_lines").alias("order_lines"),
+            F.sum("units").cast("bigint").alias("units"),
+            whole(F.sum("net")).alias("net_revenue"),
         )
-        .orderBy("year_month")
     )
 
 
+def monthly_trend(star: Star) -> DataFrame:
+    """Q2: order lines, units and net revenue per calendar month."""
+    return month_sums(day_sums(star.fact), star.date_dim("date_key", "year_month")).orderBy("year_month")
+
+
 HISTORY_COLUMNS = (
     "customer_key",
     "customer_id",
@@ -86,34 +96,28 @@ def customer_history(dim_customer: DataFrame, members: int = 3) -> DataFrame:
     )
 
 
-def segment_attribution(star: Star) -> DataFrame:
+def segment_attribution(star: Star, fact: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Pre-aggregated (point-in-time segment, current segment) -> net revenue.
 
     The fact is reduced to one row per customer version first (map-side
     partial sums), so only distinct keys meet the dimension; the two
-    attributions then come from a table of at most segments^2 rows.
+    attributions then come from a table of at most segments^2 rows. With ``by``
+    (further grouping columns of ``fact``) lines without a version are kept.
     """
     dim = star.dim_customer
-    per_key = star.fact.groupBy("customer_key").agg(F.sum("net_amount").alias("net"))
+    per_key = (star.fact if fact is None else fact).groupBy(*by, "customer_key").agg(F.sum("net_amount").alias("net"))
     ver = star.dim("customer", "customer_key", "customer_id", F.col("segment").alias("pit_segment"))
     cur = dim.where(F.col("is_current")).select("customer_id", F.col("segment").alias("cur_segment"))
     if "customer" in star.broadcastable:
         cur = F.broadcast(cur)
-    keyed = per_key.join(ver, "customer_key").join(cur, "customer_id", "left")
-    return keyed.groupBy("pit_segment", "cur_segment").agg(F.sum("net").alias("net"))
+    keyed = per_key.join(ver, "customer_key", "left" if by else "inner").join(cur, "customer_id", "left")
+    return keyed.groupBy(*by, "pit_segment", "cur_segment").agg(F.sum("net").alias("net"))
 
 
-def segment_pit_vs_current(star: Star) -> DataFrame:
-    """Q4: segment revenue at the time of sale versus restated to current.
-
-    Both attributions come out of one pass: every (pit, current) pair row
-    feeds its amount to the point-in-time side of one segment and the
-    restated side of another, then one aggregate sums both. A segment must
-    appear on both sides (the two attributions are inner-joined on segment).
-    """
-    pair = segment_attribution(star)
-    net = F.col("net")
-    none = F.lit(None).cast(pair.schema["net"].dataType)
+def segment_sides(pair: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Every (pit, current) pair feeds its amount to the point-in-time side of one
+    segment and the restated side of another; one row per segment."""
+    net, none = F.col("net"), F.lit(None).cast(pair.schema["net"].dataType)
     sides = F.array(
         F.struct(F.col("pit_segment").alias("segment"), net.alias("pit"), none.alias("res")),
         F.when(
@@ -121,13 +125,21 @@ def segment_pit_vs_current(star: Star) -> DataFrame:
             F.struct(F.col("cur_segment").alias("segment"), none.alias("pit"), net.alias("res")),
         ),
     )
-    both = (
-        pair.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("s"))
-        .select("s.*")
-        .groupBy("segment")
+    return (
+        pair.select(*by, F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("s"))
+        .select(*by, "s.*")
+        .groupBy(*by, "segment")
         .agg(F.sum("pit").alias("pit"), F.sum("res").alias("res"))
-        .where(F.col("pit").isNotNull() & F.col("res").isNotNull())
     )
+
+
+def segment_pit_vs_current(star: Star) -> DataFrame:
+    """Q4: segment revenue at the time of sale versus restated to current.
+
+    Both attributions come out of one pass (:func:`segment_sides`). A segment must
+    appear on both sides (the two attributions are inner-joined on segment).
+    """
+    both = segment_sides(segment_attribution(star)).where(F.col("pit").isNotNull() & F.col("res").isNotNull())
     return both.select(
         "segment",
         whole("pit").alias("net_revenue_point_in_time"),

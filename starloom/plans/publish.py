@@ -122,8 +122,9 @@ def new_load(after: Publication) -> str:
     return f"L{after.number + 1:08d}-{uuid.uuid4().hex[:12]}"
 
 
-def write_months(rows: DataFrame, store: str, table: str, load: str) -> set[str]:
+def write_months(rows: DataFrame, store: str, table: str, load: str, part: str = MONTH) -> set[str]:
     """Write a load's rows of one table, with their ``month_key``; returns its months.
+    A table may be kept in parts by another column (text), such as a batch or a day.
 
     ``rebalance`` clusters rows by month so each task writes few partitions, while
     AQE splits a big month into advisory-sized tasks (a month is never funnelled
@@ -131,42 +132,47 @@ def write_months(rows: DataFrame, store: str, table: str, load: str) -> set[str]
     """
     spark = rows.sparkSession
     (
-        rows.hint("rebalance", MONTH)
+        rows.hint("rebalance", part)
         .write.mode("errorifexists")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(MONTH)
+        .partitionBy(part)
         .parquet(f"{store}/{table}/{LOAD}={load}")
     )
     fs, folder, _ = filesystem(spark, f"{store}/{table}/{LOAD}={load}")
     found = (st.getPath().getName().partition("=") for st in fs.listStatus(folder))
-    return {month for name, _, month in found if name == MONTH}
+    return {month for name, _, month in found if name == part}
 
 
-def with_months(before: Publication, table: str, load: str, written: set[str], replaced, schema: T.StructType) -> Publication:
+def with_months(
+    before: Publication, table: str, load: str, written: set[str], replaced, schema: T.StructType, part: str = MONTH
+) -> Publication:
     """``before`` with the written months live. ``replaced(month)`` says which months the
     load stands for: those it wrote nothing for are gone."""
     kept = {m: live for m, live in before.months.get(table, {}).items() if not replaced(m)}
     months = before.months | {table: kept | dict.fromkeys(written, load)}
-    data = T.StructType([f for f in schema.fields if f.name != MONTH])
+    data = T.StructType([f for f in schema.fields if f.name != part])
     return replace(before, months=months, schemas=before.schemas | {table: data.json()})
 
 
-def read_table(spark: SparkSession, store: str, table: str, live: Publication, months=None) -> DataFrame | None:
+def read_table(
+    spark: SparkSession, store: str, table: str, live: Publication, months=None, part: str = MONTH
+) -> DataFrame | None:
     """The table's live rows, with ``month_key``; of ``months`` only, when given. None
     if no load ever published it."""
     if table not in live.schemas:
         return None
     data = T.StructType.fromJson(json.loads(live.schemas[table]))
-    shown = T.StructType([*data.fields, T.StructField(MONTH, T.IntegerType())])
+    key = T.StructField(part, T.IntegerType() if part == MONTH else T.StringType())
+    shown = T.StructType([*data.fields, key])
     loads = live.months.get(table, {})
     paths = [
-        f"{store}/{table}/{LOAD}={load}/{MONTH}={month}"
+        f"{store}/{table}/{LOAD}={load}/{part}={month}"
         for month, load in sorted(loads.items())
         if months is None or month in months
     ]
     if not paths:
         return spark.createDataFrame([], shown)
-    stored = T.StructType([*data.fields, T.StructField(LOAD, T.StringType()), T.StructField(MONTH, T.IntegerType())])
+    stored = T.StructType([*data.fields, T.StructField(LOAD, T.StringType()), key])
     found = spark.read.schema(stored).option("basePath", f"{store}/{table}").parquet(*paths)
     return found.select(*[F.col(f.name) for f in shown.fields])
 

@@ -16,12 +16,13 @@ from starloom.operators import conform, facts, measures
 from starloom.operators.asof import lookup_key
 from starloom.operators.calendar import month_dimension
 from starloom.operators.scd import rebuild_history
+from starloom.plans import snapshots
 from starloom.plans.oracle import with_ctes
 from starloom.plans.registry import register
 from starloom.plans.star import build_star
 from starloom.plans.warehouse import read_fact, reload_window, write_fact
 from starloom.schemas import CUSTOMER_SPEC, FACT_SALES_COLUMNS
-from starloom.session import scratch_path
+from starloom.session import cut_lineage, scratch_path
 from starloom.sources import star_inputs as src
 from starloom.sources.tables import Tables
 
@@ -86,6 +87,26 @@ def preaggregate(spark: SparkSession, root: str) -> DataFrame:
     return facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category"))
 
 
+@register("preaggregate_incremental", with_ctes(["f_fact", "dim_date", "f_dim_product"], _PREAGG_SQL))
+def preaggregate_incremental(spark: SparkSession, root: str) -> DataFrame:
+    """D18 kept up by loads: the stored sums after a load with a damaged window, and
+    the reload of that window, which adds up its own months only."""
+    from starloom.plans import warehouse as W
+
+    t, out = Tables(spark, root), scratch_path(spark, "rollup-warehouse")
+    W.write_static_dimensions(spark, t, out)
+    snaps = src.customer_snapshots(t)
+    for day in src.SNAPSHOT_DATES:
+        W.merge_into(spark, f"{out}/dim_customer", snaps.where(F.col("as_of") == F.lit(day)), day, CUSTOMER_SPEC, seed=True)
+    stg = cut_lineage(src.staged_sales(t), "staged")
+    span = stg.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
+    first, last = RELOAD_FIRST + dt.timedelta(days=10), RELOAD_LAST + dt.timedelta(days=10)
+    inside = F.col("order_date").between(F.lit(first), F.lit(last))
+    W.load_increment(spark, out, stg.where(~inside | (F.col("quantity") < 25)), span["lo"], span["hi"])
+    W.load_increment(spark, out, stg.where(inside), first, last)
+    return W.read_rollup(spark, f"{out}/fact_sales")
+
+
 @register(
     "preaggregate_reconciles",
     with_ctes(
@@ -98,16 +119,20 @@ union all select 'rollup_lines', cast(sum(order_lines) as decimal(38,2)) from pa
     ),
 )
 def preaggregate_reconciles(spark: SparkSession, root: str) -> DataFrame:
-    """D18 check: the pre-aggregate sums back to the atomic fact."""
+    """D18 check: the pre-aggregate sums back to the atomic fact, in one scan."""
     star = build_star(spark, root)
-    pa = facts.preaggregate(star.fact, star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category"))
-    return C.metrics(
-        [
-            C.metric(star.fact, "atomic_net", F.sum("net_amount")),
-            C.metric(pa, "rollup_net", F.sum("net_amount")),
-            C.count_rows(star.fact, "atomic_lines"),
-            C.metric(pa, "rollup_lines", F.sum("order_lines")),
-        ]
+    measures_ = ["quantity", "gross_amount", "net_amount"]
+    lines = C.with_total(star.fact, ["date_key", "product_key"], measures_)
+    months, cats = star.date_dim("date_key", "year_month"), star.dim("product", "product_key", "category")
+    rolled = facts.preaggregate(lines, months, cats, "left", (C.TOTAL,))
+    total = F.col(C.TOTAL)
+    kept = ~total & F.col("year_month").isNotNull() & F.col("category").isNotNull()
+    return C.measured(
+        rolled,
+        atomic_net=F.sum(F.when(total, F.col("net_amount"))),
+        rollup_net=F.sum(F.when(kept, F.col("net_amount"))),
+        atomic_lines=F.sum(F.when(total, F.col("order_lines"))),
+        rollup_lines=F.sum(F.when(kept, F.col("order_lines"))),
     )
 
 
@@ -186,19 +211,23 @@ from s full outer join c on s.region = c.region""",
 def region_two_ways(spark: SparkSession, root: str) -> DataFrame:
     """Revenue by the store's region versus the customer's region then."""
     star = build_star(spark, root)
-    by_store = (
-        star.fact.join(star.dim("store", "store_key", "region"), "store_key")
-        .groupBy("region")
-        .agg(exact_sum("net_amount").alias("net_by_store_region"))
+    # one scan: sums by store and by customer version, then each meets its dimension
+    sides = star.fact.groupingSets([["store_key"], ["customer_key"]], "store_key", "customer_key").agg(
+        F.sum("net_amount").alias("_net"), (F.grouping("store_key") == 0).alias("_of_store")
     )
-    by_customer = (
-        star.fact.groupBy("customer_key")
-        .agg(F.sum("net_amount").alias("_net"))
-        .join(star.dim("customer", "customer_key", "region"), "customer_key")
+    stores = star.dim("store", "store_key", F.col("region").alias("_store_region"))
+    customers = star.dim("customer", "customer_key", F.col("region").alias("_customer_region"))
+    met = sides.join(stores, "store_key", "left").join(customers, "customer_key", "left")
+    region = F.when(F.col("_of_store"), F.col("_store_region")).otherwise(F.col("_customer_region"))
+    return (
+        met.select(region.alias("region"), "_of_store", "_net")
+        .where(F.col("region").isNotNull())
         .groupBy("region")
-        .agg(F.sum("_net").cast("decimal(38,2)").alias("net_by_customer_region"))
+        .agg(
+            F.sum(F.when(F.col("_of_store"), F.col("_net"))).cast("decimal(38,2)").alias("net_by_store_region"),
+            F.sum(F.when(~F.col("_of_store"), F.col("_net"))).cast("decimal(38,2)").alias("net_by_customer_region"),
+        )
     )
-    return conform.drill_across(by_store, by_customer, ["region"])
 
 
 # --- D12 / D13 ratios -----------------------------------------------------------------------
@@ -289,11 +318,13 @@ SHIP_CUTOFF = dt.date(1998, 1, 1)  # first batch: shipments before this date
 from lineitem join orders on l_orderkey = o_orderkey group by o_orderkey, o_orderdate""",
 )
 def accumulating_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Milestones of each order, folded in from two shipment batches."""
-    ships = src.shipments(Tables(spark, root))
-    first = facts.accumulating_snapshot(ships.where(F.col("ship_date") < F.lit(SHIP_CUTOFF)))
-    second = facts.accumulating_snapshot(ships.where(F.col("ship_date") >= F.lit(SHIP_CUTOFF)))
-    return facts.with_milestone_keys(facts.accumulate(first, second))
+    """Milestones of each order from two stored shipment batches, of which the
+    second is delivered twice."""
+    ships, store = src.shipments(Tables(spark, root)), scratch_path(spark, "accumulating")
+    early = F.col("ship_date") < F.lit(SHIP_CUTOFF)
+    for name, batch in (("early", ships.where(early)), ("rest", ships.where(~early)), ("rest", ships.where(~early))):
+        snapshots.fold_batch(batch, store, name)
+    return facts.with_milestone_keys(snapshots.accumulating_fact(spark, store))
 
 
 # --- D15 / D16 balances -------------------------------------------------------------------------

@@ -7,8 +7,9 @@ Layout under ``root``::
     dim_customer/v=<n>/     a Type-2 dimension: current/ (all open versions), closed/
                             (the versions that load n closed) and part.json
     stg_sales/              staging, overwritten each run
-    fact_sales/             published month versions (plans/publish.py) of two tables:
-                            sales, and parked (lines waiting for a member)
+    fact_sales/             published month versions (plans/publish.py) of three
+                            tables: sales; parked (lines waiting for a member); and
+                            month_category, the sums that loads keep up to date
 
 A dimension version counts only once it is committed (``_SUCCESS``, or ``part.json``,
 which is written last), so a load that dies half way leaves the previous version live
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import month_key
 from starloom.operators.asof import lookup_key, lookup_versions, unknown_member_row
-from starloom.operators.facts import resolve_keys
+from starloom.operators.facts import preaggregate, resolve_keys
 from starloom.operators.scd import SnapshotRejected, empty_dimension, merge_current, restate_closed
 from starloom.plans.publish import (
     MONTH,
@@ -48,7 +49,7 @@ from starloom.session import checkpoint_dir, cut_lineage
 from starloom.sources import star_inputs as src
 
 FACT_PARTITION = MONTH
-SALES, PARKED = "sales", "parked"
+SALES, PARKED, ROLLUP = "sales", "parked", "month_category"
 _PARTS = "part.json"
 _fs = filesystem
 
@@ -272,12 +273,18 @@ def _window(first: dt.date, last: dt.date):
 
 
 def _replace_window(
-    spark: SparkSession, path: str, before: Publication, tables: dict[str, DataFrame], first: dt.date, last: dt.date
+    spark: SparkSession,
+    path: str,
+    before: Publication,
+    tables: dict[str, DataFrame],
+    first: dt.date,
+    last: dt.date,
+    load: str,
 ) -> Publication:
     """Write the window's months anew for each table: its rows of these dates, and the
     live rows of the same months outside the window. Returns what is to be published."""
     inside, in_months = _window(first, last)
-    after, load = before, new_load(before)
+    after = before
     for table, fresh in tables.items():
         rows = _with_month(fresh)
         months = {m for m in before.months.get(table, {}) if in_months(m)}
@@ -308,7 +315,7 @@ def reload_window(fact_rows: DataFrame, path: str, first: dt.date, last: dt.date
     if outside:
         raise OutsideWindow(f"{outside} rows are not dated from {first} to {last}")
     before = latest(spark, path)
-    publish(spark, path, _replace_window(spark, path, before, {SALES: fresh}, first, last))
+    publish(spark, path, _replace_window(spark, path, before, {SALES: fresh}, first, last, new_load(before)))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -444,6 +451,27 @@ def _months_of(rows: DataFrame) -> dict[str, int]:
     return {str(r[0]): r[1] for r in rows.groupBy(MONTH).agg(F.count(F.lit(1))).collect()}
 
 
+def _with_rollup(
+    spark: SparkSession, path: str, after: Publication, load: str, dims: dict[str, DataFrame], replaced
+) -> Publication:
+    """D18 kept with the fact: the month x category sums of the months that a load
+    wrote, from those months alone; all other months keep theirs. Published with the
+    lines, so the two never differ."""
+    months = {m for m, live in after.months[SALES].items() if live == load}
+    lines = read_table(spark, path, SALES, after, months)
+    calendar = dims["date_key"].select("date_key", "year_month")
+    cats = dims["product_key"].select("product_key", "category")
+    sums = preaggregate(lines, calendar, cats, by=(MONTH,))
+    written = write_months(sums, path, ROLLUP, load)
+    return with_months(after, ROLLUP, load, written, replaced, sums.schema)
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored month x category sums, one row each."""
+    rows = read_table(spark, path, ROLLUP, latest(spark, path))
+    return None if rows is None else rows.drop(MONTH)
+
+
 def _install(
     spark: SparkSession,
     out: str,
@@ -474,14 +502,15 @@ def _install(
     for key in ("product_key", "store_key", "customer_key"):
         waiting = waiting | (F.col(key) == UNKNOWN_KEY)
     tables = {SALES: lines.select(*columns), PARKED: lines.where(waiting).select(*PARKED_COLUMNS)}
+    load = new_load(before)
     if window:
-        publish(spark, path, _replace_window(spark, path, after, tables, *window))
+        after = _replace_window(spark, path, after, tables, *window, load)
+        publish(spark, path, _with_rollup(spark, path, after, load, dims, _window(*window)[1]))
     else:
-        load = new_load(before)
         for table, fresh in tables.items():
             months = _with_month(fresh)
             after = with_months(after, table, load, write_months(months, path, table, load), lambda m: True, months.schema)
-        publish(spark, path, after)
+        publish(spark, path, _with_rollup(spark, path, after, load, dims, lambda m: True))
     return sum(rows.values())
 
 
@@ -538,6 +567,8 @@ def repair_parked(spark: SparkSession, out: str) -> int:
     for table, rows in ((SALES, repaired), (PARKED, still.select(*PARKED_COLUMNS, MONTH))):
         written = write_months(rows, path, table, load)
         after = with_months(after, table, load, written, touched.__contains__, rows.schema)
+    if ROLLUP in before.schemas:  # a product that arrived moves its lines to a category
+        after = _with_rollup(spark, path, after, load, dims, touched.__contains__)
     publish(spark, path, after)
     return sum(touched.values())
 
