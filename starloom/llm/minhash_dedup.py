@@ -12,7 +12,10 @@
    a bucket. Jaccard distance is a metric: if two centres are further apart than
    the threshold's distance plus both radii, no members of theirs can link, which
    settles nearly all. Round three compares members of the balls that
-   remain, where the members are far enough out to reach each other.
+   remain. The smaller ball of a pair visits the larger one, which is cut into parts
+   of a bounded size; a visitor is compared with a part's members inside one task,
+   where the members are far enough out to reach it, and only links leave the
+   task. What is shuffled grows with the smaller balls, not with their products.
 4. In each round a pair's signatures are compared in batches of 32 positions. A
    pair is dropped once the posterior probability that its similarity reaches
    the bound falls below ``MISS_VERIFY`` (uniform prior, so a Beta posterior).
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
+from starloom.llm.runs import runs_of
 from starloom.session import cut_lineage
 
 BAND_ROWS = 8
@@ -44,6 +48,8 @@ CACHE_WORDS = 1 << 20
 FILTER_BITS = 26
 #: Similarity bounds of round two are rounded down to this grid.
 GRID = 0.025
+#: Round three: members of a part, and shingles in it, at most (a single set may be larger).
+PART_MEMBERS, PART_SHINGLES = 2048, 1 << 22
 
 
 class _WordHashes(dict):
@@ -233,6 +239,105 @@ def _rows_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _enough(c1, least1, most1, c2, least2, most2, t: float):
+    """Whether sets of these sizes, with at most c1 and c2 shingles that any other set
+    has too, may reach the similarity t."""
+    shared = F.least(c1, c2) * (1 + t) >= t * (F.col(least1) + F.col(least2))
+    return shared & (F.col(most1) >= t * F.col(least2)) & (F.col(most2) >= t * F.col(least1))
+
+
+VISIT = "host bigint, part int, guest boolean, id bigint, far double, slack double, c bigint, sig binary, set binary"
+
+
+def _visited(threshold: float, percent: int):
+    """Links between a part's members and its guests."""
+
+    def solve(rows: pa.Table) -> pa.RecordBatch | None:
+        guest, ids = rows.column("guest").to_numpy(zero_copy_only=False), rows.column("id").to_numpy()
+        far, slack, common = (rows.column(c).to_numpy() for c in ("far", "slack", "c"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        size, own, t = np.array([len(x) for x in sets]), np.flatnonzero(~guest), threshold - 1e-9
+        if not len(own) or len(own) == len(ids):
+            return None
+        # which members have a shingle
+        held = np.concatenate([sets[k] for k in own])
+        order = np.argsort(held, kind="stable")
+        held, holder = held[order], np.repeat(np.arange(len(own)), size[own])[order]
+        least, found = least_matches(threshold, sig.shape[1]), []
+        for g in np.flatnonzero(guest):
+            may = far[own] + far[g] + slack[g] >= 0
+            may &= np.minimum(common[own], common[g]) * (1 + t) >= t * (size[own] + size[g])
+            may &= (np.maximum(size[own], size[g]) * t <= np.minimum(size[own], size[g])) & (ids[own] != ids[g])
+            alive = np.flatnonzero(may)
+            matches = np.zeros(len(alive), np.int64)
+            for step, at in enumerate(range(0, sig.shape[1], BATCH)):
+                matches += (sig[own[alive], at : at + BATCH] == sig[g, at : at + BATCH]).sum(axis=1)
+                still = matches >= least[step]
+                alive, matches = alive[still], matches[still]
+            if not len(alive):
+                continue
+            first, last = np.searchsorted(held, sets[g]), np.searchsorted(held, sets[g], side="right")
+            hits = np.repeat(first - np.r_[0, np.cumsum(last - first)[:-1]], last - first) + np.arange((last - first).sum())
+            shared = np.bincount(holder[hits], minlength=len(own))[alive]
+            near = alive[shared * 100 >= (size[own[alive]] + size[g] - shared) * percent]
+            found += [(ids[own[k]], ids[g]) for k in near]
+        if not found:
+            return None
+        a, b = np.array(found, np.int64).T
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of(batches, ["host", "part"]):
+            links = solve(rows)
+            if links is not None:
+                yield links
+
+    return visited
+
+
+def _visits(apart: DataFrame, members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """Links between members of balls that are apart: (a, b, ra, rb, slack) names the
+    balls, ``members`` their (centre, id, far, n, c)."""
+    t = threshold - 1e-9
+    # what no member of a ball exceeds: sizes, and shingles that another class has too
+    balls = members.groupBy("centre").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("c").alias("c")
+    )
+    for side in ("a", "b"):
+        apart = apart.join(balls.select(*[F.col(c).alias(side if c == "centre" else f"{c}_{side}") for c in balls.columns]), side)
+    apart = apart.filter(_enough("c_a", "least_a", "most_a", "c_b", "least_b", "most_b", t))
+    host_a = F.struct("m_a", "a") >= F.struct("m_b", "b")
+
+    def of_host(x: str):
+        return F.when(host_a, F.col(x.format("a"))).otherwise(F.col(x.format("b")))
+
+    pairs = apart.select(
+        of_host("{}").alias("host"),
+        F.when(host_a, F.col("b")).otherwise(F.col("a")).alias("centre"),
+        "slack",
+        of_host("r{}").alias("r_host"),
+        *[of_host(c + "_{}").alias(c + "_host") for c in ("m", "w", "least", "most", "c")],
+    )
+    many = F.greatest(F.ceil(F.col("m_host") / PART_MEMBERS), F.ceil(F.col("w_host") / PART_SHINGLES)).cast("int")
+    pairs = cut_lineage(pairs.withColumn("parts", many), "ball-pairs")
+    can_reach = F.col("far") + F.col("r_host") + F.col("slack") >= 0
+    can_reach &= _enough("c", "n", "n", "c_host", "least_host", "most_host", t)
+    guests = pairs.join(members, "centre").filter(can_reach)
+    guests = cut_lineage(guests.select("host", "parts", F.lit(True).alias("guest"), "id", "far", "slack", "c"), "guests")
+    hosts = guests.select("host", "parts").distinct()
+    at_home = members.withColumnRenamed("centre", "host").join(hosts, "host")
+    none = F.lit(0.0).alias("slack")
+    at_home = at_home.select("host", "parts", F.lit(False).alias("guest"), "id", "far", none, "c")
+    texts = sets.join(sigs, "id").select("id", "sig", "set")
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    seated = guests.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    seated = seated.unionByName(at_home.withColumn("part", part)).join(texts, "id")
+    names = [c.split()[0] for c in VISIT.split(", ")]
+    cells = seated.select(*names).repartition("host", "part").sortWithinPartitions("host", "part", "guest")
+    return cells.mapInArrow(_visited(threshold, percent), "a bigint, b bigint").distinct()
+
+
 def _with_radii(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(stats.select(F.col("id").alias(side), F.col("r").alias(f"r{side}")), side)
@@ -321,9 +426,8 @@ def near_duplicates(
     of_id = sets.groupBy("id").agg(F.min(size).alias("n"), F.sum(size).alias("all"), F.count(F.lit(1)).alias("m"))
     # an id with several texts may share anything
     common = F.when(F.col("m") == 1, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("all"))
-    stats = cut_lineage(
-        of_id.join(alone, "id", "left").join(radius, "id").select("id", "n", common.alias("c"), "r"), "stats"
-    )
+    bounds = cut_lineage(of_id.join(alone, "id", "left").select("id", "n", common.alias("c")), "bounds")
+    stats = cut_lineage(bounds.join(radius, "id"), "stats")
     seats = placed.select("bucket", F.col("centre").alias("id")).distinct().join(stats, "id")
     one, two = (seats.select("bucket", *[F.col(c).alias(x + c) for c in ("id", "n", "c", "r")]) for x in "ab")
     # a pair counts only if the shared shingles could reach the bound; as a part of
@@ -356,22 +460,8 @@ def near_duplicates(
         apart.select("a", "b", "ra", "rb", (F.col("shared") / F.col("total") + (1e-9 - threshold)).alias("slack")), "apart"
     )
     if apart.limit(1).count():
-        members = cut_lineage(placed.select("centre", "id", "far").distinct(), "members")
-        one = members.select(F.col("centre").alias("a"), F.col("id").alias("x"), F.col("far").alias("fx"))
-        two = members.select(F.col("centre").alias("b"), F.col("id").alias("y"), F.col("far").alias("fy"))
-        # two members can link if their distances from the centres make up for
-        # the centres' gap: the slack, negative, is the threshold's minus theirs
-        rest = (
-            apart.join(one, "a")
-            .filter("fx + rb + slack >= 0")
-            .join(two, "b")
-            .filter("fx + fy + slack >= 0")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .filter("a <> b")
-            .distinct()
-        )
-        more = _exact(_promising(rest.withColumn("bound", F.lit(threshold)), sigs), sets).filter(near)
-        more = cut_lineage(more.select("a", "b"), "links")
+        members = placed.select("centre", "id", "far").distinct().join(bounds, "id")
+        more = cut_lineage(_visits(apart, cut_lineage(members, "members"), sigs, sets, threshold, percent), "links")
         if more.limit(1).count():
             roots = cut_lineage(components(links.unionByName(more)), "roots")
     joined = classes.select("set_key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")

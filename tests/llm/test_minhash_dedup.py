@@ -91,3 +91,48 @@ def test_bands_and_posterior():
     b = np.unique(np.concatenate([a[:3000], rng.integers(0, 1 << 62, 1000, dtype=np.uint64)]))
     same = (M.signature(a, 288) == M.signature(b, 288)).mean()
     assert abs(same - 3000 / 5000) < 0.1
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Edits of edits of one text, around the threshold: many balls that touch."""
+    rng, docs = random.Random(11), []
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=90)
+    for n in range(260):
+        words = list(base if n % 3 else docs[rng.randrange(len(docs))].split() if docs else base)
+        for _ in range(rng.choice([1, 1, 2, 3, 4])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        docs.append(" ".join(words))
+    docs = list(enumerate(docs))
+    met = []
+    real = M._visits
+    monkeypatch.setattr(M, "_visits", lambda *a: met.append(1) or real(*a))
+    want = {}
+    for parts in (2048, 8):
+        monkeypatch.setattr(M, "PART_MEMBERS", parts)
+        for k, percent in ((3, 85), (5, 80)):
+            want[k] = want.get(k) or brute(docs, k, percent)
+            assert {i: r["component_id"] for i, r in run(spark, docs, k=k, percent=percent).items()} == want[k]
+    assert met and len(set(want[3].values())) > 3
+
+
+def test_visitors_meet_every_member_of_every_part(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_MEMBERS", 5)
+    rng = np.random.default_rng(2)
+    base = np.unique(rng.integers(0, 1 << 62, 100, dtype=np.uint64))
+    sets = {i: np.unique(np.r_[rng.choice(base, 94, replace=False), rng.integers(0, 1 << 62, 5, dtype=np.uint64)]) for i in range(60)}
+    bands = M.band_count(0.8) * M.BAND_ROWS
+    table = [(i, s.tobytes(), (M.signature(s, bands) >> np.uint64(24)).astype(np.uint8).tobytes()) for i, s in sets.items()]
+    df = spark.createDataFrame(table, "id bigint, set binary, sig binary")
+    centre = lambda i: 0 if i < 40 else 40 if i < 58 else i
+    members = spark.createDataFrame([(centre(i), i, 0.3, len(s), len(s)) for i, s in sets.items()], "centre bigint, id bigint, far double, n bigint, c bigint")
+    pairs = [(0, 40), (0, 58), (40, 59)]
+    apart = spark.createDataFrame([(a, b, 0.3, 0.3, -0.1) for a, b in pairs], "a bigint, b bigint, ra double, rb double, slack double")
+    got = {(r["a"], r["b"]) for r in M._visits(apart, members, df.select("id", "sig"), df.select("id", "set"), 0.8, 80).collect()}
+    want = set()
+    for i, s in sets.items():
+        for j, u in sets.items():
+            n = len(np.intersect1d(s, u))
+            if i < j and ((centre(i), centre(j)) in pairs) and 100 * n >= 80 * (len(s) + len(u) - n):
+                want.add((i, j))
+    assert got == want and len(want) > 20
