@@ -28,6 +28,7 @@ from starloom.llm.common import (
     word_hashes,
     words_of,
 )
+from starloom.session import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -90,34 +91,45 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
     return out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_s")
 
 
-def boilerplate(rows: DataFrame, *, line_docs: int, line_share: float) -> DataFrame:
-    """``host``, ``line`` (hash) of the lines above their host's limit.
+def line_table(rows: DataFrame) -> DataFrame:
+    """Every document's key, host, line hashes (``lines``) with their word counts
+    (``sizes``), and its two sketches ``a`` and ``b``; written once, so that texts are
+    cut into lines and normalised once only."""
+    lines = rows.select(*KEY, "host", _normal_lines(F.col("text")).alias("x"))
+    found = lines.select(
+        *KEY,
+        "host",
+        F.transform("x", lambda x: F.xxhash64(x)).alias("lines"),
+        F.transform("x", lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("sizes"),
+        *[F.array_min(F.transform("x", lambda x, s=s: F.md5(F.concat(F.lit(s), x)))).alias(s) for s in "ab"],
+    )
+    return cut_lineage(found, "lines")
+
 
-    ``rows`` has ``host`` and ``text``. A first count over all lines, with
-    repeats inside a document left out, is an upper bound; only lines above
-    the limit by it are counted by sketches. Either count is summed before it
-    is shuffled, so a line that a third of all documents carry costs one row a task.
+def boilerplate(lines: DataFrame, *, line_docs: int, line_share: float) -> DataFrame:
+    """``host``, ``line`` (hash) of the lines above their host's limit, from the
+    :func:`line_table`.
+
+    A first count over all lines, with repeats inside a document left out, is an
+    upper bound; only lines above the limit by it are counted by sketches. Either
+    count is summed before it is shuffled, so a line that a third of all
+    documents carry costs one row a task.
     """
-    lines = rows.select("host", F.array_distinct(_normal_lines(F.col("text"))).alias("lines"))
-    limits = rows.groupBy("host").agg(
+    limits = lines.groupBy("host").agg(
         F.greatest(F.lit(float(line_docs)), F.count(F.lit(1)) * F.lit(line_share)).alias("limit")
     )
-    hashed = lines.select("host", F.explode(F.transform("lines", lambda x: F.xxhash64(x))).alias("line"))
+    line = F.explode(F.array_distinct("lines")).alias("line")
     often = (
-        hashed.groupBy("host", "line")
+        lines.select("host", line)
+        .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > line_docs)
         .join(limits, "host")
         .filter(F.col("n") > F.col("limit"))
     )
-    sketched = lines.select(
-        "host",
-        F.array_min(F.transform("lines", lambda x: F.md5(F.concat(F.lit("a"), x)))).alias("a"),
-        F.array_min(F.transform("lines", lambda x: F.md5(F.concat(F.lit("b"), x)))).alias("b"),
-        F.explode(F.transform("lines", lambda x: F.xxhash64(x))).alias("line"),
-    )
     counted = (
-        sketched.join(often.select("host", "line", "limit"), ["host", "line"])
+        lines.select("host", "a", "b", line)
+        .join(often.select("host", "line", "limit"), ["host", "line"])
         .select("host", "line", "limit", F.explode(F.array(F.concat(F.lit("a"), "a"), F.concat(F.lit("b"), "b"))).alias("s"))
         .distinct()
         .groupBy("host", "line", "limit", F.substring("s", 1, 1))
@@ -151,10 +163,11 @@ def judge_documents(
         text_of(text_col).alias("text"),
         *row_key(id_col, host_col, text_col),
     )
-    removed = boilerplate(rows, line_docs=line_docs, line_share=line_share)
+    lines = line_table(rows)
+    removed = boilerplate(lines, line_docs=line_docs, line_share=line_share)
     spent = (
-        rows.select(*KEY, "host", F.explode(_normal_lines(F.col("text"))).alias("x"))
-        .select(*KEY, "host", F.xxhash64("x").alias("line"), F.size(F.split("x", " ")).alias("n"))
+        lines.select(*KEY, "host", F.explode(F.arrays_zip("lines", "sizes")).alias("x"))
+        .select(*KEY, "host", F.col("x.lines").alias("line"), F.col("x.sizes").alias("n"))
         .join(removed, ["host", "line"], "left_semi")
         .groupBy(*KEY)
         .agg(F.sum("n").alias("n_removed_words"), F.count(F.lit(1)).alias("m"))
