@@ -57,47 +57,56 @@ def permute(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sequences(texts, ids_of: TextIds, seq_len: int, end_id: int) -> Iterator[tuple[int, int, bytes]]:
-    end, step = np.array([end_id], "<u2").tobytes(), 2 * seq_len
-    for row, ids in enumerate(ids_of.of(t.as_py() for t in texts)):
-        ids += end
-        for i, at in enumerate(range(0, len(ids), step)):
-            yield row, i, ids[at : at + step]
+def _tokenized(tokenizer: str, end_id: int, seq_len: int):
+    """Every text's ids with the end id, numbered inside its task."""
 
-
-def _count(seq_len: int, tokenizer: str):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, n = TextIds.shared(tokenizer, "<u2"), 0
+    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, end, first = TextIds.shared(tokenizer, "<u2"), np.array([end_id], "<u2").tobytes(), 0
+        part = TaskContext.get().partitionId()
         for batch in batches:
-            for ids in ids_of.of(t.as_py() for t in batch.column("text")):
-                n += len(ids) // 2 // seq_len + 1  # with its end id
-        yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "n": pa.array([n], pa.int64())})
-
-    return count
-
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                ids = [x + end for x in ids_of.of(t.as_py() for t in some.column("text"))]
+                many = np.array([-(-len(x) // (2 * seq_len)) for x in ids], np.int64)
+                starts = first + np.cumsum(many) - many
+                first += int(many.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(ids), part, np.int32)),
+                        pa.array(starts),
+                        pa.array(many),
+                        some.column("id"),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    names=["part", "first", "n", "id", "ids"],
+                )
+
+    return tokenized
+
+
+def _deal(starts, n: int, seq_len: int, per_shard: int, key: int):
+    """Sequences with their slots; ids stay unpadded until they are written."""
 
-def _deal(starts, n: int, seq_len: int, tokenizer: str, end_id: int, pad_id: int, per_shard: int, key: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, pad = TextIds.shared(tokenizer, "<u2"), np.array([pad_id], "<u2").tobytes()
-        at, stop = starts.value[TaskContext.get().partitionId()]
+        step = 2 * seq_len
         for batch in batches:
-            found = list(_sequences(batch.column("text"), ids_of, seq_len, end_id))
-            if at + len(found) > stop:
-                raise RuntimeError("the input's partitions changed between the two passes")
-            slot = permute(np.arange(at, at + len(found)), n, key)
-            at += len(found)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": batch.column("id").take(pa.array([r for r, _, _ in found], pa.int64())),
-                    "piece": pa.array([i for _, i, _ in found], pa.int32()),
-                    "length": pa.array([len(x) // 2 for _, _, x in found], pa.int32()),
-                    "slot": pa.array(slot),
-                    "shard": pa.array((slot // per_shard).astype(np.int32)),
-                    "ids": pa.array([x + pad * (seq_len - len(x) // 2) for _, _, x in found], pa.binary()),
-                }
+            many = batch.column("n").to_numpy()
+            row = np.repeat(np.arange(len(many)), many)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            base = np.array([starts.value[p] for p in batch.column("part").to_pylist()], np.int64)
+            slot = permute((base + batch.column("first").to_numpy())[row] + piece, n, key)
+            texts = batch.column("ids").to_pylist()
+            ids = [texts[r][p * step : (p + 1) * step] for r, p in zip(row.tolist(), piece.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").take(pa.array(row)),
+                    pa.array(piece.astype(np.int32)),
+                    pa.array(slot),
+                    pa.array((slot // per_shard).astype(np.int32)),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["id", "piece", "slot", "shard", "ids"],
             )
-        if at != stop:
-            raise RuntimeError("the input's partitions changed between the two passes")
 
     return deal
 
@@ -109,7 +118,9 @@ def _local(path: str) -> tuple[fs.FileSystem, str]:
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
 
 
-def _write(path: str, per_shard: int, stride: int):
+def _write(path: str, per_shard: int, stride: int, pad_id: int):
+    pad = np.array([pad_id], "<u2").tobytes()
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _local(path)
         out = name = shard = None
@@ -121,7 +132,8 @@ def _write(path: str, per_shard: int, stride: int):
                 store.move(f"{name}.{attempt}.part", name)  # a retry replaces the whole shard
 
         for batch in batches:
-            slots, payload = batch.column("slot").to_pylist(), batch.column("ids").to_pylist()
+            slots, bare = batch.column("slot").to_pylist(), batch.column("ids").to_pylist()
+            payload = [x + pad * ((stride - len(x)) // 2) for x in bare]
             for s, ids in zip(slots, payload, strict=True):
                 if s // per_shard != shard:
                     finish()
@@ -133,10 +145,15 @@ def _write(path: str, per_shard: int, stride: int):
                 due += 1
                 out.write(ids)
             place = [(s % per_shard) * stride for s in slots]
-            kept = batch.select(["id", "piece", "length", "slot", "shard"])
+            kept = batch.select(["id", "piece", "slot", "shard"])
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(place, pa.int64()), pa.array([zlib.crc32(x) for x in payload], pa.int64())],
-                names=[*kept.schema.names, "byte_offset", "ids_crc32"],
+                [
+                    *kept.columns,
+                    pa.array([len(x) // 2 for x in bare], pa.int32()),
+                    pa.array(place, pa.int64()),
+                    pa.array([zlib.crc32(x) for x in payload], pa.int64()),
+                ],
+                names=[*kept.schema.names, "length", "byte_offset", "ids_crc32"],
             )
         finish()
 
@@ -163,36 +180,54 @@ def write_training_order(
     without padding; ``ids_crc32`` is of the padded 16-bit little-endian ids. A null
     or empty text is one sequence with the end id alone; null ids are carried
     along; equal rows are separate documents. An empty table gives a manifest, no
-    shard and an empty index. Other columns are not read. The numbers along the
-    partitions need the input to be partitioned alike in both passes, as files
-    are; if they are not, the second pass fails rather than write a wrong order.
-    The same table, partitioning and key give the same shards.
+    shard and an empty index. Other columns are not read. The ids are kept, with
+    their numbers along the input's partitions, in a table below the checkpoint folder.
+    The same table, partitioning and key give the same shards. The manifest is
+    written last, so it never names a shard that does not stand; shards that a
+    longer earlier run left in ``path`` are removed.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # tokenized once; the numbers along the partitions are written with the ids
+    tokens = cut_lineage(
+        texts.mapInArrow(
+            _tokenized(tokenizer, end_id, seq_len), "part int, first bigint, n bigint, id bigint, ids binary"
+        ),
+        "token-ids",
+    )
     # one small row for each of the input's partitions
-    counts = {r["part"]: r["n"] for r in texts.mapInArrow(_count(seq_len, tokenizer), "part int, n bigint").collect()}
+    counts = {r["part"]: r["n"] for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     starts, n = {}, 0
     for part in sorted(counts):
-        starts[part] = (n, n + counts[part])
+        starts[part] = n
         n += counts[part]
     shards, stride = -(-n // shard_sequences), 2 * seq_len
     store, base = _local(path)
     store.create_dir(base, recursive=True)
-    manifest = {"sequences": n, "seq_len": seq_len, "stride": stride, "shard_sequences": shard_sequences, "shards": shards}
-    with store.open_output_stream(f"{base}/manifest.json") as out:
-        out.write(json.dumps(manifest | {"dtype": "<u2", "key": key, "pad_id": pad_id, "end_id": end_id}).encode())
-    dealt = texts.mapInArrow(
-        _deal(spark.sparkContext.broadcast(starts), n, seq_len, tokenizer, end_id, pad_id, shard_sequences, key),
-        "id bigint, piece int, length int, slot bigint, shard int, ids binary",
+    # no manifest stands while shards are written, and no shard of a longer run stays
+    old = store.get_file_info(fs.FileSelector(base))
+    for info in old:
+        if info.base_name == "manifest.json":
+            store.delete_file(info.path)
+    dealt = tokens.mapInArrow(
+        _deal(spark.sparkContext.broadcast(starts), n, seq_len, shard_sequences, key),
+        "id bigint, piece int, slot bigint, shard int, ids binary",
     )
     # the shard's number is its partition's number: no sampling, one shard a task
     ranged = dealt.repartitionById(max(1, shards), F.col("shard")).sortWithinPartitions("slot")
-    index = ranged.mapInArrow(
-        _write(path, shard_sequences, stride),
-        "id bigint, piece int, length int, slot bigint, shard int, byte_offset bigint, ids_crc32 bigint",
+    written = ranged.mapInArrow(
+        _write(path, shard_sequences, stride, pad_id),
+        "id bigint, piece int, slot bigint, shard int, length int, byte_offset bigint, ids_crc32 bigint",
     )
-    return cut_lineage(index, "training-order")
+    index = cut_lineage(written, "training-order")
+    for info in old:
+        name = info.base_name
+        if name.startswith("shard-") and (not name[6:13].isdigit() or int(name[6:13]) >= shards or name.endswith(".part")):
+            store.delete_file(info.path)
+    manifest = {"sequences": n, "seq_len": seq_len, "stride": stride, "shard_sequences": shard_sequences, "shards": shards}
+    with store.open_output_stream(f"{base}/manifest.json") as out:
+        out.write(json.dumps(manifest | {"dtype": "<u2", "key": key, "pad_id": pad_id, "end_id": end_id}).encode())
+    return index.select("id", "piece", "length", "slot", "shard", "byte_offset", "ids_crc32")
 
 
 def read_sequences(path: str, start: int, count: int) -> np.ndarray:

@@ -53,3 +53,19 @@ def test_shards_round_trip(edge_docs, scratch):
 def test_empty_table(no_docs, scratch):
     assert write_training_order(no_docs, scratch).count() == 0
     assert read_sequences(scratch, 0, 10).shape[0] == 0
+
+
+def test_a_shorter_run_leaves_no_old_shard_and_a_dead_one_no_manifest(spark, edge_docs, scratch, monkeypatch):
+    from starloom.llm import token_output as T
+
+    write_training_order(edge_docs, scratch, seq_len=64, shard_sequences=50)
+    first = {f for f in os.listdir(scratch) if f.startswith("shard-")}
+    few = edge_docs.where("doc_id < 6")
+    n = write_training_order(few, scratch, seq_len=64, shard_sequences=50).count()
+    assert {f for f in os.listdir(scratch) if f.startswith("shard-")} == {"shard-0000000.bin"} < first
+    assert read_sequences(scratch, 0, 10**6).shape == (n, 64)
+    real = T.cut_lineage
+    monkeypatch.setattr(T, "cut_lineage", lambda df, name: real(df, name) if name == "token-ids" else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_training_order(few, scratch, seq_len=64, shard_sequences=50)
+    assert "manifest.json" not in os.listdir(scratch)
