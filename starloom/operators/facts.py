@@ -61,7 +61,7 @@ def resolve_fact(
     store_id, then measures) order by :func:`assign_dense_keys`. Queries that never read
     ``sale_key`` pass ``with_sale_key=False`` and stay fully lazy. When the
     staged row count is known (a written staging table), ``key_partitions``
-    sizes the numbering and spares the sampling pass over the whole resolve.
+    sizes the numbering; up to one partition spares the sampling pass.
     """
     resolved = resolve_keys(stg, dim_product, dim_store, dim_customer, mode, broadcast=broadcast)
     if not with_sale_key:

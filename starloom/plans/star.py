@@ -1,4 +1,5 @@
-"""Assemble the retail star from the input tables, lazily.
+"""Assemble the retail star from the input tables: dimensions are written as
+they are keyed, the fact stays lazy.
 
 Dimensions are built first (calendar, product, store, versioned customer),
 then the fact is resolved against them, mirroring the load order a
