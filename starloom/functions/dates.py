@@ -39,12 +39,6 @@ def year_month(d: str | Column) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
-def in_window(d: str | Column, start: str | Column, end: str | Column) -> Column:
-    """Half-open validity test ``start <= d < end``."""
-    d = _c(d)
-    return (d >= _c(start)) & (d < _c(end))
-
-
 def calendar_attributes(d: str | Column) -> list[Column]:
     """Every dim_date column derived from one date column."""
     d = _c(d)

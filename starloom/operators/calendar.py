@@ -27,19 +27,6 @@ def calendar(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> D
     return _expand(one, _date(start), _date(end))
 
 
-def calendar_covering(dates: DataFrame, date_col: str) -> DataFrame:
-    """Calendar of whole years spanning every value of ``dates[date_col]``.
-
-    The bounds come from one aggregate row, so the calendar's size depends on
-    the time span only (366 rows per year), not on the number of facts.
-    """
-    d = F.col(date_col).cast("date")
-    bounds = dates.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
-    lo = F.make_date(F.year("lo"), F.lit(1), F.lit(1))
-    hi = F.make_date(F.year("hi"), F.lit(12), F.lit(31))
-    return _expand(bounds, lo, hi)
-
-
 def month_dimension(dim_date: DataFrame) -> DataFrame:
     """Month grain as a strict attribute subset of the day calendar."""
     return (
