@@ -12,7 +12,8 @@ links that is not furniture is content. Pass two gives undecided blocks the
 label of their nearest decided neighbours. Where a page marks its article,
 every block inside is content but furniture and runs of list items that are
 all link, and no block outside is. Inside, furniture is told by element names,
-roles and whole class names, not by ids, which are made from headings there.
+roles, whole class names and a few whole ids, as other ids are made from headings
+there. An article that is marked as a comment, advert or teaser is furniture itself.
 """
 
 from __future__ import annotations
@@ -99,9 +100,24 @@ _MARK = (
 )
 _PART = (
     r"(?:list|box|bar|links?|buttons?|icons?|wrap|wrapper|container|section|area|form|block|items?|inner|posts|articles"
-    r"|stories|thread|site|main|top|bottom|post|article|entry|page)"
+    r"|stories|thread|site|main|top|bottom|post|article|entry|page|body|content|text|meta|author|units?|slots?|google"
+    r"|user|reader|children|depth|\d+)"
 )
 WHOLE_MARK = re.compile(rf"(?:{_PART}[_-]+)*{_MARK}(?:[_-]+(?:{_MARK}|{_PART}))*", re.I)
+#: Marks of an article that is none.
+ARTICLE_MARK = re.compile(
+    rf"(?:{_PART}[_-]+)*(?:comments?|reply|replies|ads?|advert(?:isement)?|promo|sponsored|related|recommended)(?:[_-]+{_PART})*",
+    re.I,
+)
+#: Ids that mark furniture inside an article too; headings do not make them.
+MARK_ID = re.compile(
+    r"(?:(?:post|reader|user|article)[_-]?)?comments?(?:[_-]?(?:list|section|area|form|wrapper|container|\d+))?|respond"
+    r"|reply[_-]?form|disqus[_-]thread|side-?bar|footer|related-?posts|share-?buttons|social-?share|newsletter-signup"
+    r"|cookie-(?:banner|notice|consent)",
+    re.I,
+)
+#: Where a name in camel case is taken apart.
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: So many list items in a row that are all link are a menu inside an article too.
 LINK_RUN = 3
@@ -159,19 +175,36 @@ def _is_furniture(name: str, attributes: str, in_main: bool) -> bool:
         elif key == "aria-hidden":
             marked = value.lower() == "true"
         elif in_main and key != "role":
-            tokens = LAYOUT.sub("", value).split() if key == "class" and name not in HEADINGS and name not in MAIN else ()
-            marked = any(WHOLE_MARK.fullmatch(t) for t in tokens)
+            marked = name not in HEADINGS and name not in MAIN and _marked_inside(key, value)
         else:
             marked = name not in ("html", "body") and name not in MAIN and MARKS.search(LAYOUT.sub("", value))
+        if name == "article" and key in ("class", "id"):
+            marked = any(ARTICLE_MARK.fullmatch(CAMEL.sub("-", t)) for t in value.split())
         if marked:
             return True
     return False
 
 
+def _marked_inside(key: str, value: str) -> bool:
+    """Whether a class or id marks furniture inside an article."""
+    if key == "id":
+        return bool(MARK_ID.fullmatch(value.strip()))
+    return any(WHOLE_MARK.fullmatch(CAMEL.sub("-", t)) for t in LAYOUT.sub("", value).split())
+
+
+def _is_main(name: str, attributes: str) -> bool:
+    if name in MAIN:
+        return True
+    return "role" in attributes.lower() and any(
+        key.lower() == "role" and "".join(values).strip().lower() == "main" for key, *values in ATTRIBUTE.findall(attributes)
+    )
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks that have text, in page order."""
     out: list[Block] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, furniture, main
+    named: Counter[str] = Counter()  # open_tags by name
     parts: list[str] = []
     inline: Counter[str] = Counter()  # open inline elements of the block
     within: Counter[str] = Counter()  # open elements from the outermost skipped one on
@@ -194,9 +227,18 @@ def blocks_of(page: str) -> list[Block]:
         inline.clear()
         links = 0
 
+    def enter(name: str, bad: bool = False, body: bool = False) -> None:
+        open_tags.append((name, bad, body))
+        named[name] += 1
+
+    def pop() -> tuple[str, bool, bool]:
+        last = open_tags.pop()
+        named[last[0]] -= 1
+        return last
+
     def close() -> None:
         nonlocal furniture, mains, items
-        name, f, m = open_tags.pop()
+        name, f, m = pop()
         items -= name == "li"
         furniture -= f
         mains -= m
@@ -214,14 +256,14 @@ def blocks_of(page: str) -> list[Block]:
                 within[name] -= 1
             return True
         if end and within[name]:
-            while (last := open_tags.pop()[0]) != name:
+            while (last := pop()[0]) != name:
                 within[last] -= 1
             within[name] -= 1
             if len(open_tags) < skipped:
                 leave()
             return True
         if end:
-            stays = all(name != t[0] for t in open_tags)
+            stays = not named[name]
         else:
             stays = not (
                 open_tags[skipped - 1][0] in FOREIGN and name in BREAKOUT and not any(within[x] for x in HTML_INSIDE)
@@ -229,13 +271,14 @@ def blocks_of(page: str) -> list[Block]:
         if not stays:
             leave()
         elif opens:
-            open_tags.append((name, False, False))
+            enter(name)
             within[name] += 1
         return stays
 
     def leave() -> None:
         nonlocal skipped
-        del open_tags[skipped - 1 :]
+        while len(open_tags) >= skipped:
+            pop()
         skipped = 0
         within.clear()
 
@@ -246,7 +289,7 @@ def blocks_of(page: str) -> list[Block]:
         if not name:
             continue
         if name in RAW:
-            if not found[1] and not (attributes.endswith("/") and any(t[0] in FOREIGN for t in open_tags)):
+            if not found[1] and not (attributes.endswith("/") and any(named[x] for x in FOREIGN)):
                 over = RAW_END[name].search(page, at)
                 at = over.end() if over else len(page)
             continue
@@ -254,7 +297,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in SKIPPED:
             if not found[1] and not (name in FOREIGN and attributes.endswith("/")):
-                open_tags.append((name, False, False))
+                enter(name)
                 within[name] += 1
                 skipped = len(open_tags)
             continue
@@ -273,7 +316,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         if found[1]:
-            if any(name == t[0] for t in open_tags):
+            if named[name]:
                 while True:
                     last = open_tags[-1][0]
                     close()
@@ -286,10 +329,10 @@ def blocks_of(page: str) -> list[Block]:
         if attributes.endswith("/") and name not in MAIN:
             continue
         bad = _is_furniture(name, attributes, mains > 0)
-        body = name in MAIN and not furniture and not bad
+        body = _is_main(name, attributes) and not furniture and not bad
         if body and not mains:
             articles += 1
-        open_tags.append((name, bad, body))
+        enter(name, bad, body)
         furniture += bad
         mains += body
         items += name == "li"

@@ -1,3 +1,7 @@
+import random
+import time
+from html.parser import HTMLParser
+
 from starloom.llm.html_extract import extract_main_text, main_text
 
 PROSE = "This is a paragraph of the story, and it is long enough to be seen as prose by the rules of the page."
@@ -74,6 +78,77 @@ def test_page_of_short_blocks():
     assert main_text(page)[0] == "Title A short one. - And you? - So am I."
 
 
+def test_comments_and_sidebars_inside_the_article():
+    cuts = [
+        f"<{tag} {mark}><p>{PROSE}</p></{tag}>"
+        for tag in ("div", "section")
+        for mark in ("id=comments", 'id="sidebar"', "id=respond", "id='footer'", "id=comment-12", "class=comment-body")
+        + ('class="ad-unit"', "class=google-ads", "class=adBox", "class='x commentList'", "id=disqus_thread")
+    ]
+    for cut in cuts:
+        for main in ("article", "main"):
+            assert main_text(f"<{main}><p>one</p>{cut}<p>two</p></{main}>")[0] == "one two", cut
+    comment = f"<article class='comment byuser'><p>{PROSE}</p></article>"
+    assert main_text(f"<article><p>story</p></article>{comment * 3}<article id=comment-7>no</article>")[0] == "story"
+    assert main_text(f"<main><article>a</article><article class=commentItem>{PROSE}</article></main>")[0] == "a"
+    assert main_text("<article class='post category-comments has-ads'><p id=comments-on-law>a<h2 id=comments>b</h2></article>")[0] == "a b"
+
+
+def test_role_main_is_main():
+    page = f"<div role='banner'>x</div><div role=\"main\"><p>Short.<p>{PROSE}</div><p>Copyright 2020 of the one and all of us here</p>"
+    assert main_text(page)[0] == f"Short. {PROSE}"
+
+
+def test_unmatched_tags_take_linear_time():
+    n = 200_000
+    for page in ("<div>" * n + "</p>" * n, "<svg>" + "<g>" * n + "</p>" * n, "<p><b>" * n, "</li>" * n):
+        start = time.process_time()
+        main_text(page + "word")
+        assert time.process_time() - start < 10
+
+
+class Labeller(HTMLParser):
+    """A plain second reading of well-formed articles: what stands in no marked element."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.depth, self.out, self.stack = 0, [], []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        bad = tag in ("nav", "aside", "footer", "form", "script") or a.get("id") in ("comments", "sidebar") or a.get("class") == "ad"
+        self.stack.append((tag, bad))
+        self.depth += bad
+        self.out.append("" if tag == "script" else " ")
+
+    def handle_endtag(self, tag):
+        _, bad = self.stack.pop()
+        self.depth -= bad
+        self.out.append("" if tag == "script" else " ")
+
+    def handle_data(self, data):
+        if not self.depth and any(t == "article" for t, _ in self.stack):
+            self.out.append(data)
+
+
+def test_against_a_plain_reading():
+    rng = random.Random(5)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return " ".join(rng.choices(["ant", "b&amp;b", "cé", "&lt;d", "e"], k=rng.randrange(1, 5)))
+        tag = rng.choice(["div", "p2", "section", "nav", "aside", "footer", "form", "blockquote", "table", "script"])
+        mark = rng.choice(["", "", "", ' id="comments"', ' id="sidebar"', ' class="ad"', ' class="x"', ' id="intro"'])
+        inner = "var x" if tag == "script" else "".join(tree(depth - 1) for _ in range(rng.randrange(4)))
+        return f"<{tag}{mark}>{inner}</{tag}>"
+
+    for _ in range(300):
+        page = f"<html><body><div>out</div><article><h1>T</h1>{''.join(tree(4) for _ in range(4))}</article><p>out</p></body></html>"
+        assert main_text(page)[0] == " ".join("".join(Labeller(page).out).split()), page
+
+
 def test_dataframe(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
