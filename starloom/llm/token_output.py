@@ -6,8 +6,8 @@ permutation of [0, N) turns a number into the sequence's slot. The Feistel
 network works on the next even number of bits and walks on along its cycle
 until it lands below N, so no slot is left out or used twice and no table of
 the order is kept anywhere. Slots are dealt to shards by range, one task
-writes one shard in slot order, and slot s lies at a known byte of a known file:
-a reader can start, stop and resume anywhere.
+writes one shard, held whole as its size is fixed, and slot s lies at a known
+byte of a known file: a reader can start, stop and resume anywhere.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,7 @@ PAD_ID = 0
 SHARD_SEQUENCES = 1 << 14
 ROUNDS = 6
 KEY = 20260101
+INDEX = ["id", "piece", "slot", "shard", "length", "byte_offset", "ids_crc32"]
 
 
 def _mix(x: np.ndarray, key: int, turn: int) -> np.ndarray:
@@ -84,8 +87,19 @@ def _tokenized(tokenizer: str, end_id: int, seq_len: int):
     return tokenized
 
 
+def _packed(ids: bytes) -> bytes:
+    """Compressed ids: all low bytes, then all high bytes."""
+    planes = np.frombuffer(ids, np.uint8).reshape(-1, 2).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(packed: bytes) -> bytes:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return planes.reshape(2, -1).T.tobytes()
+
+
 def _deal(starts, n: int, seq_len: int, per_shard: int, key: int):
-    """Sequences with their slots; ids stay unpadded until they are written."""
+    """Sequences with their slots, one row a shard and batch; ids stay unpadded until they are written."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = 2 * seq_len
@@ -95,17 +109,22 @@ def _deal(starts, n: int, seq_len: int, per_shard: int, key: int):
             piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
             base = np.array([starts.value[p] for p in batch.column("part").to_pylist()], np.int64)
             slot = permute((base + batch.column("first").to_numpy())[row] + piece, n, key)
+            order = np.argsort(slot // per_shard, kind="stable")
+            row, piece, slot = row[order], piece[order], slot[order]
             texts = batch.column("ids").to_pylist()
             ids = [texts[r][p * step : (p + 1) * step] for r, p in zip(row.tolist(), piece.tolist(), strict=True)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+            shards, first = np.unique(slot // per_shard, return_index=True)
+            bounds = [*first.tolist(), len(ids)]
+            offsets = pa.array(bounds, pa.int32())
+            columns = [batch.column("id").take(pa.array(row)), piece.astype(np.int32), slot, lengths.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id").take(pa.array(row)),
-                    pa.array(piece.astype(np.int32)),
-                    pa.array(slot),
-                    pa.array((slot // per_shard).astype(np.int32)),
-                    pa.array(ids, pa.binary()),
+                    pa.array(shards.astype(np.int32)),
+                    *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns),
+                    pa.array([_packed(b"".join(ids[i:j])) for i, j in pairwise(bounds)], pa.binary()),
                 ],
-                names=["id", "piece", "slot", "shard", "ids"],
+                names=["shard", "id", "piece", "slot", "length", "packed"],
             )
 
     return deal
@@ -118,44 +137,44 @@ def _local(path: str) -> tuple[fs.FileSystem, str]:
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
 
 
-def _write(path: str, per_shard: int, stride: int, pad_id: int):
-    pad = np.array([pad_id], "<u2").tobytes()
+def _write(path: str, n: int, per_shard: int, stride: int, pad_id: int):
+    """Writes the shards that come to the task; a shard's size is fixed, so one is held whole."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _local(path)
-        out = name = shard = None
         attempt = TaskContext.get().taskAttemptId()
-
-        def finish() -> None:
-            if out is not None:
-                out.close()
-                store.move(f"{name}.{attempt}.part", name)  # a retry replaces the whole shard
-
+        pad = np.array([pad_id], "<u2").tobytes()
+        held: dict[int, tuple[bytearray, list[pa.Table]]] = {}
         for batch in batches:
-            slots, bare = batch.column("slot").to_pylist(), batch.column("ids").to_pylist()
-            payload = [x + pad * ((stride - len(x)) // 2) for x in bare]
-            for s, ids in zip(slots, payload, strict=True):
-                if s // per_shard != shard:
-                    finish()
-                    shard, due = s // per_shard, s // per_shard * per_shard
-                    name = f"{base}/shard-{shard:07d}.bin"
-                    out = store.open_output_stream(f"{name}.{attempt}.part")
-                if s != due:
-                    raise RuntimeError(f"slot {due} of shard {shard} is missing")
-                due += 1
-                out.write(ids)
-            place = [(s % per_shard) * stride for s in slots]
-            kept = batch.select(["id", "piece", "slot", "shard"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *kept.columns,
-                    pa.array([len(x) // 2 for x in bare], pa.int32()),
-                    pa.array(place, pa.int64()),
-                    pa.array([zlib.crc32(x) for x in payload], pa.int64()),
-                ],
-                names=[*kept.schema.names, "length", "byte_offset", "ids_crc32"],
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                if shard not in held:
+                    size = min(per_shard, n - shard * per_shard)
+                    held[shard] = bytearray(pad * (size * stride // 2)), []
+                buffer, parts = held[shard]
+                rows = {c: batch.column(c)[i].values for c in ("id", "piece", "slot", "length")}
+                parts.append(pa.table(rows))
+                ids, start = _unpacked(batch.column("packed")[i].as_py()), 0
+                at = (rows["slot"].to_numpy() - shard * per_shard) * stride
+                for place, length in zip(at.tolist(), (rows["length"].to_numpy() * 2).tolist(), strict=True):
+                    buffer[place : place + length] = ids[start : start + length]
+                    start += length
+        for shard, (buffer, parts) in held.items():
+            index = pa.concat_tables(parts).sort_by("slot").combine_chunks()
+            slots = index.column("slot").to_numpy()
+            first = shard * per_shard
+            if not np.array_equal(slots, np.arange(first, first + len(buffer) // stride)):
+                raise RuntimeError(f"slots of shard {shard} are missing or come twice")
+            name = f"{base}/shard-{shard:07d}.bin"
+            with store.open_output_stream(f"{name}.{attempt}.part") as out:
+                out.write(buffer)
+            store.move(f"{name}.{attempt}.part", name)  # a retry replaces the whole shard
+            place, view = (slots - first) * stride, memoryview(buffer)
+            index = (
+                index.append_column("shard", pa.array(np.full(len(slots), shard, np.int32)))
+                .append_column("byte_offset", pa.array(place))
+                .append_column("ids_crc32", pa.array([zlib.crc32(view[x : x + stride]) for x in place.tolist()], pa.int64()))
             )
-        finish()
+            yield from index.select(INDEX).to_batches()
 
     return write
 
@@ -189,12 +208,9 @@ def write_training_order(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     # tokenized once; the numbers along the partitions are written with the ids
-    tokens = cut_lineage(
-        texts.mapInArrow(
-            _tokenized(tokenizer, end_id, seq_len), "part int, first bigint, n bigint, id bigint, ids binary"
-        ),
-        "token-ids",
-    )
+    path_of_ids, kind = scratch_path(spark, "token-ids"), "part int, first bigint, n bigint, id bigint, ids binary"
+    texts.mapInArrow(_tokenized(tokenizer, end_id, seq_len), kind).write.option("compression", "zstd").parquet(path_of_ids)
+    tokens = spark.read.schema(kind).parquet(path_of_ids)
     # one small row for each of the input's partitions
     counts = {r["part"]: r["n"] for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     starts, n = {}, 0
@@ -211,12 +227,12 @@ def write_training_order(
             store.delete_file(info.path)
     dealt = tokens.mapInArrow(
         _deal(spark.sparkContext.broadcast(starts), n, seq_len, shard_sequences, key),
-        "id bigint, piece int, slot bigint, shard int, ids binary",
+        "shard int, id array<bigint>, piece array<int>, slot array<bigint>, length array<int>, packed binary",
     )
     # the shard's number is its partition's number: no sampling, one shard a task
-    ranged = dealt.repartitionById(max(1, shards), F.col("shard")).sortWithinPartitions("slot")
+    ranged = dealt.repartitionById(max(1, shards), F.col("shard"))
     written = ranged.mapInArrow(
-        _write(path, shard_sequences, stride, pad_id),
+        _write(path, n, shard_sequences, stride, pad_id),
         "id bigint, piece int, slot bigint, shard int, length int, byte_offset bigint, ids_crc32 bigint",
     )
     index = cut_lineage(written, "training-order")
