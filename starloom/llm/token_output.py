@@ -34,6 +34,9 @@ PAD_ID = 0
 SHARD_SEQUENCES = 1 << 14
 ROUNDS = 6
 KEY = 20260101
+#: Zstandard levels of the shuffled ids, and of the kept ones with their Parquet pages.
+SHUFFLE_LEVEL = 4
+KEPT = {"compression": "zstd", "parquet.compression.codec.zstd.level": 5, "parquet.page.size": 8 << 20}
 INDEX = ["id", "piece", "slot", "shard", "length", "byte_offset", "ids_crc32"]
 
 
@@ -87,22 +90,11 @@ def _tokenized(tokenizer: str, end_id: int, seq_len: int):
     return tokenized
 
 
-def _packed(ids: bytes) -> bytes:
-    """Compressed ids: all low bytes, then all high bytes."""
-    planes = np.frombuffer(ids, np.uint8).reshape(-1, 2).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpacked(packed: bytes) -> bytes:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return planes.reshape(2, -1).T.tobytes()
-
-
 def _deal(starts, n: int, seq_len: int, per_shard: int, key: int):
     """Sequences with their slots, one row a shard and batch; ids stay unpadded until they are written."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = 2 * seq_len
+        step, pack = 2 * seq_len, zstandard.ZstdCompressor(level=SHUFFLE_LEVEL)
         for batch in batches:
             many = batch.column("n").to_numpy()
             row = np.repeat(np.arange(len(many)), many)
@@ -122,7 +114,7 @@ def _deal(starts, n: int, seq_len: int, per_shard: int, key: int):
                 [
                     pa.array(shards.astype(np.int32)),
                     *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns),
-                    pa.array([_packed(b"".join(ids[i:j])) for i, j in pairwise(bounds)], pa.binary()),
+                    pa.array([pack.compress(b"".join(ids[i:j])) for i, j in pairwise(bounds)], pa.binary()),
                 ],
                 names=["shard", "id", "piece", "slot", "length", "packed"],
             )
@@ -143,7 +135,7 @@ def _write(path: str, n: int, per_shard: int, stride: int, pad_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _local(path)
         attempt = TaskContext.get().taskAttemptId()
-        pad = np.array([pad_id], "<u2").tobytes()
+        pad, unpack = np.array([pad_id], "<u2").tobytes(), zstandard.ZstdDecompressor()
         held: dict[int, tuple[bytearray, list[pa.Table]]] = {}
         for batch in batches:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
@@ -153,7 +145,7 @@ def _write(path: str, n: int, per_shard: int, stride: int, pad_id: int):
                 buffer, parts = held[shard]
                 rows = {c: batch.column(c)[i].values for c in ("id", "piece", "slot", "length")}
                 parts.append(pa.table(rows))
-                ids, start = _unpacked(batch.column("packed")[i].as_py()), 0
+                ids, start = unpack.decompress(batch.column("packed")[i].as_py()), 0
                 at = (rows["slot"].to_numpy() - shard * per_shard) * stride
                 for place, length in zip(at.tolist(), (rows["length"].to_numpy() * 2).tolist(), strict=True):
                     buffer[place : place + length] = ids[start : start + length]
@@ -209,7 +201,7 @@ def write_training_order(
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     # tokenized once; the numbers along the partitions are written with the ids
     path_of_ids, kind = scratch_path(spark, "token-ids"), "part int, first bigint, n bigint, id bigint, ids binary"
-    texts.mapInArrow(_tokenized(tokenizer, end_id, seq_len), kind).write.option("compression", "zstd").parquet(path_of_ids)
+    texts.mapInArrow(_tokenized(tokenizer, end_id, seq_len), kind).write.options(**KEPT).parquet(path_of_ids)
     tokens = spark.read.schema(kind).parquet(path_of_ids)
     # one small row for each of the input's partitions
     counts = {r["part"]: r["n"] for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()}
