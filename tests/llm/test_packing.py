@@ -67,3 +67,15 @@ def test_pieces_and_places(spark, edge_docs, no_docs, capacity):
             at += length
         assert at <= capacity
     assert pack_documents(no_docs).count() == 0
+
+
+def test_simple_pieces_go_to_the_model_and_have_the_tokenizers_ids():
+    ids = TextIds(remembered=40)
+    asked, whole = [], ids._ids
+    ids._ids = lambda text: asked.append(text) or whole(text)
+    texts = ["the worde naïve, straße($$$) x1y22 don't", "Ÿ ÀÉ× ÿ÷ a.b.c, end. ###", "ABC <|endoftext|> Word", "plain words, and more."]
+    found = ids.of(texts)
+    assert not any(b"worde" in x or b"$$$" in x or b"plain" in x for x in asked)
+    assert any(b"don't" in x for x in asked)
+    for text, got in zip(texts, found, strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == whole(text.encode())
