@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
-from starloom.llm.runs import runs_of
 from starloom.session import cut_lineage
 
 BAND_ROWS = 8
 BATCH = 32
 MISS_BANDS = 2e-5
 MISS_VERIFY = 1e-7
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 17
+#: Texts that a task works on at a time.
+ROWS = 512
 FILTER_BITS = 26
 #: Similarity bounds of round two are rounded down to this grid.
 GRID = 0.025
@@ -62,6 +64,13 @@ class _WordHashes(dict):
         return h
 
 
+def _in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, at most ROWS at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _odd(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -120,7 +129,7 @@ def _profiles(k: int, bands: int):
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
-        for batch in batches:
+        for batch in _in_slices(batches):
             sizes, keys, buckets, sigs = [], [], [], []
             for text in batch.column("text"):
                 s = shingle_set(text.as_py(), k, words)
@@ -180,7 +189,7 @@ def _sets(k: int, wanted: Broadcast):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, marks = _WordHashes(), wanted.value
         bits = len(marks).bit_length() - 1
-        for batch in batches:
+        for batch in _in_slices(batches):
             batch = batch.filter(pa.array(marks[_place(batch.column("id").to_numpy(), bits)]))
             found = [shingle_set(t.as_py(), k, words).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "set"])
@@ -215,7 +224,7 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _in_slices(batches):
         shared, total = [], []
         for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
             p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
@@ -249,49 +258,71 @@ def _enough(c1, least1, most1, c2, least2, most2, t: float):
 VISIT = "host bigint, part int, guest boolean, id bigint, far double, slack double, c bigint, sig binary, set binary"
 
 
-def _visited(threshold: float, percent: int):
-    """Links between a part's members and its guests."""
-
-    def solve(rows: pa.Table) -> pa.RecordBatch | None:
-        guest, ids = rows.column("guest").to_numpy(zero_copy_only=False), rows.column("id").to_numpy()
-        far, slack, common = (rows.column(c).to_numpy() for c in ("far", "slack", "c"))
-        sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
-        size, own, t = np.array([len(x) for x in sets]), np.flatnonzero(~guest), threshold - 1e-9
-        if not len(own) or len(own) == len(ids):
-            return None
-        # which members have a shingle
-        held = np.concatenate([sets[k] for k in own])
+class _Side:
+    """Rows of a cell in arrays."""
+
+    def __init__(self, rows: pa.Table | pa.RecordBatch):
+        self.ids, self.far, self.slack, self.common = (rows.column(c).to_numpy() for c in ("id", "far", "slack", "c"))
+        self.sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
+        self.sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(self.ids), -1)
+        self.size = np.array([len(x) for x in self.sets])
+
+
+class _Hosts(_Side):
+    """A part's members, and which of them have a shingle."""
+
+    def __init__(self, rows: pa.Table):
+        super().__init__(rows)
+        held = np.concatenate(self.sets)
         order = np.argsort(held, kind="stable")
-        held, holder = held[order], np.repeat(np.arange(len(own)), size[own])[order]
-        least, found = least_matches(threshold, sig.shape[1]), []
-        for g in np.flatnonzero(guest):
-            may = far[own] + far[g] + slack[g] >= 0
-            may &= np.minimum(common[own], common[g]) * (1 + t) >= t * (size[own] + size[g])
-            may &= (np.maximum(size[own], size[g]) * t <= np.minimum(size[own], size[g])) & (ids[own] != ids[g])
-            alive = np.flatnonzero(may)
-            matches = np.zeros(len(alive), np.int64)
-            for step, at in enumerate(range(0, sig.shape[1], BATCH)):
-                matches += (sig[own[alive], at : at + BATCH] == sig[g, at : at + BATCH]).sum(axis=1)
-                still = matches >= least[step]
-                alive, matches = alive[still], matches[still]
-            if not len(alive):
-                continue
-            first, last = np.searchsorted(held, sets[g]), np.searchsorted(held, sets[g], side="right")
-            hits = np.repeat(first - np.r_[0, np.cumsum(last - first)[:-1]], last - first) + np.arange((last - first).sum())
-            shared = np.bincount(holder[hits], minlength=len(own))[alive]
-            near = alive[shared * 100 >= (size[own[alive]] + size[g] - shared) * percent]
-            found += [(ids[own[k]], ids[g]) for k in near]
-        if not found:
-            return None
-        a, b = np.array(found, np.int64).T
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        self.held, self.holder = held[order], np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)[order]
+
+
+def _links(own: _Hosts, guests: _Side, threshold: float, percent: int) -> pa.RecordBatch | None:
+    t, least, found = threshold - 1e-9, least_matches(threshold, own.sig.shape[1]), []
+    for g, (guest, size) in enumerate(zip(guests.ids, guests.size, strict=True)):
+        may = own.far + guests.far[g] + guests.slack[g] >= 0
+        may &= np.minimum(own.common, guests.common[g]) * (1 + t) >= t * (own.size + size)
+        may &= (np.maximum(own.size, size) * t <= np.minimum(own.size, size)) & (own.ids != guest)
+        alive = np.flatnonzero(may)
+        matches = np.zeros(len(alive), np.int64)
+        for step, at in enumerate(range(0, own.sig.shape[1], BATCH)):
+            matches += (own.sig[alive, at : at + BATCH] == guests.sig[g, at : at + BATCH]).sum(axis=1)
+            still = matches >= least[step]
+            alive, matches = alive[still], matches[still]
+        if not len(alive):
+            continue
+        first, last = np.searchsorted(own.held, guests.sets[g]), np.searchsorted(own.held, guests.sets[g], side="right")
+        hits = np.repeat(first - np.r_[0, np.cumsum(last - first)[:-1]], last - first) + np.arange((last - first).sum())
+        shared = np.bincount(own.holder[hits], minlength=len(own.ids))[alive]
+        near = alive[shared * 100 >= (own.size[alive] + size - shared) * percent]
+        found += [(own.ids[k], guest) for k in near]
+    if not found:
+        return None
+    a, b = np.array(found, np.int64).T
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _visited(threshold: float, percent: int):
+    """Links between a part's members, which come first and are held, and its guests, which pass by."""
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs_of(batches, ["host", "part"]):
-            links = solve(rows)
-            if links is not None:
-                yield links
+        cell, members, hosts = None, [], None
+        for batch in _in_slices(batches):
+            keys = np.stack([batch.column(c).cast(pa.int64()).to_numpy() for c in ("host", "part", "guest")])
+            bounds = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for at, end in pairwise(bounds):
+                host, part, guest = keys[:, at].tolist()
+                if (host, part) != cell:
+                    cell, members, hosts = (host, part), [], None
+                rows = batch.slice(at, end - at)
+                if not guest:
+                    members.append(rows)
+                elif members:
+                    hosts = hosts or _Hosts(pa.Table.from_batches(members))
+                    links = _links(hosts, _Side(rows), threshold, percent)
+                    if links is not None:
+                        yield links
 
     return visited
 

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from starloom.llm import minhash_dedup as M
 from starloom.llm.components import components
@@ -136,3 +137,35 @@ def test_visitors_meet_every_member_of_every_part(spark, monkeypatch):
             if i < j and ((centre(i), centre(j)) in pairs) and 100 * n >= 80 * (len(s) + len(u) - n):
                 want.add((i, j))
     assert got == want and len(want) > 20
+
+
+def test_tasks_hold_a_bounded_number_of_rows():
+    texts = pa.RecordBatch.from_pydict({"id": pa.array(range(1300), pa.int64()), "text": ["one two three four"] * 1300})
+    assert [b.num_rows for b in M._profiles(3, 4)(iter([texts]))] == [512, 512, 276]
+
+    taken = []
+
+    def cell():
+        members = set(range(20))
+        for n, ids in enumerate([range(3), range(10, 13), range(20, 23)]):
+            taken.append(n)
+            shingles = [np.array(sorted(members), np.uint64)] * 3
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "host": pa.array([1] * 3, pa.int64()),
+                    "part": pa.array([0] * 3, pa.int32()),
+                    "guest": pa.array([n > 0] * 3),
+                    "id": pa.array(ids, pa.int64()),
+                    "far": pa.array([1.0] * 3),
+                    "slack": pa.array([0.0] * 3),
+                    "c": pa.array([20] * 3, pa.int64()),
+                    "sig": pa.array([bytes(32)] * 3, pa.binary()),
+                    "set": pa.array([s.tobytes() for s in shingles], pa.binary()),
+                }
+            )
+
+    links = M._visited(0.85, 85)(cell())
+    first = next(links)
+    assert taken == [0, 1]  # guests pass by; only the members are held
+    assert set(zip(first["a"].to_pylist(), first["b"].to_pylist(), strict=True)) == {(a, b) for a in range(3) for b in range(10, 13)}
+    assert next(links).num_rows == 9
