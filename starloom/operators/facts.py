@@ -67,8 +67,10 @@ def resolve_fact(
     if not with_sale_key:
         cols = [c for c in FACT_SALES_COLUMNS if c != "sale_key"]
         return resolved.select(*cols)
+    cols = [c for c in FACT_SALES_COLUMNS if c != "sale_key"]
+    needed = resolved.select(*dict.fromkeys([*SALE_KEY_ORDER, *cols]))
     keyed = assign_dense_keys(
-        resolved, list(SALE_KEY_ORDER), "sale_key", start=start_key, partitions=key_partitions
+        needed, list(SALE_KEY_ORDER), "sale_key", start=start_key, partitions=key_partitions, keep=cols
     )
     return keyed.select(*FACT_SALES_COLUMNS)
 

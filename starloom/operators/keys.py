@@ -54,6 +54,7 @@ def dense_keys(
     key_col: str,
     start: int = 1,
     partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> Keyed:
     """Append ``key_col`` = start, start+1, ... in ``order_by`` order.
 
@@ -61,9 +62,12 @@ def dense_keys(
     numbered in an arbitrary but dense way. The result is materialised.
     ``partitions`` fixes the range partition count (pass it when the row count
     is known; one partition needs no sampling pass); by default AQE sizes it.
+    ``keep`` names the columns that stay beside the key, by default all: the others
+    go no further than the ordering needs them.
     """
+    kept = list(keep if keep is not None else df.columns)
     if partitions == 1:
-        keyed = _one_partition(df, order_by, key_col, start)
+        keyed = _one_partition(df, order_by, key_col, start, kept)
         return Keyed(keyed, keyed.count())  # of a written table: read from its footers
     order_cols = _cols(order_by)
     pid = F.spark_partition_id().cast("long")
@@ -74,12 +78,12 @@ def dense_keys(
     tagged = (
         ranged.sortWithinPartitions(*order_cols)
         .select(
-            "*",
+            *[F.col(c) for c in kept],
             pid.alias(_PART),
             (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias(_POS),
         )
     )
-    tagged = cut_lineage(tagged, "dense-keys")
+    tagged = cut_lineage(tagged, "dense-keys", compression="zstd")
 
     # one row per range partition; its running start stays a small table, so
     # nothing per partition passes through the driver or the query's text
@@ -95,15 +99,17 @@ def dense_keys(
     offsets = counts.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     placed = tagged.join(F.broadcast(offsets) if parts <= MAX_BROADCAST_PARTS else offsets, _PART)
     key = (F.lit(int(start)) + F.col("_offset") + F.col(_POS)).cast("long").alias(key_col)
-    return Keyed(placed.select(key, *[F.col(c) for c in df.columns]), int(total))
+    return Keyed(placed.select(key, *[F.col(c) for c in kept]), int(total))
 
 
-def _one_partition(df: DataFrame, order_by: Sequence[str | Column], key_col: str, start: int) -> DataFrame:
+def _one_partition(
+    df: DataFrame, order_by: Sequence[str | Column], key_col: str, start: int, kept: Sequence[str]
+) -> DataFrame:
     """Keys of a frame that its caller knows to fit one task; materialised."""
     order_cols = _cols(order_by)
     key = (F.lit(int(start)) + F.monotonically_increasing_id()).cast("long").alias(key_col)
     ordered = df.repartitionByRange(1, *order_cols).sortWithinPartitions(*order_cols)
-    return cut_lineage(ordered.select(key, *[F.col(c) for c in df.columns]), "dense-keys")
+    return cut_lineage(ordered.select(key, *[F.col(c) for c in kept]), "dense-keys", compression="zstd")
 
 
 def assign_dense_keys(
@@ -112,11 +118,12 @@ def assign_dense_keys(
     key_col: str,
     start: int = 1,
     partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """:func:`dense_keys` without the row count."""
     if partitions == 1:
-        return _one_partition(df, order_by, key_col, start)
-    return dense_keys(df, order_by, key_col, start, partitions).df
+        return _one_partition(df, order_by, key_col, start, list(keep if keep is not None else df.columns))
+    return dense_keys(df, order_by, key_col, start, partitions, keep).df
 
 
 def next_key(df: DataFrame | None, key_col: str) -> int:

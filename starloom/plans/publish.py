@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.session import cut_lineage
+
 MONTH = "month_key"
 LOAD = "load_id"
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -122,19 +124,28 @@ def new_load(after: Publication) -> str:
     return f"L{after.number + 1:08d}-{uuid.uuid4().hex[:12]}"
 
 
-def write_months(rows: DataFrame, store: str, table: str, load: str, part: str = MONTH) -> set[str]:
+def by_month(rows: DataFrame, part: str = MONTH) -> DataFrame:
+    """Rows that several loads write, dealt out by month once and kept so."""
+    return cut_lineage(rows.hint("rebalance", part), "by-month", compression="zstd")
+
+
+def write_months(
+    rows: DataFrame, store: str, table: str, load: str, part: str = MONTH, clustered: bool = False
+) -> set[str]:
     """Write a load's rows of one table, with their ``month_key``; returns its months.
     A table may be kept in parts by another column (text), such as a batch or a day.
 
     ``rebalance`` clusters rows by month so each task writes few partitions, while
     AQE splits a big month into advisory-sized tasks (a month is never funnelled
-    through one task) and merges small ones.
+    through one task) and merges small ones. ``clustered`` rows (:func:`by_month`)
+    are written as they lie.
     """
     spark = rows.sparkSession
     (
-        rows.hint("rebalance", part)
+        (rows if clustered else rows.hint("rebalance", part))
         .write.mode("errorifexists")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("compression", "zstd")
         .partitionBy(part)
         .parquet(f"{store}/{table}/{LOAD}={load}")
     )

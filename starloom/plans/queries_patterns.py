@@ -20,7 +20,7 @@ from starloom.plans import snapshots
 from starloom.plans.oracle import with_ctes
 from starloom.plans.registry import register
 from starloom.plans.star import build_star
-from starloom.plans.warehouse import read_fact, reload_window, write_fact
+from starloom.plans.warehouse import fact_by_month, read_fact, reload_window, write_fact
 from starloom.schemas import CUSTOMER_SPEC, FACT_SALES_COLUMNS
 from starloom.session import cut_lineage, scratch_path
 from starloom.sources import star_inputs as src
@@ -517,11 +517,11 @@ where date_key not between {RELOAD_FIRST:%Y%m%d} and {RELOAD_LAST:%Y%m%d}""",
 )
 def rebuild_drops_month(spark: SparkSession, root: str) -> DataFrame:
     """A rebuilt fact keeps no month of the load before it."""
-    fact = build_star(spark, root, with_sale_key=True).fact
+    fact = fact_by_month(build_star(spark, root, with_sale_key=True).fact)
     path = scratch_path(spark, "fact_sales")
-    write_fact(fact, path, whole=True)
+    write_fact(fact, path, whole=True, clustered=True)
     lo, hi = (int(d.strftime("%Y%m%d")) for d in (RELOAD_FIRST, RELOAD_LAST))
-    write_fact(fact.where(~F.col("date_key").between(lo, hi)), path, whole=True)
+    write_fact(fact.where(~F.col("date_key").between(lo, hi)), path, whole=True, clustered=True)
     return read_fact(spark, path).select(*FACT_SALES_COLUMNS, "month_key")
 
 

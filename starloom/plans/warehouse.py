@@ -36,6 +36,7 @@ from starloom.operators.scd import SnapshotRejected, empty_dimension, merge_curr
 from starloom.plans.publish import (
     MONTH,
     Publication,
+    by_month,
     filesystem,
     latest,
     new_load,
@@ -249,14 +250,21 @@ def _with_month(rows: DataFrame, date_col: str = "date_key") -> DataFrame:
     return rows.withColumn(FACT_PARTITION, part)
 
 
-def write_fact(fact: DataFrame, path: str, date_col: str = "date_key", whole: bool = False) -> None:
+def fact_by_month(fact: DataFrame, date_col: str = "date_key") -> DataFrame:
+    """The fact dealt out by month, for several calls of :func:`write_fact` with ``clustered``."""
+    return by_month(_with_month(fact, date_col)).drop(FACT_PARTITION)
+
+
+def write_fact(
+    fact: DataFrame, path: str, date_col: str = "date_key", whole: bool = False, clustered: bool = False
+) -> None:
     """S6 + D24: the fact partitioned by month. Only months present in ``fact`` are
     replaced, unless it is the ``whole`` fact: then no month of an earlier load
     stays live. Readers see the old months until all new ones are written."""
     spark = fact.sparkSession
     before = latest(spark, path)
     rows, load = _with_month(fact, date_col), new_load(before)
-    written = write_months(rows, path, SALES, load)
+    written = write_months(rows, path, SALES, load, clustered=clustered)
     publish(
         spark, path, with_months(before, SALES, load, written, lambda m: whole or m in written, rows.schema)
     )

@@ -51,3 +51,12 @@ def test_explicit_partition_count_gives_the_same_keys(spark):
     one = {r["a"]: r["k"] for r in dense_keys(df, ["a"], "k", partitions=1).df.collect()}
     many = {r["a"]: r["k"] for r in dense_keys(df, ["a"], "k").df.collect()}
     assert one == many and sorted(one.values()) == list(range(1, 3001))
+
+
+def test_columns_that_only_order_are_not_kept(spark):
+    df = spark.createDataFrame([(i % 7, i, f"x{i}") for i in range(50)], "a int, b int, c string")
+    whole = dense_keys(df, ["a", "b"], "k", partitions=3).df
+    kept = dense_keys(df, ["a", "b"], "k", partitions=3, keep=["c"]).df
+    assert kept.columns == ["k", "c"]
+    assert kept.sort("k").collect() == whole.select("k", "c").sort("k").collect()
+    assert dense_keys(df, ["a", "b"], "k", partitions=1, keep=["c"]).df.sort("k").collect() == kept.sort("k").collect()

@@ -307,3 +307,18 @@ def test_results_do_not_depend_on_partitioning(spark):
     b = fn(spark, SF_SMALL)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rows_dealt_out_by_month_once_are_written_as_they_lie(spark, tmp_path, monkeypatch):
+    from starloom.plans import warehouse as W
+
+    asked, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *a: asked.append(a) or hint(df, *a))
+    rows = [(k, 20200100 + (k % 3) * 100 + 1) for k in range(60)]
+    fact = W.fact_by_month(spark.createDataFrame(rows, "sale_key long, date_key int"))
+    path = str(tmp_path / "fact")
+    for least in (0, 20200200):  # the second load keeps no month of the first
+        W.write_fact(fact.where(F.col("date_key") > least), path, whole=True, clustered=True)
+        found = sorted(map(tuple, W.read_fact(spark, path).select("sale_key", "date_key", "month_key").collect()))
+        assert found == [(k, d, d // 100) for k, d in rows if d > least]
+    assert len(asked) == 1
