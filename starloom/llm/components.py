@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from starloom.session import cut_lineage
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 60, rows: int | None = None) -> DataFrame:
     """``node``, ``root`` (the smallest node it reaches) for every linked node.
 
-    ``links`` has integer columns ``a`` and ``b``; loops and repeats are allowed.
+    ``links`` has integer columns ``a`` and ``b``, and about ``rows`` rows if that is
+    known; loops and repeats are allowed.
     Alternates large-star and small-star: every node hands its larger, then its
     other neighbours to its smallest one, until all hang on their root. The
     rounds grow with the logarithm of the longest chain. Minima are summed up
@@ -20,16 +21,18 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = cut_lineage(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "links",
+        rows,
     )
+    rows = edges.count()
     state = None
     for _ in range(max_rounds):
-        edges = cut_lineage(_small_star(_large_star(edges)), "links")
+        edges = cut_lineage(_small_star(_large_star(edges)), "links", rows)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        state = now
+        state, rows = now, now[0]
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -406,16 +406,17 @@ def near_duplicates(
     threshold = percent / 100
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     profiles = cut_lineage(texts.mapInArrow(_profiles(k, band_count(threshold)), PROFILE), "profiles")
+    n_rows = profiles.count()
     named = profiles.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())
     # the smallest id of a class brings its bands and signature along
     first = F.min(F.struct("id", "bands", "sig")).alias("first")
-    classes = cut_lineage(named.groupBy("set_key").agg(first).select("set_key", "first.*"), "classes")
+    classes = cut_lineage(named.groupBy("set_key").agg(first).select("set_key", "first.*"), "classes", n_rows)
     sigs = classes.select("id", "sig")
 
     met = classes.select("id", F.explode("bands").alias("bucket"))
     leaders = met.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"))
-    leaders = cut_lineage(leaders.filter("n > 1").select("bucket", "leader"), "leaders")
-    met = cut_lineage(met.join(leaders, "bucket"), "buckets")
+    leaders = cut_lineage(leaders.filter("n > 1").select("bucket", "leader"), "leaders", n_rows)
+    met = cut_lineage(met.join(leaders, "bucket"), "buckets", n_rows)
 
     # round one: members against the smallest of their buckets
     stars = met.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -436,12 +437,14 @@ def near_duplicates(
         .agg(F.max(F.struct((F.col("shared") / F.col("total")).alias("s"), F.col("a").alias("centre"))).alias("x"))
         .select("id", "x.centre", (1 - F.col("x.s")).alias("far")),
         "balls",
+        n_rows,
     )
     # round two: centres that met in a bucket through any of their members
     own = met.select("bucket", "id").join(balls, "id", "left")
     placed = cut_lineage(
         own.select("bucket", "id", F.coalesce("centre", "id").alias("centre"), F.coalesce("far", F.lit(0.0)).alias("far")),
         "placed",
+        n_rows,
     )
     # what a centre can share at most: its shingles that another class has too
     alone = (
@@ -457,8 +460,8 @@ def near_duplicates(
     of_id = sets.groupBy("id").agg(F.min(size).alias("n"), F.sum(size).alias("all"), F.count(F.lit(1)).alias("m"))
     # an id with several texts may share anything
     common = F.when(F.col("m") == 1, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("all"))
-    bounds = cut_lineage(of_id.join(alone, "id", "left").select("id", "n", common.alias("c")), "bounds")
-    stats = cut_lineage(bounds.join(radius, "id"), "stats")
+    bounds = cut_lineage(of_id.join(alone, "id", "left").select("id", "n", common.alias("c")), "bounds", n_rows)
+    stats = cut_lineage(bounds.join(radius, "id"), "stats", n_rows)
     seats = placed.select("bucket", F.col("centre").alias("id")).distinct().join(stats, "id")
     one, two = (seats.select("bucket", *[F.col(c).alias(x + c) for c in ("id", "n", "c", "r")]) for x in "ab")
     # a pair counts only if the shared shingles could reach the bound; as a part of
@@ -478,26 +481,31 @@ def near_duplicates(
     )
     told = _exact(_promising(asked.select("a", "b", "bound"), sigs), sets)
     told = cut_lineage(_with_radii(told, stats), "centres")
+    n_pairs = told.count()
     links = told.filter(near).select("a", "b")
     links = links.unionByName(balls.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
     # round three: members of balls that are still apart and may touch
     apart = told.filter(~near & (1 - F.col("shared") / F.col("total") <= 1 - threshold + F.col("radii") + 1e-9))
-    roots = cut_lineage(components(links), "roots")
+    roots = cut_lineage(components(links, rows=n_rows + n_pairs), "roots", n_rows)
     for side in ("a", "b"):
         apart = apart.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     apart = cut_lineage(
-        apart.select("a", "b", "ra", "rb", (F.col("shared") / F.col("total") + (1e-9 - threshold)).alias("slack")), "apart"
+        apart.select("a", "b", "ra", "rb", (F.col("shared") / F.col("total") + (1e-9 - threshold)).alias("slack")),
+        "apart",
+        n_pairs,
     )
     if apart.limit(1).count():
-        members = placed.select("centre", "id", "far").distinct().join(bounds, "id")
-        more = cut_lineage(_visits(apart, cut_lineage(members, "members"), sigs, sets, threshold, percent), "links")
-        if more.limit(1).count():
-            roots = cut_lineage(components(links.unionByName(more)), "roots")
+        members = cut_lineage(placed.select("centre", "id", "far").distinct().join(bounds, "id"), "members", n_rows)
+        more = cut_lineage(_visits(apart, members, sigs, sets, threshold, percent), "links")
+        n_more = more.count()
+        if n_more:
+            linked = components(links.unionByName(more), rows=n_rows + n_pairs + n_more)
+            roots = cut_lineage(linked, "roots", n_rows)
     joined = classes.select("set_key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
     named_by = joined.select("set_key", F.col("id").alias("class_id"), F.coalesce("root", "id").alias("component_id"))
-    named_by = cut_lineage(named_by, "components")
+    named_by = cut_lineage(named_by, "components", n_rows)
     # a row with a null id keeps its set to itself
     asks = profiles.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
     out = asks.join(named_by, "set_key", "left")

@@ -1,11 +1,13 @@
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 
 from starloom.llm import minhash_dedup as M
 from starloom.llm.components import components
+from starloom.session import checkpoint_dir
 
 
 def shingles(text, k):
@@ -169,3 +171,23 @@ def test_tasks_hold_a_bounded_number_of_rows():
     assert taken == [0, 1]  # guests pass by; only the members are held
     assert set(zip(first["a"].to_pylist(), first["b"].to_pylist(), strict=True)) == {(a, b) for a in range(3) for b in range(10, 13)}
     assert next(links).num_rows == 9
+
+
+def test_small_tables_are_few_files(spark):
+    """Not one a shuffle partition: a file costs an executor processes of its own."""
+    words = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join([*words[:20], f"x{i % 4}", *words[20:], f"y{i % 3}"])) for i in range(60)]
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    top = Path(checkpoint_dir(spark).removeprefix("file:"), "starloom-scratch")
+    before = set(top.glob("*"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = M.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), k=5, percent=80).collect()
+    finally:
+        for k, v in set_before.items():
+            spark.conf.set(k, v)
+    assert {r["id"]: r["component_id"] for r in out} == brute(docs, 5, 80)
+    files = {x.name.rsplit("-", 1)[0]: len(list(x.glob("part-*"))) for x in sorted(set(top.glob("*")) - before)}
+    known = {"classes", "leaders", "buckets", "balls", "placed", "bounds", "stats", "links", "apart", "components"}
+    assert known <= set(files) and all(files[x] <= 12 for x in known)
