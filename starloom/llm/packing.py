@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,7 +125,7 @@ def plan_rows(patterns: list[tuple[Counter, int]]) -> list[tuple[int, int, int,
 
 def _cut(capacity: int, tokenizer: str, end_id: int, keep_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TextIds.shared(tokenizer)
+        ids_of = TextIds.shared(tokenizer, stage=TaskContext.get().stageId())
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows, piece, start, length, crc, kept = [], [], [], [], [], []

@@ -54,17 +54,22 @@ class TextIds:
     def __init__(self, tokenizer: str = TOKENIZER, dtype: str = "<u4", remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         self.dtype, self.remembered = np.dtype(dtype), remembered
-        self.known = _Known()
+        self.known, self.stage = _Known(), None
         (self.mark,) = self._ids(MARK)
         self.cut = self.tokenizer.model.tokenize
         self.by_runs = self._of_runs(PROBE) == self._ids(PROBE)
 
     @classmethod
-    def shared(cls, tokenizer: str = TOKENIZER, dtype: str = "<u4") -> TextIds:
-        """The worker's own, with what earlier tasks have learned."""
+    def shared(cls, tokenizer: str = TOKENIZER, dtype: str = "<u4", stage: int | None = None) -> TextIds:
+        """The worker's own, with what earlier tasks have learned; with a ``stage``,
+        those of that stage only, so that no worker holds an earlier job's pieces."""
         if (tokenizer, dtype) not in _SHARED:
             _SHARED[tokenizer, dtype] = cls(tokenizer, dtype)
-        return _SHARED[tokenizer, dtype]
+        ids = _SHARED[tokenizer, dtype]
+        if stage is not None and stage != ids.stage:
+            ids.known.clear()
+            ids.stage = stage
+        return ids
 
     def _ids(self, text: bytes) -> list[int]:
         (found,) = self.tokenizer.encode_batch_fast([text.decode("utf-8", "surrogatepass")], add_special_tokens=False)

@@ -79,3 +79,10 @@ def test_simple_pieces_go_to_the_model_and_have_the_tokenizers_ids():
     assert any(b"don't" in x for x in asked)
     for text, got in zip(texts, found, strict=True):
         assert np.frombuffer(got, "<u4").tolist() == whole(text.encode())
+
+
+def test_pieces_of_an_earlier_stage_are_forgotten():
+    ids = TextIds.shared(stage=-1)
+    first = ids.of(["alpha beta"])
+    assert TextIds.shared(stage=-1) is ids and b"alpha" in ids.known
+    assert not TextIds.shared(stage=-2).known and ids.of(["alpha beta"]) == first
