@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import cut_lineage
+from starloom.session import cut_counted, cut_lineage, few_parts
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -44,6 +44,8 @@ FORM_FACTOR = 10
 #: One in so many (document, word) pairs loses a letter.
 DROP_ONE_IN = 31
 REPEATS = 60
+#: So many rows of words take the room of one document.
+NARROW = 8
 #: Words that a task remembers before it hands on their counts.
 HELD_WORDS = 300_000
 
@@ -205,10 +207,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def _roots(forms: DataFrame, max_rounds: int = 40) -> DataFrame:
+def _roots(forms: DataFrame, rows: int, max_rounds: int = 40) -> DataFrame:
     """``word``, ``root``: where the forms (word, form) lead. Every step multiplies the
     count, and every round doubles the steps, so a few rounds do."""
-    now = cut_lineage(forms.select("word", F.col("form").alias("root")), "forms")
+    now = cut_lineage(forms.select("word", F.col("form").alias("root")), "forms", rows)
     for _ in range(max_rounds):
         onward = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
         now = cut_lineage(
@@ -216,6 +218,7 @@ def _roots(forms: DataFrame, max_rounds: int = 40) -> DataFrame:
                 "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
             ),
             "forms",
+            rows,
         )
         if now.filter("moved").isEmpty():
             return now.select("word", "root")
@@ -247,9 +250,10 @@ def spelling_variants(
         raise ValueError("min_length has to be 4 or more and factor 2 or more")
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
     counted = texts.mapInArrow(_counts(min_length, drop_one_in), "word string, n bigint")
-    words = cut_lineage(
-        counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "words"
+    words, n_words = cut_counted(
+        counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "words", NARROW
     )
+    rows = n_words // NARROW
     pairs = near_pairs(words)
     # both ways in one pass over the pairs
     ends = F.explode(
@@ -275,11 +279,13 @@ def spelling_variants(
             F.when(has_form, F.col("on")).alias("form_n"),
         ),
         "near-words",
+        rows,
     )
-    roots = _roots(told.filter(F.col("form").isNotNull()))
-    return told.join(roots, "word", "left").select(
+    roots = _roots(told.filter(F.col("form").isNotNull()), rows)
+    out = told.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
+    return few_parts(out, rows)
 
 
 def op12_query(spark: SparkSession, root: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
 from starloom.llm import spelling_variants as S
+from starloom.session import checkpoint_dir
 
 
 def near_by_brute_force(words):
@@ -122,3 +124,23 @@ def test_edges(spark, edge_docs, no_docs):
     assert run(spark, only) == brute(only) and len(brute(only)) == 1
     with pytest.raises(ValueError):
         S.spelling_variants(no_docs, min_length=3)
+
+
+def test_tables_are_few_files(spark):
+    """Not one a shuffle partition: a file costs an executor processes of its own."""
+    docs = corpus(5, "abcdefgh", 200)
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    top = Path(checkpoint_dir(spark).removeprefix("file:"), "starloom-scratch")
+    before = set(top.glob("*"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = S.spelling_variants(spark.createDataFrame(docs, "doc_id bigint, text string"))
+        assert out.rdd.getNumPartitions() <= 6
+        assert {tuple(r) for r in out.collect()} == brute(docs)
+    finally:
+        for k, v in set_before.items():
+            spark.conf.set(k, v)
+    files = {x.name.rsplit("-", 1)[0]: len(list(x.glob("part-*"))) for x in sorted(set(top.glob("*")) - before)}
+    assert {"words", "near-words", "forms"} <= set(files) and all(n <= 6 for n in files.values())
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
