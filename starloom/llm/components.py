@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from starloom.session import cut_lineage
 
+#: So many links take the room of one document.
+NARROW = 16
+
 
 def components(links: DataFrame, max_rounds: int = 60, rows: int | None = None) -> DataFrame:
     """``node``, ``root`` (the smallest node it reaches) for every linked node.
 
-    ``links`` has integer columns ``a`` and ``b``, and about ``rows`` rows if that is
-    known; loops and repeats are allowed.
+    ``links`` has integer columns ``a`` and ``b``, and takes the room of about ``rows``
+    documents if that is known; loops and repeats are allowed.
     Alternates large-star and small-star: every node hands its larger, then its
     other neighbours to its smallest one, until all hang on their root. The
     rounds grow with the logarithm of the longest chain. Minima are summed up
@@ -23,7 +26,7 @@ def components(links: DataFrame, max_rounds: int = 60, rows: int | None = None)
         "links",
         rows,
     )
-    rows = edges.count()
+    rows = edges.count() // NARROW
     state = None
     for _ in range(max_rounds):
         edges = cut_lineage(_small_star(_large_star(edges)), "links", rows)
@@ -32,7 +35,7 @@ def components(links: DataFrame, max_rounds: int = 60, rows: int | None = None)
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        state, rows = now, now[0]
+        state, rows = now, now[0] // NARROW
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
-from starloom.session import cut_lineage
+from starloom.session import cut_counted, cut_lineage
 
 BAND_ROWS = 8
 BATCH = 32
@@ -52,6 +52,8 @@ FILTER_BITS = 26
 GRID = 0.025
 #: Round three: members of a part, and shingles in it, at most (a single set may be larger).
 PART_MEMBERS, PART_SHINGLES = 2048, 1 << 22
+#: So many rows of ids and hashes take the room of one document.
+NARROW = 2
 
 
 class _WordHashes(dict):
@@ -351,7 +353,7 @@ def _visits(apart: DataFrame, members: DataFrame, sigs: DataFrame, sets: DataFra
         *[of_host(c + "_{}").alias(c + "_host") for c in ("m", "w", "least", "most", "c")],
     )
     many = F.greatest(F.ceil(F.col("m_host") / PART_MEMBERS), F.ceil(F.col("w_host") / PART_SHINGLES)).cast("int")
-    pairs = cut_lineage(pairs.withColumn("parts", many), "ball-pairs")
+    pairs, _ = cut_counted(pairs.withColumn("parts", many), "ball-pairs", NARROW)
     can_reach = F.col("far") + F.col("r_host") + F.col("slack") >= 0
     can_reach &= _enough("c", "n", "n", "c_host", "least_host", "most_host", t)
     guests = pairs.join(members, "centre").filter(can_reach)
@@ -406,7 +408,8 @@ def near_duplicates(
     threshold = percent / 100
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     profiles = cut_lineage(texts.mapInArrow(_profiles(k, band_count(threshold)), PROFILE), "profiles")
-    n_rows = profiles.count()
+    n_texts = profiles.count()
+    n_rows = n_texts // NARROW
     named = profiles.filter(F.col("id").isNotNull() & F.col("set_key").isNotNull())
     # the smallest id of a class brings its bands and signature along
     first = F.min(F.struct("id", "bands", "sig")).alias("first")
@@ -427,7 +430,7 @@ def near_duplicates(
     wanted = texts.sparkSession.sparkContext.broadcast(_filter_of(met.select("id").distinct()))
     named_texts = texts.filter(F.col("id").isNotNull())
     sets = cut_lineage(
-        named_texts.mapInArrow(_sets(k, wanted), "id bigint, set binary").filter("length(set) > 0"), "sets"
+        named_texts.mapInArrow(_sets(k, wanted), "id bigint, set binary").filter("length(set) > 0"), "sets", n_texts
     )
     near = F.col("shared") * 100 >= F.col("total") * percent
     balls = cut_lineage(
@@ -480,8 +483,8 @@ def near_duplicates(
         "bound", F.when(F.col("radii") > 0, F.greatest(F.lit(GRID), bound)).otherwise(F.lit(threshold))
     )
     told = _exact(_promising(asked.select("a", "b", "bound"), sigs), sets)
-    told = cut_lineage(_with_radii(told, stats), "centres")
-    n_pairs = told.count()
+    told, n_told = cut_counted(_with_radii(told, stats), "centres", NARROW)
+    n_pairs = n_told // NARROW
     links = told.filter(near).select("a", "b")
     links = links.unionByName(balls.select(F.col("id").alias("a"), F.col("centre").alias("b")))
 
@@ -498,10 +501,9 @@ def near_duplicates(
     )
     if apart.limit(1).count():
         members = cut_lineage(placed.select("centre", "id", "far").distinct().join(bounds, "id"), "members", n_rows)
-        more = cut_lineage(_visits(apart, members, sigs, sets, threshold, percent), "links")
-        n_more = more.count()
+        more, n_more = cut_counted(_visits(apart, members, sigs, sets, threshold, percent), "links", NARROW)
         if n_more:
-            linked = components(links.unionByName(more), rows=n_rows + n_pairs + n_more)
+            linked = components(links.unionByName(more), rows=n_rows + n_pairs + n_more // NARROW)
             roots = cut_lineage(linked, "roots", n_rows)
     joined = classes.select("set_key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
     named_by = joined.select("set_key", F.col("id").alias("class_id"), F.coalesce("root", "id").alias("component_id"))

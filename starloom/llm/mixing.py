@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import pack_row, text_of, words_of
-from starloom.session import cut_lineage
+from starloom.session import cut_counted
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = "mix-1"
+#: So many cells take the room of one document.
+NARROW = 16
 
 
 def targets(sources: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
@@ -104,9 +106,10 @@ def systematic_mix(
         digest.alias("h"),
     ).withColumn("block", F.substring("h", 1, 3))
 
-    cells = cut_lineage(
+    cells, _ = cut_counted(
         rows.groupBy("k", "size", "block").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source")),
         "mix-cells",
+        NARROW,
     )
     sizes = cells.groupBy("k", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
     sources = sizes.groupBy("k").agg(

@@ -29,3 +29,23 @@ def test_run_over_a_table(spark):
     ids = {r["doc_id"] for r in out.select("doc_id").collect()}
     first = docs.filter(docs.doc_id.isin(list(ids)))
     assert minhash_dedup.near_duplicates(first).filter("not kept").count() == 0
+
+
+def test_stages_return_few_parts(spark):
+    """Not one a shuffle partition: what a stage returns is written, and a file costs
+    an executor processes of its own."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, "en", "ab"[i % 2], f"{text} x{i % 9} {' '.join(f'y{i}z{j}' for j in range(i % 5 * 8))}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string").repartition(40)
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, "unused")
+            assert docs.rdd.getNumPartitions() <= 6, name
+            docs = spark.createDataFrame(docs.collect(), docs.schema).repartition(40)
+            assert docs.count(), name
+    finally:
+        for k, v in set_before.items():
+            spark.conf.set(k, v)
