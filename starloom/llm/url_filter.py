@@ -8,8 +8,9 @@ the first level that does not hold it. Nothing is joined with the list.
 
 A level is an array of 64-bit words for each of ``segments`` equal parts of
 the key space (a key's part comes from its hash), so that no array grows
-without bound. Up to ``literal_bytes`` of arrays travel as one constant in the
-query; above that the rows look their part's arrays up by the part's number.
+without bound. The levels are one table, a row per part; rows meet it by the
+part's number and read bits where they lie in its arrays. Up to ``literal_bytes``
+of arrays are broadcast; above that the rows are shuffled to their parts.
 """
 
 from __future__ import annotations
@@ -63,13 +64,12 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 @dataclass
 class Cascade:
-    """``levels``: for each level, one row per segment (``segment``, ``words``)."""
+    """``table``: one row per segment (``segment``, ``words_0``, ``words_1``, ...: its words in each level)."""
 
     segments: int
     hashes: int
-    literal: bool
-    levels: list[DataFrame] = field(default_factory=list)
-    constants: list[list[str]] = field(default_factory=list)
+    literal_bytes: int
+    table: DataFrame | None = None
     widths: list[int] = field(default_factory=list)
 
     def segment(self, key: Column) -> Column:
@@ -90,18 +90,13 @@ class Cascade:
 
     def attach(self, rows: DataFrame, key: Column) -> DataFrame:
         """Rows plus column ``held``: per level so far, whether it holds the key."""
-        if self.literal:
-            held = []
-            for level, parts in enumerate(self.constants):
-                words = F.split(F.lit(";".join(parts)), ";") if self.segments > 1 else None
-                mine = F.get(words, self.segment(key)) if words is not None else F.lit(parts[0])
-                held.append(self._holds(key, level, F.split(mine, ",").cast("array<bigint>")))
-            return rows.withColumn("held", F.array(*held))
-        out = rows.withColumn("segment", self.segment(key))
-        for level, table in enumerate(self.levels):
-            out = out.join(table.withColumnRenamed("words", f"words_{level}"), "segment")
-        held = [self._holds(key, level, F.col(f"words_{level}")) for level in range(len(self.levels))]
-        return out.withColumn("held", F.array(*held)).drop("segment", *[f"words_{i}" for i in range(len(held))])
+        small = 8 * self.segments * sum(self.widths) <= self.literal_bytes
+        out = rows.withColumn("segment", self.segment(key)).join(
+            F.broadcast(self.table) if small else self.table, "segment"
+        )
+        words = [f"words_{level}" for level in range(len(self.widths))]
+        held = [self._holds(key, level, F.col(w)) for level, w in enumerate(words)]
+        return out.withColumn("held", F.array(*held)).drop("segment", *words)
 
     def listed(self) -> Column:
         """From ``held``: the answer at the first level that does not hold the key."""
@@ -132,7 +127,7 @@ def build_cascade(
     }
     n_listed = sides.get(True, 0)
     segments = max(1, math.ceil(n_listed / keys_per_segment))
-    cascade = Cascade(segments, hashes, literal=n_listed * bits_per_key / 4 <= literal_bytes)
+    cascade = Cascade(segments, hashes, literal_bytes)
     if not n_listed:
         return cascade
     for level in range(max_levels):
@@ -161,15 +156,14 @@ def build_cascade(
         )
         words = bits.unionByName(blank).groupBy("segment", "word").agg(F.bit_or("bits").alias("bits"))
         packed = words.groupBy("segment").agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words")
+            F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias(
+                f"words_{level}"
+            )
         )
         cascade.widths.append(width)
-        if cascade.literal:
-            cascade.constants.append(
-                [r[0] for r in packed.orderBy("segment").select(F.array_join("words", ",")).collect()]
-            )
-        else:
-            cascade.levels.append(cut_lineage(packed, "cascade"))
+        table = packed if level == 0 else cascade.table.join(packed, "segment")
+        # 256 words are about one document
+        cascade.table = cut_lineage(table, "cascade", segments * sum(cascade.widths) // 256)
     raise RuntimeError(f"the cascade did not end in {max_levels} levels")
 
 

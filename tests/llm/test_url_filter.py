@@ -50,3 +50,15 @@ def test_mistakes_shrink_from_level_to_level(spark):
     assert 2 <= len(cascade.widths) <= 12 and cascade.widths[-1] < cascade.widths[0] / 20
     asked = cascade.attach(keys, keys["key"])
     assert asked.filter(cascade.listed() != asked["listed"]).count() == 0
+
+
+@pytest.mark.parametrize("literal_bytes", [4 << 20, 0])
+def test_no_row_parses_the_filter(spark, literal_bytes):
+    keys = spark.range(3_000).selectExpr("cast(id as string) as key", "id % 5 = 0 as listed")
+    cascade = build_cascade(keys, keys_per_segment=40, literal_bytes=literal_bytes)
+    assert cascade.segments == 15
+    asked = cascade.attach(keys, keys["key"]).select("listed", cascade.listed().alias("found"))
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    # a string of many segments was split and cast again for every row
+    assert "split(" not in plan and plan.count("Join ") == 1
+    assert asked.filter("listed != found").count() == 0
