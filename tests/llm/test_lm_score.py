@@ -177,3 +177,38 @@ def test_words_are_counted_without_a_call_each(monkeypatch):
             found.update(dict(zip(out.column("word").to_pylist(), out.column("n").to_pylist(), strict=True)))
         assert found == want
     assert not any(out.num_rows for out in lm._count(iter([batch.slice(0, 0)])))
+
+
+def test_the_model_grows_with_the_training_tokens():
+    assert [lm.row_bits(lm.TOKENS_PER_ROW << k) for k in (0, 14, 18, 19, 30)] == [14, 14, 18, 19, 30]
+
+
+def test_parts_of_a_gradient(monkeypatch):
+    texts = [" ".join(f"w{i * j % 37}" for i in range(60)) for j in range(40)] + [None]
+    _, lexicon = small_model(texts)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    weights = lm.Weights.zeros(8)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 512)
+    want = lm._gradient(weights, lexicon, iter([batch]), 0)
+    for kept in (lm.KEPT, 1000):
+        monkeypatch.setattr(lm, "KEPT", kept)
+        found, n = np.zeros_like(want).T.ravel(), 0
+        for keys, counts in lm._gradient_parts(weights, lexicon, iter([batch]), 0):
+            assert (np.diff(keys) > 0).all() and (counts > 0).all()
+            found[keys] += counts.astype(np.int32)
+            n += 1
+        assert (found.reshape(-1, 2).T == want).all() and (n > 1) == (kept == 1000)
+
+
+def test_models_in_files_score_as_models_that_are_sent(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").repartition(5)
+    monkeypatch.setattr(lm, "TOKENS_PER_ROW", 1)
+    runs = []
+    for held in (lm.HELD_BITS, 14):
+        monkeypatch.setattr(lm, "HELD_BITS", held)
+        runs.append(sorted(map(tuple, score_documents(docs).collect())))
+    tokens = runs[0][0][4]
+    assert 14 < lm.row_bits(tokens) <= 18  # several files
+    assert [r[:-1] for r in runs[0]] == [r[:-1] for r in runs[1]]
+    assert np.allclose([r[-1] for r in runs[0]], [r[-1] for r in runs[1]], rtol=1e-9)
+    assert sum(r[-1] - r[-2] for r in runs[1] if r[1]) > 0
